@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
 from settleflow.catalogue.base import query
+from settleflow.functions import messages as M
+from settleflow.functions.codes import running_codes
+from settleflow.functions.scalars import join_text, zero_pad
+from settleflow.operators import state
 from settleflow.plans import billing
 
+AS_OF = dt.date(2002, 1, 15)
+
 
 @query(
     "billing_reconcile",
     "group_code:s group_type:i claim_code:s billing_amount:d amount:d transfer_amount:d npl_amount:d cover_npl:d cover_other:d finding:s",
-    """newest AS (SELECT detail_id, cover_amount, is_manual_npl FROM (SELECT *, row_number() OVER (PARTITION BY detail_id
+    f"""newest AS (SELECT detail_id, cover_amount, is_manual_npl FROM (SELECT *, row_number() OVER (PARTITION BY detail_id
           ORDER BY created_at DESC NULLS LAST, tie1, tie2, tie3, tie4) AS rn FROM r_cover_log) WHERE rn=1),
     w AS (SELECT * FROM r_imported WHERE status_id=2 AND is_active AND created_at >= '1995-01-01' AND created_at < DATE '2001-12-31' + INTERVAL 1 DAY
           AND group_type BETWEEN 2 AND 6),
@@ -25,10 +35,175 @@ from settleflow.plans import billing
           LEFT JOIN (SELECT detail_id FROM r_prior_result WHERE is_active) a ON d.detail_id=a.detail_id
           LEFT JOIN newest l ON l.detail_id=a.detail_id
           LEFT JOIN paid ON paid.online_id=w.import_id LEFT JOIN n ON n.online_id=paid.online_id)
-    ;; SELECT *, CASE WHEN amount <> billing_amount+cover_npl+cover_other THEN 'claim amount differs from billing amount'
-          WHEN amount+billing_amount=0 THEN 'claim and billing amount are zero'
-          WHEN transfer_amount>0 AND transfer_amount <> amount+npl_amount THEN 'transfer differs from claim amount plus NPL' END AS finding FROM x""",
+    ;; SELECT *, CASE WHEN amount <> billing_amount+cover_npl+cover_other THEN '{M.AMOUNT_NOT_BILLED}'
+          WHEN amount+billing_amount=0 THEN '{M.AMOUNT_AND_BILL_ZERO}'
+          WHEN transfer_amount>0 AND transfer_amount <> amount+npl_amount THEN '{M.TRANSFER_NOT_AMOUNT_NPL}' END AS finding FROM x""",
 )
 def _(r):
     return billing.billing_reconcile(r.imported, r.import_detail, r.prior_result, r.cover_log, r.online_pay, r.npl,
                                      "1995-01-01", "2001-12-31")
+
+
+# the inputs of bill generation that the given tables do not name
+BILL_INPUT_SQL = """ins AS (SELECT DISTINCT insurer_id, CASE WHEN insurer_id%2=0 THEN 1 ELSE 0 END AS is_sftp FROM r_group),
+    comp AS (SELECT claim_code FROM r_item WHERE rf='R' AND line_no%2=0),
+    ptype AS (SELECT import_id, 'T' || CAST(min(product_id)%5 AS VARCHAR) AS product_type FROM r_import_detail GROUP BY import_id),
+    cnt AS (SELECT printf('BQGPH%02d', insurer_id) || CASE WHEN claim_type_code='1000' THEN 'H' ELSE 'B' END AS prefix, '45' AS year, '01' AS month, count(*) AS running
+            FROM r_bill GROUP BY insurer_id, claim_type_code
+            UNION ALL SELECT CASE WHEN group_type=3 THEN 'BQIPA' ELSE 'BQIPH' END, '45', '01', count(*) FROM r_bill_item GROUP BY 1)"""
+
+
+def bill_inputs(r):
+    insurers = r.group.select("insurer_id").distinct().withColumn("is_sftp", F.when(F.col("insurer_id") % 2 == 0, 1).otherwise(0))
+    compensated = r.item.filter("rf = 'R' AND line_no % 2 = 0").select("claim_code")
+    types = r.import_detail.groupBy("import_id").agg(join_text(F.lit("T"), F.min("product_id") % 5).alias("product_type"))
+    kind = F.when(F.col("claim_type_code") == "1000", "H").otherwise("B")
+    bills = r.bill.groupBy("insurer_id", "claim_type_code").agg(F.count(F.lit(1)).alias("running")).select(
+        join_text(F.lit("BQGPH"), zero_pad(F.col("insurer_id"), 2), kind).alias("prefix"), "running")
+    items = r.bill_item.groupBy(F.when(F.col("group_type") == 3, "BQIPA").otherwise("BQIPH").alias("prefix")).agg(F.count(F.lit(1)).alias("running"))
+    counters = bills.unionByName(items).select("prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
+    return insurers, compensated, types, counters
+
+
+def bills_of(r):
+    insurers, compensated, types, counters = bill_inputs(r)
+    return billing.generate_bills(r.imported, r.import_detail, r.prior_result, compensated, insurers, types, r.branch, counters,
+                                  "2002-01-20", AS_OF)
+
+
+BILLS_SQL = BILL_INPUT_SQL + """,
+    w AS (SELECT i.*, CASE group_type WHEN 3 THEN 2 WHEN 6 THEN 3 ELSE 1 END AS bill_group, CASE WHEN group_type=6 THEN coalesce(p.product_type,'') ELSE '' END AS product_type
+          FROM r_imported i LEFT JOIN ptype p ON i.import_id=p.import_id WHERE status_id=2 AND is_active AND group_type BETWEEN 2 AND 6),
+    cov AS (SELECT claim_code, sum(cover_amount) AS booked FROM r_prior_result WHERE is_active GROUP BY claim_code),
+    d AS (SELECT x.import_id, x.detail_id, x.claim_code, x.group_code, x.branch_id, x.pay_total, x.hospital_id, x.happened_at, w.insurer_id, w.bill_group, w.claim_type_code,
+          w.billing_date, w.group_type, w.product_type,
+          CASE WHEN w.group_type IN (2,4) OR x.claim_code NOT IN (SELECT claim_code FROM comp) THEN coalesce(c.booked,0) ELSE 0 END AS cover_amount
+          FROM r_import_detail x JOIN w ON x.import_id=w.import_id LEFT JOIN cov c ON x.claim_code=c.claim_code),
+    n AS (SELECT d.*, pay_total-cover_amount AS amount_total, CASE WHEN bill_group=2 THEN 'BQIPA' ELSE 'BQIPH' END AS item_prefix, is_sftp,
+          row_number() OVER (PARTITION BY d.insurer_id, bill_group, claim_type_code, billing_date, group_type, product_type
+            ORDER BY split_part(group_code,'-',1), CAST(split_part(group_code,'-',2) AS INT), CAST(split_part(group_code,'-',3) AS INT), CAST(split_part(group_code,'-',4) AS INT), claim_code) AS row_no,
+          row_number() OVER (PARTITION BY CASE WHEN bill_group=2 THEN 'BQIPA' ELSE 'BQIPH' END ORDER BY d.insurer_id, bill_group, claim_type_code, billing_date, group_type, product_type,
+            split_part(group_code,'-',1), CAST(split_part(group_code,'-',2) AS INT), CAST(split_part(group_code,'-',3) AS INT), CAST(split_part(group_code,'-',4) AS INT), claim_code) AS item_no,
+          min(group_code) OVER (PARTITION BY d.insurer_id, bill_group, claim_type_code, billing_date, group_type, product_type) AS lead_code
+          FROM d JOIN ins ON d.insurer_id=ins.insurer_id),
+    items AS (SELECT n.*, CASE WHEN is_sftp=1 THEN 0 ELSE (row_no-1)//20 END AS batch_no,
+          item_prefix || '4501' || printf('%06d', coalesce(cnt.running,0)+item_no) AS item_code FROM n LEFT JOIN cnt ON cnt.prefix=item_prefix),
+    sums AS (SELECT insurer_id, bill_group, claim_type_code, billing_date, group_type, product_type, batch_no, is_sftp, count(*) AS item_count, sum(pay_total) AS pay_total,
+          sum(cover_amount) AS cover_amount, sum(amount_total) AS total_amount,
+          'BQG' || CASE bill_group WHEN 2 THEN 'PA' WHEN 1 THEN 'PH' ELSE product_type END || printf('%02d', insurer_id)
+            || CASE WHEN substr(min(lead_code),4,1)='H' OR group_type=4 THEN 'H' ELSE 'B' END AS prefix
+          FROM items GROUP BY insurer_id, bill_group, claim_type_code, billing_date, group_type, product_type, batch_no, is_sftp),
+    bn AS (SELECT *, row_number() OVER (PARTITION BY prefix, is_sftp ORDER BY insurer_id, bill_group, claim_type_code, billing_date, group_type, product_type, batch_no) AS no FROM sums),
+    bills AS (SELECT bn.*, bn.prefix || CASE WHEN is_sftp=1 THEN '4501' || printf('%03d', coalesce(cnt.running,0)+no) ELSE '45' || printf('%05d', no) END AS bill_code,
+          DATE '2002-02-08' AS due_date FROM bn LEFT JOIN cnt ON cnt.prefix=bn.prefix AND is_sftp=1),
+    coded AS (SELECT items.*, bills.bill_code, bills.due_date FROM items JOIN bills USING (insurer_id, bill_group, claim_type_code, billing_date, group_type, product_type, batch_no))
+    ;; """
+
+
+@query("generate_bills", "bill_code:s insurer_id:i claim_type_code:s billing_date:y group_type:i item_count:i pay_total:d cover_amount:d total_amount:d due_date:y",
+       BILLS_SQL + "SELECT * FROM bills")
+def _(r):
+    return bills_of(r)["bills"]
+
+
+@query("generate_bill_items", "item_code:s bill_code:s detail_id:i row_no:i pay_total:d cover_amount:d amount_total:d", BILLS_SQL + "SELECT * FROM coded")
+def _(r):
+    return bills_of(r)["items"]
+
+
+@query("generate_bill_export", "bill_code:s item_code:s claim_code:s branch:s happened_at:t pay_total:d due_date:y",
+       BILLS_SQL + "SELECT bill_code, item_code, claim_code, branch, happened_at, amount_total AS pay_total, due_date FROM coded LEFT JOIN r_branch USING (branch_id)")
+def _(r):
+    return bills_of(r)["export"]
+
+
+@query("generate_bill_state", "import_id:i status_id:i bill_code:s billing_date:y",
+       BILLS_SQL + """SELECT i.import_id, CASE WHEN b.bill_code IS NULL THEN i.status_id ELSE 3 END AS status_id, b.bill_code,
+          CASE WHEN b.bill_code IS NULL THEN i.billing_date ELSE DATE '2002-01-20' END AS billing_date
+          FROM r_imported i LEFT JOIN (SELECT import_id, arg_min(bill_code, row_no) AS bill_code FROM coded GROUP BY import_id) b ON i.import_id=b.import_id""")
+def _(r):
+    return bills_of(r)["imported"]
+
+
+@query("generate_bill_counters", "prefix:s year:s month:s running:i",
+       BILLS_SQL + """SELECT bn.prefix, '45' AS year, CASE WHEN is_sftp=1 THEN '01' ELSE '00' END AS month,
+          max(no)+coalesce(max(CASE WHEN is_sftp=1 THEN cnt.running END),0) AS running FROM bn LEFT JOIN cnt ON cnt.prefix=bn.prefix GROUP BY bn.prefix, is_sftp
+          UNION ALL SELECT item_prefix, '45', '01', max(item_no)+coalesce(max(cnt.running),0) FROM n LEFT JOIN cnt ON cnt.prefix=item_prefix GROUP BY item_prefix""")
+def _(r):
+    return bills_of(r)["counters"]
+
+
+@query("running_codes", "payback_id:i code:s",
+       """u AS (SELECT 'CP' || CAST(insurer_id AS VARCHAR) AS prefix, count(*) AS running FROM r_payback WHERE transfer_id IS NOT NULL GROUP BY insurer_id)
+       ;; SELECT payback_id, p.prefix || '4501' || printf('%06d', coalesce(u.running,0) + row_number() OVER (PARTITION BY p.prefix ORDER BY payback_id)) AS code
+       FROM (SELECT payback_id, 'CP' || CAST(insurer_id AS VARCHAR) AS prefix FROM r_payback WHERE transfer_id IS NULL) p LEFT JOIN u ON u.prefix=p.prefix""")
+def _(r):
+    rows = r.payback.withColumn("prefix", join_text(F.lit("CP"), F.col("insurer_id")))
+    counters = rows.filter("transfer_id IS NOT NULL").groupBy("prefix").agg(F.count(F.lit(1)).alias("running")).select(
+        "prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
+    return running_codes(rows.filter("transfer_id IS NULL").select("payback_id", "prefix"), "prefix", ["payback_id"], 6, AS_OF, counters)[0]
+
+
+@query("undo_bills", "source:s code:s status_id:i is_active:i",
+       """bad AS (SELECT DISTINCT bill_code FROM r_bill_item WHERE rf='N' AND ls='F' AND amount_total < 1500),
+       i AS (SELECT import_id, min(bill_code) AS bill_code FROM r_bill_item GROUP BY import_id)
+       ;; SELECT 'group' AS source, g.group_code AS code, CASE WHEN i.bill_code IN (SELECT bill_code FROM bad) THEN 2 ELSE g.status_id END AS status_id, 1 AS is_active
+          FROM r_imported g LEFT JOIN i ON g.import_id=i.import_id
+          UNION ALL SELECT 'bill', bill_code, NULL, CASE WHEN bill_code IN (SELECT bill_code FROM bad) THEN 0 ELSE 1 END FROM r_bill
+          UNION ALL SELECT 'item', item_code, NULL, CASE WHEN bill_code IN (SELECT bill_code FROM bad) THEN 0 ELSE 1 END FROM r_bill_item""")
+def _(r):
+    bad = r.bill_item.filter("rf = 'N' AND ls = 'F' AND amount_total < 1500").select("bill_code")
+    on_bill = r.bill_item.groupBy("import_id").agg(F.min("bill_code").alias("bill_code"))
+    imported = r.imported.drop("is_active").join(on_bill, "import_id", "left")
+    active = F.lit(True)
+    out = billing.undo_bills(imported, r.bill.withColumn("is_active", active), r.bill_item.withColumn("is_active", active), bad, "2002-01-20")
+    nothing = F.lit(None).cast("int").alias("status_id")
+    return (out["imported"].select(F.lit("group").alias("source"), F.col("group_code").alias("code"), "status_id", F.lit(True).alias("is_active"))
+            .unionByName(out["bills"].select(F.lit("bill").alias("source"), F.col("bill_code").alias("code"), nothing, "is_active"))
+            .unionByName(out["items"].select(F.lit("item").alias("source"), F.col("item_code").alias("code"), nothing, "is_active")))
+
+
+@query("state_insert", "row_id:i code:s",
+       "SELECT order_key AS row_id, group_code AS code FROM r_group WHERE status_id<>2 UNION ALL SELECT m.n + row_number() OVER (ORDER BY order_key), group_code FROM r_group, (SELECT max(order_key) AS n FROM r_group) m WHERE status_id=2")
+def _(r):
+    from settleflow.operators.numbering import global_row_number
+    old = r.group.filter("status_id <> 2").select(F.col("order_key").alias("row_id"), F.col("group_code").alias("code"))
+    last = r.group.agg(F.max("order_key").alias("n")).scalar()
+    new = global_row_number(r.group.filter("status_id = 2").select("order_key", "group_code"), ["order_key"], "n")
+    new = new.withColumn("top", last).select((F.col("top") + F.col("n")).alias("row_id"), F.col("group_code").alias("code"))
+    return state.insert_rows(old, new)
+
+
+@query("state_update_join", "import_id:i status_id:i total_amount:d",
+       """SELECT i.import_id, CASE WHEN s.import_id IS NOT NULL THEN 3 ELSE i.status_id END AS status_id, coalesce(s.net, i.total_amount) AS total_amount FROM r_imported i
+          LEFT JOIN (SELECT import_id, sum(amount_total) AS net FROM r_bill_item GROUP BY import_id) s ON i.import_id=s.import_id""")
+def _(r):
+    changes = r.bill_item.groupBy("import_id").agg(F.sum("amount_total").alias("total_amount")).withColumn("status_id", F.lit(3))
+    return state.update_rows(r.imported, changes, ["import_id"])
+
+
+@query("state_delete_insert", "detail_id:i cover_amount:d",
+       """SELECT detail_id, cover_amount FROM r_prior_result WHERE detail_id NOT IN (SELECT detail_id FROM r_bill_item)
+          UNION ALL SELECT detail_id, amount_total FROM r_bill_item""")
+def _(r):
+    new = r.bill_item.select("detail_id", F.col("amount_total").alias("cover_amount"))
+    return state.delete_then_insert(r.prior_result.select("detail_id", "cover_amount"), new, ["detail_id"])
+
+
+@query("state_soft_delete", "detail_id:i is_active:i",
+       "SELECT detail_id, CASE WHEN detail_id IN (SELECT detail_id FROM r_bill_item) THEN 0 WHEN is_active THEN 1 ELSE 0 END AS is_active FROM r_prior_result")
+def _(r):
+    return state.soft_delete(r.prior_result, r.bill_item, ["detail_id"])
+
+
+@query("state_upsert", "detail_id:i cover_amount:d",
+       """SELECT coalesce(b.detail_id, p.detail_id) AS detail_id, coalesce(b.amount_total, p.cover_amount) AS cover_amount
+          FROM r_prior_result p FULL JOIN r_bill_item b ON p.detail_id=b.detail_id""")
+def _(r):
+    rows = r.bill_item.select("detail_id", F.col("amount_total").alias("cover_amount"))
+    return state.upsert_rows(r.prior_result.select("detail_id", "cover_amount"), rows, ["detail_id"])
+
+
+@query("state_consume", "group_code:s", "SELECT group_code FROM r_group WHERE order_key NOT IN (SELECT import_id FROM r_bill_item)")
+def _(r):
+    return state.consume_rows(r.group, r.bill_item.select(F.col("import_id").alias("order_key")), ["order_key"])

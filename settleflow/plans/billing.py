@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.functions.scalars import (
-    due_date, first_message, if_null, join_text, money, zero_pad, code_part, code_part_int,
-)
+from settleflow.functions import messages as M
+from settleflow.functions.codes import code_text, current_counters, period, running_codes
+from settleflow.functions.scalars import code_part, code_part_int, due_date, first_message, if_null, join_text, money, zero_pad
 from settleflow.operators.aggregates import latest_per_key
 from settleflow.operators.filters import half_open
 from settleflow.operators.joins import map_value
-from settleflow.operators.numbering import batch_number, keyed_row_number
+from settleflow.operators.numbering import batch_number, global_row_number, join_null_safe
+from settleflow.operators.state import set_where_key, update_rows
 
 # fixed values: bill group per header-group type (2, 4, 5 health; 3 accident; 6 miscellaneous)
 BILL_GROUP = {2: 1, 3: 2, 4: 1, 5: 1, 6: 3}
@@ -67,8 +70,106 @@ def billing_reconcile(imported: DataFrame, details: DataFrame, prior_result: Dat
         F.when(kind == 0, F.coalesce(cover, zero)).otherwise(zero).alias("cover_other"),
     )
     return out.withColumn("finding", first_message(
-        (F.col("amount") != F.col("billing_amount") + F.col("cover_npl") + F.col("cover_other"), "claim amount differs from billing amount"),
-        (F.col("amount") + F.col("billing_amount") == 0, "claim and billing amount are zero"),
+        (F.col("amount") != F.col("billing_amount") + F.col("cover_npl") + F.col("cover_other"), M.AMOUNT_NOT_BILLED),
+        (F.col("amount") + F.col("billing_amount") == 0, M.AMOUNT_AND_BILL_ZERO),
         ((F.col("transfer_amount") > 0) & (F.col("transfer_amount") != F.col("amount") + F.col("npl_amount")),
-         "transfer differs from claim amount plus NPL"),
+         M.TRANSFER_NOT_AMOUNT_NPL),
     ))
+
+
+BILL_KEY = ["insurer_id", "bill_group", "claim_type_code", "billing_date", "group_type", "product_type"]
+
+
+def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFrame, compensated: DataFrame,
+                   insurers: DataFrame, product_types: DataFrame, branches: DataFrame, counters: DataFrame,
+                   new_billing_date: str, as_of: dt.date, start=None, end=None) -> dict[str, DataFrame]:
+    """Bills for all waiting groups at once.
+
+    Claims are numbered in one pass over (item prefix, bill key, code parts, claim); the number
+    within a bill and within the item prefix both follow from it. Insurers with file transfer get
+    one bill per key, the others bills of ``BILL_SIZE`` claims. A group belongs to the bill of its
+    first claim. Returns ``items``, ``bills``, ``export``, ``imported`` (new state) and ``counters``.
+
+    ``insurers`` has one row per insurer: insurer_id, is_sftp. ``product_types`` names the product
+    of miscellaneous groups (import_id, product_type); it is empty text for the other groups.
+    """
+    waiting = (
+        imported.filter((F.col("status_id") == 2) & F.col("is_active")).filter(half_open("created_at", start, end))
+        .withColumn("bill_group", map_value(F.col("group_type"), BILL_GROUP)).filter("bill_group IS NOT NULL")
+        .join(product_types, "import_id", "left")
+        .withColumn("product_type", F.when(F.col("group_type") == 6, F.coalesce("product_type", F.lit(""))).otherwise(""))
+        .select("import_id", *BILL_KEY)
+    )
+    claims = details.select("import_id", "detail_id", "claim_code", "group_code", "branch_id", "pay_total",
+                            "hospital_id", "happened_at").join(waiting, "import_id")
+    # earlier covers; outside health and compensate groups they lapse once the claim was compensated
+    covers = prior_result.filter("is_active").groupBy("claim_code").agg(F.sum("cover_amount").alias("booked"))
+    lapsed = compensated.select("claim_code").distinct().withColumn("was_compensated", F.lit(True))
+    kept = F.col("group_type").isin(2, 4) | F.col("was_compensated").isNull()
+    net = (
+        claims.join(covers, "claim_code", "left").join(lapsed, "claim_code", "left")
+        .withColumn("cover_amount", money(F.when(kept, F.coalesce("booked", F.lit(0))).otherwise(0)))
+        .withColumn("amount_total", money(F.col("pay_total") - F.col("cover_amount")))
+        .drop("booked", "was_compensated")
+        .withColumn("item_prefix", F.when(F.col("bill_group") == 2, "BQIPA").otherwise("BQIPH"))
+        .withColumn("p1", code_part(F.col("group_code"), 4))
+        .withColumns({f"p{5 - n}": code_part_int(F.col("group_code"), n) for n in (3, 2, 1)})
+    )
+    ranked = global_row_number(net, ["item_prefix", *BILL_KEY, "p1", "p2", "p3", "p4", "claim_code"], "_row")
+    firsts = ranked.groupBy(*BILL_KEY).agg(F.min("_row").alias("_first"), F.min("group_code").alias("lead_code"))
+    prefix_firsts = ranked.groupBy("item_prefix").agg(F.min("_row").alias("_prefix_first"))
+    last_item = current_counters(counters, as_of).select(F.col("prefix").alias("item_prefix"), F.col("running").alias("_used"))
+    sftp = insurers.select("insurer_id", "is_sftp")
+    items = (
+        join_null_safe(ranked, firsts, BILL_KEY)
+        .join(prefix_firsts.join(last_item, "item_prefix", "left"), "item_prefix")
+        .join(sftp, "insurer_id", "left").withColumn("is_sftp", F.coalesce("is_sftp", F.lit(0)))
+        .withColumn("row_no", F.col("_row") - F.col("_first") + 1)
+        .withColumn("batch_no", F.when(F.col("is_sftp") == 1, 0).otherwise(batch_number(F.col("row_no"), BILL_SIZE)).cast("long"))
+        .withColumn("item_code", code_text(F.col("item_prefix"), as_of,
+                    F.coalesce("_used", F.lit(0)) + F.col("_row") - F.col("_prefix_first") + 1, 6))
+    )
+    hospital = (F.substring("lead_code", 4, 1) == "H") | (F.col("group_type") == 4)
+    prefix = join_text(F.lit("BQG"), F.when(F.col("bill_group") == 2, "PA").when(F.col("bill_group") == 1, "PH").otherwise(F.col("product_type")),
+                       F.right(zero_pad(F.col("insurer_id"), 12), F.lit(2)), F.when(hospital, "H").otherwise("B"))
+    sums = items.groupBy(*BILL_KEY, "batch_no", "is_sftp", "lead_code").agg(
+        F.count(F.lit(1)).alias("item_count"), money(F.sum("pay_total")).alias("pay_total"),
+        money(F.sum("cover_amount")).alias("cover_amount"), money(F.sum("amount_total")).alias("total_amount"),
+    ).withColumn("prefix", prefix)
+    order = [*BILL_KEY, "batch_no"]
+    # file-transfer bills count per month in three digits, the others per year in five
+    with_file, c1 = running_codes(sums.filter("is_sftp = 1"), "prefix", order, 3, as_of, counters, "bill_code")
+    without, c2 = running_codes(sums.filter("is_sftp = 0"), "prefix", order, 5, as_of, counters, "bill_code", with_month=False)
+    bills = with_file.unionByName(without).drop("lead_code", "prefix").withColumns({
+        "status_id": F.lit(2), "new_billing_date": F.lit(new_billing_date).cast("date"),
+        "due_date": due_date(F.lit(new_billing_date).cast("date")),
+    })
+    heads = bills.select(*BILL_KEY, "batch_no", "bill_code", "due_date", "new_billing_date")
+    coded = join_null_safe(items.drop("_row", "_first", "_prefix_first", "_used", "lead_code"), heads, [*BILL_KEY, "batch_no"])
+    export = coded.join(branches.select("branch_id", "branch"), "branch_id", "left").select(
+        "new_billing_date", "due_date", "branch", "group_code", "claim_code", "hospital_id", "happened_at",
+        F.col("amount_total").alias("pay_total"), "bill_code", "item_code", "insurer_id", "group_type")
+    billed = coded.groupBy("import_id").agg(F.min_by("bill_code", "row_no").alias("bill_code"))
+    state = update_rows(
+        imported.withColumn("bill_code", F.lit(None).cast("string")),
+        billed.select("import_id", "bill_code", F.lit(3).alias("status_id"), F.lit(new_billing_date).cast("date").alias("billing_date")),
+        ["import_id"], checked=False)
+    year, month = period(as_of)
+    item_counters = coded.groupBy(F.col("item_prefix").alias("prefix")).agg(F.count(F.lit(1)).alias("n")).join(
+        current_counters(counters, as_of), "prefix", "left").select(
+        "prefix", F.lit(year).alias("year"), F.lit(month).alias("month"), (F.coalesce("running", F.lit(0)) + F.col("n")).alias("running"))
+    return {"items": coded, "bills": bills, "export": export, "imported": state,
+            "counters": c1.unionByName(c2).unionByName(item_counters)}
+
+
+def undo_bills(imported: DataFrame, bills: DataFrame, items: DataFrame, codes: DataFrame, new_billing_date: str) -> dict[str, DataFrame]:
+    """Take a set of bills back: their groups wait again, bills and items become inactive.
+
+    ``codes`` has one column, bill_code. Groups are found through the bill they carry.
+    """
+    return {
+        "imported": set_where_key(imported, codes, ["bill_code"], status_id=F.lit(2), bill_code=F.lit(None),
+                                  billing_date=F.lit(new_billing_date).cast("date")),
+        "bills": set_where_key(bills, codes, ["bill_code"], is_active=F.lit(False)),
+        "items": set_where_key(items, codes, ["bill_code"], is_active=F.lit(False)),
+    }
