@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settleflow.functions import messages as M
-from settleflow.functions.codes import code_text, current_counters, period, running_codes
+from settleflow.functions.codes import code_text, current_counters, period
 from settleflow.functions.scalars import code_part, code_part_int, due_date, first_message, if_null, join_text, money, zero_pad
 from settleflow.operators.aggregates import latest_per_key
 from settleflow.operators.filters import half_open
 from settleflow.operators.joins import map_value
-from settleflow.operators.numbering import batch_number, global_row_number, join_null_safe
+from settleflow.operators.numbering import batch_number, global_row_number, join_null_safe, keyed_row_number
 from settleflow.operators.state import set_where_key, update_rows
 
 # fixed values: bill group per header-group type (2, 4, 5 health; 3 accident; 6 miscellaneous)
@@ -136,14 +136,18 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
         F.count(F.lit(1)).alias("item_count"), money(F.sum("pay_total")).alias("pay_total"),
         money(F.sum("cover_amount")).alias("cover_amount"), money(F.sum("amount_total")).alias("total_amount"),
     ).withColumn("prefix", prefix)
-    order = [*BILL_KEY, "batch_no"]
+    numbered = keyed_row_number(sums, ["prefix", "is_sftp"], [*BILL_KEY, "batch_no"], "no")
     # file-transfer bills count per month in three digits, the others per year in five
-    with_file, c1 = running_codes(sums.filter("is_sftp = 1"), "prefix", order, 3, as_of, counters, "bill_code")
-    without, c2 = running_codes(sums.filter("is_sftp = 0"), "prefix", order, 5, as_of, counters, "bill_code", with_month=False)
-    bills = with_file.unionByName(without).drop("lead_code", "prefix").withColumns({
+    used = current_counters(counters, as_of).withColumn("is_sftp", F.lit(1)).unionByName(
+        current_counters(counters, as_of, with_month=False).withColumn("is_sftp", F.lit(0)))
+    number = F.coalesce("running", F.lit(0)) + F.col("no")
+    bills = numbered.join(used, ["prefix", "is_sftp"], "left").withColumns({
+        "number": number,
+        "bill_code": F.when(F.col("is_sftp") == 1, code_text(F.col("prefix"), as_of, number, 3))
+        .otherwise(code_text(F.col("prefix"), as_of, number, 5, with_month=False)),
         "status_id": F.lit(2), "new_billing_date": F.lit(new_billing_date).cast("date"),
         "due_date": due_date(F.lit(new_billing_date).cast("date")),
-    })
+    }).drop("running", "no", "lead_code")
     heads = bills.select(*BILL_KEY, "batch_no", "bill_code", "due_date", "new_billing_date")
     coded = join_null_safe(items.drop("_row", "_first", "_prefix_first", "_used", "lead_code"), heads, [*BILL_KEY, "batch_no"])
     export = coded.join(branches.select("branch_id", "branch"), "branch_id", "left").select(
@@ -155,11 +159,14 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
         billed.select("import_id", "bill_code", F.lit(3).alias("status_id"), F.lit(new_billing_date).cast("date").alias("billing_date")),
         ["import_id"], checked=False)
     year, month = period(as_of)
-    item_counters = coded.groupBy(F.col("item_prefix").alias("prefix")).agg(F.count(F.lit(1)).alias("n")).join(
+    item_counters = ranked.groupBy(F.col("item_prefix").alias("prefix")).agg(F.count(F.lit(1)).alias("n")).join(
         current_counters(counters, as_of), "prefix", "left").select(
-        "prefix", F.lit(year).alias("year"), F.lit(month).alias("month"), (F.coalesce("running", F.lit(0)) + F.col("n")).alias("running"))
+        "prefix", F.lit(month).alias("month"), (F.coalesce("running", F.lit(0)) + F.col("n")).alias("running"))
+    bill_counters = bills.groupBy("prefix", F.when(F.col("is_sftp") == 1, month).otherwise("00").alias("month")).agg(
+        F.max("number").alias("running"))
+    raised = bill_counters.unionByName(item_counters).withColumn("year", F.lit(year))
     return {"items": coded, "bills": bills, "export": export, "imported": state,
-            "counters": c1.unionByName(c2).unionByName(item_counters)}
+            "counters": raised}
 
 
 def undo_bills(imported: DataFrame, bills: DataFrame, items: DataFrame, codes: DataFrame, new_billing_date: str) -> dict[str, DataFrame]:
