@@ -115,7 +115,7 @@ ROLE_SQL = {
         CASE WHEN line_no%2=1 THEN amount_total ELSE CAST(amount_total*0.50 AS DECIMAL(16,2)) END AS rejected_amount,
         'reject line ' || CAST(line_no AS VARCHAR) AS rejected_remark FROM r_bill_item WHERE rf='N' AND ls='F'""",
     "r_payback": """SELECT import_id AS payback_id, printf('CPBG%08d', import_id) AS payback_code, total_amount AS amount, item_count,
-        group_code, group_type, branch_id, insurer_id, CASE WHEN status_id<>2 THEN customer_id END AS transfer_id, status_id, created_at
+        group_code, group_type, branch_id, insurer_id, CASE WHEN status_id<>2 THEN customer_id END AS transfer_id, customer_id, status_id, created_at
         FROM r_imported WHERE is_active""",
     "r_payback_claim": """SELECT order_key AS payback_id, claim_code, hospital_id, product_id, amount AS claim_pay, rf, ls, happened_at FROM r_item""",
     "r_payback_detail": """SELECT printf('CPBD%08d-%d', p.order_key, p.hospital_id) AS detail_code, p.order_key AS payback_id, group_code,

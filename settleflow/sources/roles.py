@@ -176,7 +176,7 @@ class Roles:
             join_text(F.lit("CPBG"), zero_pad(F.col("import_id"), 8)).alias("payback_code"),
             F.col("total_amount").alias("amount"), "item_count", "group_code", "group_type", "branch_id", "insurer_id",
             F.when(F.col("status_id") != 2, F.col("customer_id")).alias("transfer_id"),
-            "status_id", "created_at",
+            "customer_id", "status_id", "created_at",
         )
 
     @cached_property
