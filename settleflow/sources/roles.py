@@ -23,18 +23,28 @@ class Roles:
 
     @cached_property
     def item(self) -> DataFrame:
-        """One row per claim: line items summed up to (order, line number)."""
+        """One row per claim: line items summed up to (order, line number).
+
+        Cents and one-letter codes are aggregated as numbers, which keeps Spark on its hash
+        aggregate; texts or wide decimals would make it sort every line item first.
+        """
+        cents = F.round(F.col("l_extendedprice") * 100).cast("long")
         return (
             self.t("lineitem")
             .groupBy(F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_no"))
             .agg(
-                F.sum(money(F.col("l_extendedprice"))).cast("decimal(16,2)").alias("amount"),
+                F.sum(cents).alias("cents"),
                 F.min("l_suppkey").alias("hospital_id"),
                 F.min("l_partkey").alias("product_id"),
-                F.min("l_returnflag").alias("rf"),
-                F.min("l_linestatus").alias("ls"),
+                F.min(F.ascii("l_returnflag")).alias("rf"),
+                F.min(F.ascii("l_linestatus")).alias("ls"),
                 F.min("l_shipdate").alias("happened_at"),
             )
+            .withColumns({
+                "amount": (F.col("cents").cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(16,2)"),
+                "rf": F.char("rf"), "ls": F.char("ls"),
+            })
+            .drop("cents")
             .withColumn("detail_id", F.col("order_key") * 100 + F.col("line_no"))
             .withColumn("claim_code", join_text(F.lit("CL"), zero_pad(F.col("order_key"), 8), zero_pad(F.col("line_no"), 2)))
         )
@@ -64,10 +74,9 @@ class Roles:
     @cached_property
     def group_total(self) -> DataFrame:
         """Claims and amount per group, straight from the line items."""
-        one_per_claim = self.item.select("order_key", "amount")
-        return one_per_claim.groupBy("order_key").agg(
-            F.count(F.lit(1)).alias("item_count"), F.sum("amount").cast("decimal(16,2)").alias("item_amount")
-        )
+        cents = (F.col("amount") * 100).cast("long")
+        return self.item.groupBy("order_key").agg(F.count(F.lit(1)).alias("item_count"), F.sum(cents).alias("cents")).select(
+            "order_key", "item_count", (F.col("cents").cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(16,2)").alias("item_amount"))
 
     @cached_property
     def imported(self) -> DataFrame:

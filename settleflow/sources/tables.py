@@ -16,9 +16,13 @@ class TableFolder:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The table as a frame; its schema is read from the files once."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
 
 def append_rows(frame: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
