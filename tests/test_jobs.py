@@ -163,4 +163,4 @@ def test_jobs_take_empty_inputs(roles):
     out = transfers.create_transfers(roles.spark.createDataFrame([], "request_id long, group_type int, payback_ref string"), roles.payback, dt.date(2025, 1, 1), roles.spark.createDataFrame([], NO_COUNTERS))
     assert out["transfers"].count() == 0 and out["paybacks"].count() == roles.payback.count()
     assert quality.duplicate_claims(nothing).count() == 0
-    assert importing.document_state(importing_jobs.claims(roles).limit(0), roles.document.limit(0), importing.DOCUMENT_KINDS).count() == 0
+    assert importing.document_state(importing_jobs.all_sources(roles).limit(0), roles.document.limit(0), importing.DOCUMENT_KINDS).count() == 0
