@@ -156,7 +156,7 @@ def creation_of(r, kind, repeated=False):
         "group_code", "claim_code", F.col("group_type").alias("product"), "branch_id", "insurer_id", "created_at", F.col("pay_total").alias("amount"), "hospital_id",
         F.when(F.col("status_id") == 2, 1).otherwise(0).alias("is_online"), join_text(F.lit("CO"), F.col("import_id")).alias("online_code"))
     existing = r.payback.filter("transfer_id IS NOT NULL" if repeated else "transfer_id < 0").select("group_code")
-    counters = r.payback.groupBy(F.lit("CPBG").alias("prefix")).agg(F.count(F.lit(1)).alias("running")).select("prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
+    counters = r.payback.groupBy(F.substring("payback_code", 1, 4).alias("prefix")).agg(F.count(F.lit(1)).alias("running")).select("prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
     online = r.import_detail.filter("rf <> 'A'").select("claim_code")
     return creation.create_payback(wanted_codes(r), claims, existing, kind, 1, "1997-01-01", AS_OF, counters, online)
 
@@ -209,13 +209,19 @@ def _(r):
     return creation.withdrawal_rounds(history, claims, r.item.filter("rf <> 'A'").select("claim_code"), "2002-01-15 10:00:00")
 
 
+def used_codes(r, letters):
+    """Counters of the transfer codes in use, by their leading letters (four: CPBT; two: a prefix no job asks for)."""
+    used = r.transfer.groupBy(F.substring("transfer_code", 1, letters).alias("prefix")).agg(F.count(F.lit(1)).alias("running"))
+    return used.select("prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
+
+
 def bundling(r):
     """One request per customer over the waiting pay-backs; insurer 5 sends bundled ones along, insurer 7 a blank."""
     base = r.imported.filter("is_active").select(F.col("customer_id").alias("request_id"), "insurer_id", "status_id", F.col("import_id").cast("string").alias("payback_ref"))
     rows = base.filter("status_id = 2 OR (insurer_id = 5 AND status_id = 3)")
     blanks = base.filter("insurer_id = 7 AND status_id = 2").withColumn("payback_ref", F.lit(" "))
     kind = (F.col("request_id") % 5 + 2).cast("int").alias("group_type")
-    counters = r.transfer.agg(F.count(F.lit(1)).alias("running")).select(F.lit("CPBT").alias("prefix"), F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
+    counters = used_codes(r, 4)
     return transfers.create_transfers(rows.unionByName(blanks).select("request_id", kind, "payback_ref"), r.payback, AS_OF, counters)
 
 
@@ -245,10 +251,6 @@ def _(r):
     return bundling(r)["paybacks"]
 
 
-def no_counters(r):
-    return r.transfer.groupBy(F.lit("none").alias("prefix")).agg(F.count(F.lit(1)).alias("running")).select("prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
-
-
 HOSPITAL_SQL = """t AS (SELECT transfer_id, group_type FROM r_transfer),
     g AS (SELECT d.transfer_id, d.hospital_id, count(*) AS item_count, sum(d.amount) AS amount FROM r_payback_detail d JOIN t ON t.transfer_id=d.transfer_id WHERE t.group_type IN (4,8) GROUP BY 1,2),
     s AS (SELECT *, 'HCG4501' || printf('%06d', row_number() OVER (ORDER BY transfer_id, hospital_id)) AS subgroup_code FROM g)
@@ -258,13 +260,13 @@ HOSPITAL_SQL = """t AS (SELECT transfer_id, group_type FROM r_transfer),
 @query("subgroup_by_hospital", "transfer_id:i hospital_id:i hospital_name:s subgroup_code:s item_count:i amount:d",
        HOSPITAL_SQL + "SELECT s.*, hospital_name FROM s LEFT JOIN r_hospital h ON h.hospital_id=s.hospital_id")
 def _(r):
-    return transfers.subgroups_by_hospital(r.transfer, r.payback_detail, r.hospital, AS_OF, no_counters(r))["subgroups"]
+    return transfers.subgroups_by_hospital(r.transfer, r.payback_detail, r.hospital, AS_OF, used_codes(r, 2))["subgroups"]
 
 
 @query("subgroup_by_hospital_details", "detail_code:s subgroup_code:s",
        HOSPITAL_SQL + "SELECT detail_code, subgroup_code FROM r_payback_detail d LEFT JOIN s ON s.transfer_id=d.transfer_id AND s.hospital_id=d.hospital_id")
 def _(r):
-    return transfers.subgroups_by_hospital(r.transfer, r.payback_detail, r.hospital, AS_OF, no_counters(r))["details"]
+    return transfers.subgroups_by_hospital(r.transfer, r.payback_detail, r.hospital, AS_OF, used_codes(r, 2))["details"]
 
 
 LIMIT = 1500000
@@ -273,7 +275,7 @@ LIMIT = 1500000
 def ceiling(r):
     """Each region pays one list of its out-of-pocket transfers."""
     lists = r.transfer.filter("oop_status = 7").select((F.col("transfer_id") % 4).cast("long").alias("list_id"), "transfer_id")
-    return transfers.subgroups_by_ceiling(lists, r.payback_detail.filter("transfer_id IS NOT NULL"), LIMIT, AS_OF, no_counters(r))
+    return transfers.subgroups_by_ceiling(lists, r.payback_detail.filter("transfer_id IS NOT NULL"), LIMIT, AS_OF, used_codes(r, 2))
 
 
 CEILING_SQL = f"""pp AS (SELECT t.transfer_id%4 AS list_id, d.transfer_id, d.payback_id, sum(d.amount) AS amount FROM r_payback_detail d JOIN r_transfer t ON t.transfer_id=d.transfer_id WHERE t.oop_status=7 GROUP BY 1,2,3),
