@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settleflow.llm import near_dedup, quality
+from settleflow.llm import language_id, mixing, near_dedup, quality
 from settleflow.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,15 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.train(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
     return quality.classify(docs, model).select(
         "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language_id.train(docs.where(remainder(F.col("doc_id"), 3) != 1))
+    return language_id.identify(docs, model).select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op10_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents")).select("doc_id", "source", "slot", "position")
