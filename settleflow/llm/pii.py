@@ -69,7 +69,7 @@ _WORD = "|".join(_DIGITS)
 _TOKEN = re.compile(rf"\b(?:(double|triple)\s+)?({_WORD})\b|\b(dot|point)\b|\b(plus)\b|([0-9.])", re.I)
 _SPELLED = re.compile(rf"(?:\bplus[\s,-]+)?\b(?:(?:double|triple)\s+)?(?:{_WORD})(?:[\s,.-]+(?:(?:dot|point)[\s,-]+)?(?:(?:double|triple)\s+)?(?:{_WORD}))"
                       r"{2,}\b", re.I)
-_BRACKET = re.compile(r"\s*(?:\[\s*(?:(at|@)|dot|\.)\s*\]|\(\s*(?:(at|@)|dot|\.)\s*\)|\{\s*(?:(at|@)|dot|\.)\s*\})\s*", re.I)
+_BRACKET = re.compile(r"(?<!\s)\s*(?:\[\s*(?:(at|@)|dot|\.)\s*\]|\(\s*(?:(at|@)|dot|\.)\s*\)|\{\s*(?:(at|@)|dot|\.)\s*\})\s*", re.I)
 _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
 _BARE_AT = re.compile(r"(?<=[A-Za-z0-9._%+-])\s+at\s+(?=([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+))", re.I)
 _TRIGGER = re.compile(rf"\bdot\b|[\[({{]\s*(?:at|@|\.)\s*[\])}}]|\b(?:{_WORD})[\s,.-]+(?:(?:dot|point|double|triple)[\s,-]+)?(?:{_WORD})\b|[0-9][OolI][0-9]", re.I)
@@ -236,7 +236,10 @@ def digest(found: DataFrame) -> DataFrame:
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    numbers = {f"n_{kind}": F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long") for kind in KINDS}
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    numbers = {f"n_{kind}": of(kind) for kind in KINDS}
     plain = F.filter("spans", lambda s: s["plain"])
     return found.withColumns(numbers | {"base_sha256": F.sha2(joined(plain).cast("binary"), 256), "_all": joined(F.col("spans"))}).withColumn("spans", F.col("_all")).drop("_all")
 
