@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settleflow.llm import near_dedup, quality
+from settleflow.llm import decontaminate, mixing, near_dedup, pii, quality
 from settleflow.llm.common import remainder, stored
 
 
@@ -21,9 +21,27 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.keep_one(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in the text, and the number of characters follows."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are interleaved; ``position`` is a document's place in the mixture."""
+    return mixing.mix(docs)
+
+
 STAGES = [
     ("quality classifier", quality_stage),
     ("SimHash near-dedup", near_dedup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("PII", pii_stage),
+    ("mixing sources to target weights", mixing_stage),
 ]
 
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settleflow.llm import language_id, mixing, near_dedup, pii, quality
+from settleflow.llm import decontaminate, language_id, mixing, near_dedup, pii, quality
 from settleflow.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op10_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.detect(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
     return pii.digest(found).select("doc_id", *[f"n_{kind}" for kind in pii.KINDS], "base_sha256", "spans")
+
+
+@_query
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
