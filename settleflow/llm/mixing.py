@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 
 PERIOD = 4096
 MAX_LANES = 256
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def shares(weights: list[float], period: int = PERIOD) -> list[int]:
