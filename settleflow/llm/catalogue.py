@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settleflow.llm import decontaminate, language_id, mixing, near_dedup, pii, quality
+from settleflow.llm import decontaminate, digests, language_id, mixing, near_dedup, pii, quality
 from settleflow.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query
+def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return digests.fingerprints(_table(spark, folder, "documents"))
