@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settleflow.llm import decontaminate, digests, language_id, mixing, near_dedup, pii, quality
+from settleflow.llm import decontaminate, digests, language_id, mixing, near_dedup, passages, pii, quality
 from settleflow.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 @_query
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return digests.fingerprints(_table(spark, folder, "documents"))
+
+
+@_query
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated(_table(spark, folder, "documents"))
