@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settleflow.llm import decontaminate, digests, language_id, language_model, mixing, near_dedup, passages, pii, quality
+from settleflow.llm import decontaminate, digests, language_id, language_model, licences, mixing, near_dedup, passages, pii, quality
 from settleflow.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op8_language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return language_model.score(docs, language_model.train(docs))
+
+
+@_query
+def op6_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return licences.scan(docs, licences.train(docs))
