@@ -449,6 +449,17 @@ def test_windows_do_not_depend_on_neighbouring_texts(make, monkeypatch, joined):
     assert sorted((r["key"], r["tid"]) for r in rows) == sorted(tuple(r) for r in passages._keys(frame, 2, 46).collect())
 
 
+def test_stretches_hold_eight_in_nine_wherever_the_misses_lie():
+    for at in range(1, 55):
+        matched = np.ones(56, bool)
+        matched[max(0, at - 4):at + 1] = False
+        (first, last), *more = passages._stretches(matched)
+        assert (first, last) == (0 if at > 4 else at + 1, 55) and not more
+    assert passages._stretches(np.zeros(5, bool)) == []
+    assert passages._stretches(np.array([1] * 60 + [0] * 11 + [1] * 60, bool)) == [(0, 59), (71, 130)]
+    assert passages._stretches(np.array([1] * 3 + [0] * 5 + [1] * 20, bool)) == [(0, 2), (8, 27)]
+
+
 def test_repeated_passages_are_found_and_others_are_not(make):
     rng = random.Random(13)
     shared, other = prose(rng, 60), prose(rng, 50)
