@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settleflow.llm import decontaminate, digests, language_id, language_model, licences, mixing, near_dedup, passages, pii, quality
+from settleflow.llm import bpe, conversations, decontaminate, digests, language_id, language_model, licences, mixing, near_dedup, passages, phrases, pii, quality
 from settleflow.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,47 @@ def op8_language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
 def op6_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return licences.scan(docs, licences.train(docs))
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.audit(conversations.damaged(_table(spark, folder, "conversations")))
+
+
+@_query
+def op12_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
+SQL["op13_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), x -> x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents WHERE text IS NOT NULL)),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), i -> array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+total AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT * FROM f WHERE f >= 100),
+covered AS (
+  SELECT DISTINCT s.lang, s.phrase FROM frequent s JOIN frequent q ON s.lang = q.lang AND q.k > s.k
+  WHERE contains(' ' || q.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * q.f >= 100 * s.f),
+cuts AS (
+  SELECT lang, phrase, f AS a, i, array_to_string(string_split(phrase, ' ')[1:i], ' ') AS lp, array_to_string(string_split(phrase, ' ')[i + 1:], ' ') AS rp
+  FROM frequent, (SELECT unnest([1, 2, 3, 4]) AS i) WHERE k >= 2 AND i < k),
+scored AS (
+  SELECT c.lang, c.phrase, c.i, c.a, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * c.a * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM cuts c JOIN frequent l ON l.lang = c.lang AND l.phrase = c.lp JOIN frequent r ON r.lang = c.lang AND r.phrase = c.rp JOIN total t ON t.lang = c.lang),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) AS place FROM scored),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM weakest WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM covered c WHERE c.lang = weakest.lang AND c.phrase = weakest.phrase))
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
