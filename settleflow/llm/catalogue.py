@@ -99,12 +99,12 @@ def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL["op13_phrase_collocations"] = r"""
 WITH pieces AS (
-  SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), x -> x <> '') AS w
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w
   FROM (SELECT coalesce(lang, 'und') AS lang,
                unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
         FROM documents WHERE text IS NOT NULL)),
 grams AS (
-  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
   FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k),
 f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
 total AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
