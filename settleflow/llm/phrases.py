@@ -16,10 +16,11 @@ into words. Everything is counted per language.
   edges takes log n joins.
 * **Score.** A phrase is cut after each of its words in turn; the cut with the lowest score counts.
 
-Words that are too rare for a frequent phrase end a piece before the edges are made: no frequent phrase
-holds one, so no count that is asked for changes, and the graph keeps the part of the text that
-matters. Whether a word is frequent is looked up in a bitmap of ``SIEVE_BITS`` bits, whose size does not grow
-with the corpus; a rare word that shares the bit of a frequent one only makes the graph larger.
+Before the edges are made, a piece is cut at words, and between neighbours, that are too rare for a frequent
+phrase: no frequent phrase holds them, so no count that is asked for changes, and the graph keeps the part of the
+text that matters. For this, words and pairs of neighbours are summed up first, pairs by their hash only, whose
+sum is no less than the pair's own. Whether one is frequent is then looked up in a bitmap of ``SIEVE_BITS`` bits, whose size
+does not grow with the corpus; a rare one that shares the bit of a frequent one only makes the graph larger.
 
 Results: a null text counts as empty, a null language as ``und``; empty texts, and an empty table, add
 nothing. Repeated rows count as often as they occur. Very long texts are read piece by piece. Only the
@@ -47,23 +48,22 @@ SUMMED = 300_000  # different rows a task adds up before it hands them on
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9)
 
 
-def _counted(docs: DataFrame, count, schema: str) -> DataFrame:
-    """Rows (lang, phrase, …, cnt) that each task has added up; ``count`` adds a text to a counter."""
+def _counted(docs: DataFrame, count, finish, schema: str) -> DataFrame:
+    """What each task has added up of its texts; ``count`` makes a function that adds a text to counters, ``finish`` turns a counter into columns."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary").alias("_lang"), F.col("text").cast("binary").alias("_text")).where("_text is not null")
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters: dict[bytes, tuple[Counter, ...]] = {}
+        counters: dict[bytes, tuple[Counter, Counter]] = {}
         add = count()
 
-        def out():
+        def out() -> Iterator[pa.RecordBatch]:
             for lang, kinds in counters.items():
                 for kind, counter in enumerate(kinds):
                     keys, values = list(counter), list(counter.values())
                     for at in range(0, len(keys), 20_000):
-                        n = len(keys[at:at + 20_000])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * n, pa.binary()).cast(pa.string()), pa.array(keys[at:at + n], pa.binary()).cast(pa.string()),
-                             pa.array([kind == 0] * n), pa.array(values[at:at + n], pa.int64())], names=["lang", "phrase", "edge", "cnt"])
+                        part = slice(at, at + 20_000)
+                        yield pa.RecordBatch.from_arrays([*finish(lang, kind, keys[part]), pa.array(values[part], pa.int64())], names=names)
             counters.clear()
 
         for batch in batches:
@@ -77,6 +77,10 @@ def _counted(docs: DataFrame, count, schema: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _strings(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary()).cast(pa.string())
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``lang``, ``phrase`` (one word) and its count ``cnt``."""
 
@@ -87,69 +91,117 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         return add
 
-    rows = _counted(docs, count, "lang string, phrase string, edge boolean, cnt long")
-    return rows.groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
+    def finish(lang: bytes, _: int, words: list[bytes]) -> list[pa.Array]:
+        return [_strings([lang] * len(words)), _strings(words)]
+
+    return _counted(docs, count, finish, "lang string, phrase string, cnt long").groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
 
 
-def sieve(words: DataFrame, least: int, bits: int = SIEVE_BITS) -> Broadcast:
-    """Bitmap of the frequent words: at most ``bits`` bits, whatever the size of the corpus."""
-    place = F.pmod(F.xxhash64(F.concat_ws("\n", "lang", "phrase")), F.lit(bits))
-    cells = words.where(F.col("cnt") >= least).select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("cell")).agg(
+def _hash(lang: bytes, phrase: bytes) -> int:
+    """The hash that Spark's ``xxhash64`` gives for language, newline, phrase."""
+    h = xxhash.xxh64_intdigest(lang + b"\n" + phrase, 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def sieve(hashes: DataFrame, bits: int = SIEVE_BITS) -> Broadcast:
+    """Bitmap of the column ``hash``: at most ``bits`` bits, whatever the size of the corpus."""
+    cells = hashes.select(F.pmod("hash", F.lit(bits)).alias("p")).groupBy(F.shiftright("p", 5).alias("cell")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(p & 31 as int))")).alias("set"))
     found = cells.toPandas()  # a row for each 32 bits of the bitmap at most
     bitmap = np.zeros(bits // 32, "<u4")
     bitmap[found["cell"].to_numpy(np.int64)] = found["set"].to_numpy(np.int64)
-    return words.sparkSession.sparkContext.broadcast(bitmap)
+    return hashes.sparkSession.sparkContext.broadcast(bitmap)
+
 
+def word_sieve(words: DataFrame, least: int) -> Broadcast:
+    return sieve(words.where(F.col("cnt") >= least).select(F.xxhash64(F.concat_ws("\n", "lang", "phrase")).alias("hash")))
 
-def edges_and_ends(docs: DataFrame, frequent: Broadcast) -> DataFrame:
-    """``lang``, ``phrase``, ``cnt`` and ``edge``: true for the longest grams, false for the last words (up to four) of a piece."""
+
+def pair_sieve(docs: DataFrame, frequent: Broadcast, least: int) -> Broadcast:
+    """Sieve of neighbouring words by the sums of their hashes."""
 
     def count():
-        bitmap = frequent.value
-        bits = len(bitmap) * 32
-        known: dict[bytes, dict[bytes, bool]] = {}
+        runs = _runs(frequent.value, None)
 
-        class Kept(dict):
-            """Whether a word passes the sieve; each distinct word is looked up once."""
+        def add(lang: bytes, text: bytes, pairs: Counter, _: Counter) -> None:
+            for run in runs(lang, text):
+                pairs.update(map(b" ".join, zip(run, run[1:])))
 
-            def __init__(self, lang: bytes):
-                self.lang = lang
+        return add
 
-            def __missing__(self, word: bytes) -> bool:
-                if len(self) > 250_000:
-                    self.clear()
-                p = xxhash.xxh64_intdigest(self.lang + b"\n" + word, 42)
-                p = (p - (1 << 64) if p >> 63 else p) % bits
-                self[word] = passes = bool(bitmap[p >> 5] >> (p & 31) & 1)
-                return passes
+    def finish(lang: bytes, _: int, pairs: list[bytes]) -> list[pa.Array]:
+        return [pa.array([_hash(lang, pair) for pair in pairs], pa.int64())]
+
+    sums = _counted(docs, count, finish, "hash long, cnt long").groupBy("hash").agg(F.sum("cnt").alias("cnt"))
+    return sieve(sums.where(F.col("cnt") >= least).select("hash"))
+
+
+def _runs(words: np.ndarray, pairs: np.ndarray | None):
+    """Function from a language and a lower-cased text to the runs of two or more words that pass the sieves."""
+
+    class Passes(dict):
+        """Whether a word or pair passes; what a task has looked up is remembered up to a bound."""
+
+        def __init__(self, bitmap: np.ndarray, lang: bytes):
+            self.bitmap, self.bits, self.lang = bitmap, len(bitmap) * 32, lang
+
+        def __missing__(self, phrase: bytes) -> bool:
+            if len(self) > 250_000:
+                self.clear()
+            p = _hash(self.lang, phrase) % self.bits
+            self[phrase] = passes = bool(self.bitmap[p >> 5] >> (p & 31) & 1)
+            return passes
+
+    known: dict[bytes, tuple[Passes, Passes | None]] = {}
+
+    def runs(lang: bytes, text: bytes) -> Iterator[list[bytes]]:
+        if lang not in known:
+            known[lang] = Passes(words, lang), None if pairs is None else Passes(pairs, lang)
+        word, pair = known[lang]
+        for piece in text.split(b"\n"):
+            found = piece.split()
+            if len(found) < 2:
+                continue
+            passes = [word[w] for w in found]
+            passes.append(False)
+            at, n = 0, len(found)
+            while at < n:
+                if not passes[at]:
+                    at += 1
+                    continue
+                end = passes.index(False, at)
+                if end - at > 1:
+                    run = found[at:end]
+                    if pair is None:
+                        yield run
+                    else:
+                        cuts = [k for k, p in enumerate(map(b" ".join, zip(run, run[1:])), 1) if not pair[p]]
+                        for a, b in zip([0, *cuts], [*cuts, len(run)]):
+                            if b - a > 1:
+                                yield run[a:b]
+                at = end
+
+    return runs
+
+
+def edges_and_ends(docs: DataFrame, words: Broadcast, pairs: Broadcast) -> DataFrame:
+    """``lang``, ``phrase``, ``cnt`` and ``edge``: true for the longest grams, false for the last words (up to four) of a run."""
+
+    def count():
+        runs = _runs(words.value, pairs.value)
 
         def add(lang: bytes, text: bytes, edges: Counter, ends: Counter) -> None:
-            kept = known.get(lang)
-            if kept is None:
-                kept = known[lang] = Kept(lang)
-            for piece in text.split(b"\n"):
-                words = piece.split()
-                passes = [kept[w] for w in words]
-                at, n = 0, len(words)
-                while at < n:  # runs of words that pass
-                    if not passes[at]:
-                        at += 1
-                        continue
-                    try:
-                        end = passes.index(False, at)
-                    except ValueError:
-                        end = n
-                    if end - at >= LONGEST:
-                        run = words[at:end]
-                        edges.update(map(b" ".join, zip(*(run[k:] for k in range(LONGEST)))))
-                    if end - at > 1:
-                        ends[b" ".join(words[max(at, end - LONGEST + 1):end])] += 1
-                    at = end
+            for run in runs(lang, text):
+                if len(run) >= LONGEST:
+                    edges.update(map(b" ".join, zip(*(run[k:] for k in range(LONGEST)))))
+                ends[b" ".join(run[1 - LONGEST:])] += 1
 
         return add
 
-    return _counted(docs, count, "lang string, phrase string, edge boolean, cnt long")
+    def finish(lang: bytes, kind: int, grams: list[bytes]) -> list[pa.Array]:
+        return [_strings([lang] * len(grams)), _strings(grams), pa.array([kind == 0] * len(grams))]
+
+    return _counted(docs, count, finish, "lang string, phrase string, edge boolean, cnt long")
 
 
 def _words(phrase: Column) -> Column:
@@ -167,7 +219,9 @@ def _last(phrase: Column, n: int) -> Column:
 def phrase_counts(docs: DataFrame, least: int = 100) -> tuple[DataFrame, DataFrame]:
     """Counts of all single words, and of all phrases of two to ``LONGEST`` words that occur ``least`` times or more."""
     words = stored(word_counts(docs), "words")
-    grams = stored(edges_and_ends(docs, sieve(words, least)).groupBy("lang", "phrase", "edge").agg(F.sum("cnt").alias("cnt")), "grams")
+    frequent_words = word_sieve(words, least)
+    frequent_pairs = pair_sieve(docs, frequent_words, least)
+    grams = stored(edges_and_ends(docs, frequent_words, frequent_pairs).groupBy("lang", "phrase", "edge").agg(F.sum("cnt").alias("cnt")), "grams")
     flow = grams.where("edge").select("lang", "phrase", "cnt")
     tails = grams.where("not edge").select("lang", "phrase", "cnt", _words(F.col("phrase")).alias("n"))
     frequent = [flow.where(F.col("cnt") >= least)]

@@ -343,7 +343,7 @@ def wordy(rng, n):
 def test_phrases_agree_with_a_plain_version(make, monkeypatch, least, top, bits, summed):
     monkeypatch.setattr(phrases, "SUMMED", summed)
     build = phrases.sieve
-    monkeypatch.setattr(phrases, "sieve", lambda words, n: build(words, n, bits))
+    monkeypatch.setattr(phrases, "sieve", lambda hashes: build(hashes, bits))
     rows = wordy(random.Random(least), 120)
     found = collected(phrases.collocations(make(rows).repartition(3), least, top))
     assert sorted(found) == plain_collocations(rows, least, top)
@@ -356,11 +356,17 @@ def test_counts_from_the_flow_agree_with_counts_from_texts(make):
     assert {(lang, p): a for lang, p, a in collected(found)} == want
 
 
-def test_the_sieve_keeps_frequent_words_and_few_others(spark):
+def test_the_sieves_keep_what_is_frequent_and_little_else(spark):
     words = spark.createDataFrame([("en", f"wé{k}", 100 if k % 50 == 0 else 99) for k in range(5000)], "lang string, phrase string, cnt long")
-    docs = spark.createDataFrame([("en", " ".join(f"wé{k}" for k in range(0, 5000, 50))), ("en", " ".join(f"wé{k}" for k in range(1, 5000, 50)))], "lang string, text string")
-    found = phrases.edges_and_ends(docs, phrases.sieve(words, 100)).where("edge").agg(F.sum("cnt")).first()[0]
-    assert found == 96
+    often, rare = " ".join(f"wé{k}" for k in range(0, 5000, 50)), " ".join(f"wé{k}" for k in range(1, 5000, 50))
+    docs = spark.createDataFrame([("en", often), ("en", often), ("en", rare), ("en", rare), ("en", "wé50 wé0 wé100")], "lang string, text string")
+    by_word = phrases.word_sieve(words, 100)
+    passed = lambda bitmap, phrase: bool(bitmap.value[(p := phrases._hash(b"en", phrase.encode()) % phrases.SIEVE_BITS) >> 5] >> (p & 31) & 1)
+    assert all(passed(by_word, f"wé{k}") == (k % 50 == 0) for k in range(5000))
+    by_pair = phrases.pair_sieve(docs, by_word, 2)
+    assert passed(by_pair, "wé0 wé50") and not passed(by_pair, "wé50 wé0") and not passed(by_pair, "wé1 wé51")
+    found = phrases.edges_and_ends(docs, by_word, by_pair).groupBy("edge").agg(F.sum("cnt")).collect()
+    assert {tuple(r) for r in found} == {(True, 2 * 96), (False, 2)}
 
 
 def test_large_numbers_stay_exact(spark, monkeypatch, make):
