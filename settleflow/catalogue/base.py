@@ -148,6 +148,33 @@ ROLE_SQL = {
 }
 
 
+# the wide columns of a claim that the given tables stand for, by name: the expression over r_import_detail, and the group types that lack it
+WIDE_SQL = {
+    "province": ("'P' || (branch_id % 7)", "6"), "identity_card": ("'ID' || customer_id", ""), "customer_name": ("c_name", ""), "happened_at": ("happened_at", ""),
+    "pay": ("pay_total", ""), "hospital_id": ("d.hospital_id", ""), "hospital_name": ("hospital_name", ""), "date_in": ("happened_at", ""),
+    "date_out": ("happened_at + to_days(CAST(line_no AS INT))", ""), "application_code": ("'AP' || customer_id", ""), "product_id": ("product_id", "3"),
+    "product_name": ("p_name", ""), "noticed_at": ("created_at", "3"), "cover_from": ("CAST(created_at AS DATE)", "3"), "admit_code": (
+        "CASE WHEN d.group_type=3 THEN CASE line_no WHEN 1 THEN '4001' WHEN 2 THEN '4009' WHEN 3 THEN '4010' WHEN 4 THEN '4006' ELSE '4002' END END", "6"),
+    "claim_type": ("CASE WHEN d.group_type IN (3,6) THEN CASE WHEN claim_type_code='1000' THEN '%(hospital)s' ELSE '%(customer)s' END ELSE 'T' || claim_type_code END", ""),
+    "icd10_code": ("'I' || (product_id % 100)", "6"), "icd10": ("'diagnosis ' || (product_id % 100)", "6"), "ipd_count": ("line_no", "3 6"), "icu_count": ("line_no % 2", "3"),
+    "net": ("pay_total", "3"), "compensate_include": ("CASE WHEN d.group_type IN (4,6) THEN 0 ELSE CAST(line_no AS DECIMAL(16,2)) END", "3"), "gross_total": ("pay_total", ""),
+    "discount": ("CASE WHEN d.group_type=4 THEN 0 ELSE CAST(line_no % 3 AS DECIMAL(16,2)) END", "6"), "pay_total": ("pay_total", ""),
+    "school_name": ("'S' || branch_id", "2 4 5 6"), "customer_detail_code": ("'CD' || customer_id", "2 4 5 6"), "school_level": ("'L' || line_no", "2 4 5 6"),
+    "accident": ("'cause ' || (d.hospital_id % 10)", "2 4 5 6"), "chief_complaint": ("'complaint ' || (product_id % 7)", ""), "organ": ("0", "2 4 5 6"),
+    "compensate_in": ("CAST(line_no AS DECIMAL(16,2))", "2 4 5 6"), "compensate_out": ("CAST(line_no + 1 AS DECIMAL(16,2))", "2 4 5 6"),
+    "amount_pay": ("pay_total", "2 4 5"), "amount_dead": ("CASE WHEN line_no=4 THEN pay_total ELSE 0 END", "2 4 5 6"), "remark": ("'remark ' || rf", "2 4 5"), "branch_id": ("branch_id", ""),
+}
+
+
+def wide_sql(texts: dict[str, str], **own: str) -> str:
+    """Select list of the wide columns; ``own`` replaces expressions."""
+    out = []
+    for name, (expression, lacking) in WIDE_SQL.items():
+        value = own.get(name, expression % texts if name == "claim_type" else expression)
+        out.append(f"CASE WHEN d.group_type NOT IN ({', '.join(lacking.split())}) THEN {value} END AS {name}" if lacking else f"{value} AS {name}")
+    return ", ".join(out)
+
+
 def _with(body: str) -> str:
     """``WITH`` clause holding the role tables the body needs, in order, and the body as ``answer``.
 
@@ -163,7 +190,8 @@ def _with(body: str) -> str:
                 need(ROLE_SQL[name])
 
     need(body)
-    roles = [f"{n} AS ({s})" for n, s in ROLE_SQL.items() if n in needed]
+    # each role is worked out once, however often the body and other roles name it
+    roles = [f"{n} AS MATERIALIZED ({s})" for n, s in ROLE_SQL.items() if n in needed]
     own = [parts.strip().rstrip(",")] if parts.strip() else []
     # recursive is needed by one check and harmless for the others
     return "WITH RECURSIVE " + ", ".join([*roles, *own, f"answer AS ({final})"])

@@ -7,11 +7,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from settleflow.catalogue.base import query
+from settleflow.catalogue.importing_jobs import WIDE_DETAIL_SQL, columns_of, wide_details
 from settleflow.functions import messages as M
 from settleflow.functions.codes import running_codes
 from settleflow.functions.scalars import join_text, zero_pad
 from settleflow.operators import state
-from settleflow.plans import billing
+from settleflow.plans import billing, reports
+from settleflow.plans.columns import ACCIDENT_VIEW, CLAIM, EXPORT, HEALTH_VIEW, MISC_VIEW
 
 AS_OF = dt.date(2002, 1, 15)
 
@@ -65,10 +67,15 @@ def bill_inputs(r):
     return insurers, compensated, types, counters
 
 
-def bills_of(r):
+def banks(r):
+    codes = r.group.select("claim_type_code").distinct()
+    return codes.select("claim_type_code", (F.col("claim_type_code").cast("int") / 1000).cast("int").alias("bank_id"), join_text(F.lit("ACC-"), F.col("claim_type_code")).alias("bank_account"))
+
+
+def bills_of(r, details=None):
     insurers, compensated, types, counters = bill_inputs(r)
-    return billing.generate_bills(r.imported, r.import_detail, r.prior_result, compensated, insurers, types, r.branch, counters,
-                                  "2002-01-20", AS_OF)
+    return billing.generate_bills(r.imported, r.import_detail if details is None else details, r.prior_result, compensated, insurers, types, r.branch, counters,
+                                  "2002-01-20", AS_OF, banks=banks(r))
 
 
 BILLS_SQL = BILL_INPUT_SQL + """,
@@ -111,10 +118,63 @@ def _(r):
     return bills_of(r)["items"]
 
 
-@query("generate_bill_export", "bill_code:s item_code:s claim_code:s branch:s happened_at:t pay_total:d due_date:y",
-       BILLS_SQL + "SELECT bill_code, item_code, claim_code, branch, happened_at, amount_total AS pay_total, due_date FROM coded LEFT JOIN r_branch USING (branch_id)")
+def export_sql(rows, new_date, due):
+    """All export columns over ``rows`` (detail_id, bill_code, item_code, cover_amount) and the wide claims ``wd``."""
+    own = {"new_billing_date": new_date, "due_date": due, "branch": "branch", "pay": "wd.pay - x.cover_amount", "pay_total": "wd.pay_total - x.cover_amount", "document_link": "''",
+           "bank_id": "CAST(wd.claim_type_code AS INT) // 1000", "bank_account": "'ACC-' || wd.claim_type_code", "bill_code": "x.bill_code", "item_code": "x.item_code"}
+    return "SELECT " + ", ".join(f"{own.get(c, 'wd.' + c)} AS {c}" for c in EXPORT) + f" FROM {rows} x JOIN wd ON wd.detail_id=x.detail_id LEFT JOIN r_branch b ON b.branch_id=wd.branch_id"
+
+
+@query("generate_bill_export", columns_of(EXPORT), BILLS_SQL.replace("\n    ;; ", ",\n    " + WIDE_DETAIL_SQL + "\n    ;; ") + export_sql("coded", "DATE '2002-01-20'", "DATE '2002-02-08'"))
+def _(r):
+    return bills_of(r, wide_details(r))["export"]
+
+
+def exported(r):
+    """Export rows of the bills on record."""
+    coded = r.bill_item.withColumns({"new_billing_date": F.col("billing_date"), "due_date": F.col("billing_date")})
+    return billing.export_rows(coded, wide_details(r), r.branch, banks(r))
+
+
+EXPORTED_SQL = WIDE_DETAIL_SQL + ", ex AS MATERIALIZED (" + export_sql("r_bill_item", "x.billing_date", "x.billing_date") + ") ;; "
+
+
+@query("export_bill_rows", columns_of(EXPORT), EXPORTED_SQL + "SELECT * FROM ex")
+def _(r):
+    return exported(r)
+
+
+def shown_sql(spec, source, own):
+    """Select list of a view: ``own`` expressions, else the column of ``source`` if it has it, else NULL."""
+    names = {"wd": {*CLAIM, "claim_code", "group_code", "claim_type_code"}, "ex": set(EXPORT)}[source]
+    return "SELECT " + ", ".join(f"{own.get(c, f'{source}.{c}' if c in names else 'NULL')} AS {c}" for c in spec)
+
+
+@query("export_view_accident", columns_of(ACCIDENT_VIEW),
+       EXPORTED_SQL + shown_sql(ACCIDENT_VIEW, "wd", {
+           "remark": "'detail ' || wd.line_no", "document_link": "ex.document_link", "province": "ex.province", "organ": "ex.organ", "bill_code": "ex.bill_code", "item_code": "ex.item_code",
+           "level_room": "'room ' || (wd.customer_id % 9)"}) + " FROM wd JOIN ex ON ex.claim_code=wd.claim_code WHERE wd.group_type=3 AND wd.line_no<6 AND ex.insurer_id=4")
+def _(r):
+    claims = wide_details(r).filter("group_type = 3").withColumns({
+        "accident_detail": F.concat(F.lit("detail "), F.col("line_no").cast("string")), "is_insured": F.col("line_no") < 6,
+        "level_room": F.concat(F.lit("room "), (F.col("customer_id") % 9).cast("string"))})
+    return reports.insurer_view("accident", claims, exported(r), r.bill.filter("insurer_id = 4").select("bill_code"))
+
+
+@query("export_view_health", columns_of(HEALTH_VIEW),
+       EXPORTED_SQL + shown_sql(HEALTH_VIEW, "wd", {"bill_code": "ex.bill_code", "item_code": "ex.item_code", "cover": "wd.pay", "pay_own": "wd.pay_total"})
+       + " FROM wd LEFT JOIN ex ON ex.claim_code=wd.claim_code WHERE wd.group_type IN (2,5)")
+def _(r):
+    claims = wide_details(r).filter("group_type IN (2, 5)").withColumns({"cover": F.col("pay"), "pay_own": F.col("pay_total")})
+    return reports.insurer_view("health", claims, exported(r))
+
+
+@query("export_view_misc", columns_of(MISC_VIEW),
+       EXPORTED_SQL + shown_sql(MISC_VIEW, "ex", {"document_link": "NULL", "branch_name": "NULL", "document_id": "k.document_id", "document_code": "k.document_code"})
+       + """ FROM ex LEFT JOIN (SELECT claim_code, claim_code || '-' || kind AS document_id, 'D' || claim_code AS document_code FROM r_document) k ON k.claim_code=ex.claim_code WHERE ex.group_type=6""")
 def _(r):
-    return bills_of(r)["export"]
+    documents = r.document.select("claim_code", F.concat_ws("-", "claim_code", "kind").alias("document_id"), F.concat(F.lit("D"), F.col("claim_code")).alias("document_code"))
+    return reports.insurer_view("misc", wide_details(r), exported(r), documents=documents)
 
 
 @query("generate_bill_state", "import_id:i status_id:i bill_code:s billing_date:y",
@@ -183,7 +243,7 @@ def _(r):
 
 
 @query("state_delete_insert", "detail_id:i cover_amount:d",
-       """SELECT detail_id, cover_amount FROM r_prior_result WHERE detail_id NOT IN (SELECT detail_id FROM r_bill_item)
+       """SELECT detail_id, cover_amount FROM r_prior_result p WHERE NOT EXISTS (SELECT 1 FROM r_bill_item i WHERE i.detail_id=p.detail_id)
           UNION ALL SELECT detail_id, amount_total FROM r_bill_item""")
 def _(r):
     new = r.bill_item.select("detail_id", F.col("amount_total").alias("cover_amount"))

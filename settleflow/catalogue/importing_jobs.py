@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from settleflow.catalogue.base import query
+from settleflow.catalogue.base import query, wide_sql
 from settleflow.functions import messages as M
 from settleflow.functions.scalars import flag, join_text, month_start
 from settleflow.operators.aggregates import distinct_text
 from settleflow.operators.joins import map_value
 from settleflow.plans import importing
+from settleflow.plans.columns import CLAIM, claim_columns
 
 KINDS = {"1000": (24, 134), "P30": (24, 134), "2000": (24, 134)}
 
@@ -24,15 +25,30 @@ def staging(r):
 
 
 def claims(r):
+    day = F.lit(1) * F.col("line_no")
+    text = lambda word, column: F.concat(F.lit(word), F.col(column).cast("string"))
+    money = lambda column: column.cast("decimal(16,2)")
+    accident = F.col("group_type") == 3
     d = r.import_detail.select(
         "group_code", "claim_code", "group_type", "line_no", "insurer_id", F.col("pay_total").alias("amount"), F.col("customer_id").alias("app_id"),
         "claim_type_code", "happened_at", "hospital_id", "product_id", "branch_id",
         F.when(F.col("group_type") == 3, F.lit("2000")).when(F.col("group_type") == 4, "2222")
         .when(F.col("group_type") == 6, F.when(F.col("insurer_id") == 4, "ZebraMisc").otherwise("Misc"))
         .when(F.col("insurer_id") % 2 == 0, "P30").otherwise("1000").alias("product_code"),
-        F.when(F.col("group_type") == 3, F.when(F.col("line_no") == 1, "4001").when(F.col("line_no") == 2, "4009")
-               .when(F.col("line_no") == 3, "4010").otherwise("4002")).alias("admit_code"),
-        F.when(F.col("group_type") == 6, join_text(F.lit("OWN"), F.col("product_id"))).alias("own_policy"))
+        F.when(accident, F.when(F.col("line_no") == 1, "4001").when(F.col("line_no") == 2, "4009")
+               .when(F.col("line_no") == 3, "4010").when(F.col("line_no") == 4, "4006").otherwise("4002")).alias("admit_code"),
+        F.when(F.col("group_type") == 6, join_text(F.lit("OWN"), F.col("product_id"))).alias("own_policy"),
+        # what a wide row shows of a claim
+        F.concat(F.lit("P"), (F.col("branch_id") % 7).cast("string")).alias("province"), text("ID", "customer_id").alias("identity_card"), F.col("pay_total").alias("pay"),
+        F.col("happened_at").alias("date_in"), F.expr("happened_at + make_dt_interval(line_no)").alias("date_out"), text("AP", "customer_id").alias("application_code"),
+        F.col("created_at").alias("noticed_at"), F.col("created_at").cast("date").alias("cover_from"), text("T", "claim_type_code").alias("claim_type"),
+        F.when(F.col("claim_type_code") == "1000", "4110").otherwise("4130").alias("style"),
+        F.concat(F.lit("I"), (F.col("product_id") % 100).cast("string")).alias("icd10_code"), F.concat(F.lit("diagnosis "), (F.col("product_id") % 100).cast("string")).alias("icd10"),
+        F.col("line_no").alias("ipd_count"), (F.col("line_no") % 2).alias("icu_count"), F.col("pay_total").alias("net"), money(day).alias("compensate_include"),
+        F.col("pay_total").alias("gross_total"), money(day % 3).alias("discount"), "pay_total", text("S", "branch_id").alias("school_name"), text("CD", "customer_id").alias("customer_detail_code"),
+        text("L", "line_no").alias("school_level"), F.concat(F.lit("cause "), (F.col("hospital_id") % 10).cast("string")).alias("accident"),
+        F.concat(F.lit("complaint "), (F.col("product_id") % 7).cast("string")).alias("chief_complaint"), money(day).alias("compensate_in"), money(day + 1).alias("compensate_out"),
+        F.col("pay_total").alias("amount_pay"), F.col("pay_total").alias("compensate_amount"), text("remark ", "rf").alias("remark"))
     return d
 
 
@@ -41,6 +57,28 @@ def all_sources(r):
     return claims(r).withColumn("source", map_value(F.col("group_type"), importing.SOURCE_OF_TYPE)).drop("group_type", "line_no")
 
 
+def wide_details(r):
+    """Imported claims with all the columns of a wide row."""
+    keys = r.import_detail.select("import_id", "detail_id", "claim_code", "group_code", "group_type", "claim_type_code", "insurer_id", "customer_id", "line_no", "created_at")
+    shown = all_sources(r).drop("group_code", "claim_type_code", "insurer_id")
+    rows = (keys.join(shown, "claim_code").join(r.hospital.select("hospital_id", "hospital_name"), "hospital_id", "left")
+            .join(r.t("part").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")), "product_id", "left")
+            .join(r.t("customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name")), "customer_id", "left"))
+    return rows.select(*keys.columns, "source", join_text(F.lit("Insurer "), F.col("insurer_id")).alias("insurer_name"),
+                       *claim_columns(rows, {"policy_no": F.col("own_policy"), "admit_type": F.col("admit_code")}))
+
+
+ADMIT_SQL = "CASE WHEN d.group_type=3 THEN CASE line_no WHEN 1 THEN '4001' WHEN 2 THEN '4009' WHEN 3 THEN '4010' WHEN 4 THEN '4006' ELSE '4002' END END"
+WIDE_DETAIL_SQL = f"""wd AS MATERIALIZED (SELECT d.import_id, d.detail_id, d.claim_code, d.group_code, d.group_type, d.claim_type_code, d.insurer_id, d.customer_id, d.line_no,
+    'Insurer ' || d.insurer_id AS insurer_name, {wide_sql({"hospital": M.HOSPITAL_CLAIM, "customer": M.CUSTOMER_CLAIM})}, CASE WHEN d.group_type=6 THEN 'OWN' || product_id END AS policy_no, {ADMIT_SQL} AS admit_type
+    FROM r_import_detail d LEFT JOIN r_hospital h ON h.hospital_id=d.hospital_id LEFT JOIN part p ON p.p_partkey=d.product_id LEFT JOIN customer c ON c.c_custkey=d.customer_id)"""
+
+
+def columns_of(spec):
+    """Output columns of a wide specification as the registry spells them."""
+    return " ".join(f"{name}:{ {'string': 's', 'int': 'i', 'decimal(16,2)': 'd', 'timestamp_ntz': 't', 'date': 'y', 'boolean': 'i'}[kind] }" for name, kind in spec.items())
+
+
 def union_of_sources(r):
     """The same claims as four source tables brought together."""
     by = lambda *types: claims(r).filter(F.col("group_type").isin(*types)).drop("group_type", "line_no")
@@ -62,7 +100,7 @@ BATCH_SQL = f"""base AS (SELECT import_id*10 AS tmp_id, group_code, item_count +
     cl AS (SELECT group_code, claim_code, group_type, insurer_id, pay_total AS amount, customer_id AS app_id, claim_type_code, happened_at, hospital_id, product_id, branch_id,
         CASE WHEN group_type=3 THEN '2000' WHEN group_type=4 THEN '2222' WHEN group_type=6 THEN CASE WHEN insurer_id=4 THEN 'ZebraMisc' ELSE 'Misc' END
           WHEN insurer_id%2=0 THEN 'P30' ELSE '1000' END AS product_code,
-        CASE WHEN group_type=3 THEN CASE line_no WHEN 1 THEN '4001' WHEN 2 THEN '4009' WHEN 3 THEN '4010' ELSE '4002' END END AS admit_code,
+        CASE WHEN group_type=3 THEN CASE line_no WHEN 1 THEN '4001' WHEN 2 THEN '4009' WHEN 3 THEN '4010' WHEN 4 THEN '4006' ELSE '4002' END END AS admit_code,
         CASE WHEN group_type=6 THEN 'OWN' || product_id END AS own_policy FROM r_import_detail),
     dk AS (SELECT claim_code, max(CASE WHEN kind=24 THEN 1 ELSE 0 END) AS a, max(CASE WHEN kind=134 THEN 1 ELSE 0 END) AS b FROM r_document GROUP BY claim_code),
     chk AS (SELECT cl.*, CASE WHEN group_type=6 THEN 1 WHEN dk.claim_code IS NULL THEN 0
@@ -71,7 +109,7 @@ BATCH_SQL = f"""base AS (SELECT import_id*10 AS tmp_id, group_code, item_count +
         sum(CASE WHEN doc_ok=0 THEN 1 ELSE 0 END) AS missing_docs, max(app_id) AS app_id, max(CASE WHEN admit_code='4001' THEN 1 ELSE 0 END) AS n1,
         max(CASE WHEN admit_code='4009' THEN 1 ELSE 0 END) AS n2, max(CASE WHEN admit_code='4010' THEN 1 ELSE 0 END) AS n3 FROM chk GROUP BY group_code),
     pol AS (SELECT app_id, max(CASE WHEN policy_type_id=9601 THEN detail END) AS h1, max(CASE WHEN policy_type_id=9602 THEN detail END) AS h2,
-        max(CASE WHEN policy_type_id=9604 THEN detail END) AS h4, substr(string_agg(detail || ' (' || policy_type_id || ')', ' > ' ORDER BY created_at, policy_key),1,255) AS history
+        max(CASE WHEN policy_type_id=9604 THEN detail END) AS h4, string_agg(detail || ' (' || policy_type_id || ')', ' > ' ORDER BY created_at, policy_key) AS history
         FROM r_policy GROUP BY app_id),
     x AS (SELECT stg.*, db.n, db.amt, db.product_code, db.claim_type_code, missing_docs, r.c AS in_file, k.group_code AS known,
         CASE product_code WHEN '1000' THEN 2 WHEN '2000' THEN 3 WHEN '2222' THEN 4 WHEN 'P30' THEN 5 WHEN 'Misc' THEN 6 END AS found_type, history,
@@ -114,7 +152,7 @@ def imports(r):
         batch(r)["groups"], d, companies, r.policy, monthly, r.hospital,
         r.t("part").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")),
         r.t("customer").select(F.col("c_custkey").alias("app_id"), F.col("c_name").alias("customer_name")),
-        admit_names, r.branch, last, "file-1")
+        admit_names, last, "file-1", 77, "2002-01-15 10:00:00")
 
 
 IMPORT_SQL = BATCH_SQL.replace("\n    ;; ", """,
@@ -123,21 +161,26 @@ IMPORT_SQL = BATCH_SQL.replace("\n    ;; ", """,
     piv AS (SELECT app_id, max(CASE WHEN policy_type_id=9601 THEN detail END) AS p1, max(CASE WHEN policy_type_id=9602 THEN detail END) AS p2,
         max(CASE WHEN policy_type_id=9604 THEN detail END) AS p4, max(CASE WHEN policy_type_id=9605 THEN detail END) AS p5 FROM r_policy GROUP BY app_id),
     mon AS (SELECT app_id, date_trunc('month', created_at) AS period, max(detail) AS policy_no FROM r_policy GROUP BY 1,2),
-    dd AS (SELECT g.import_id, cl.group_code, cl.claim_code, cl.amount, cl.happened_at, h.hospital_name, p.p_name AS product_name, c.c_name AS customer_name, b.branch,
-        CASE WHEN g.group_type IN (2,4,5) THEN mon.policy_no WHEN g.group_type=3 THEN coalesce(CASE admit_code WHEN '4009' THEN p2 WHEN '4010' THEN p4 ELSE p1 END, p5) ELSE own_policy END AS policy_no,
-        CASE WHEN g.group_type=6 THEN 'l' || i.ls || ',r' || i.rf ELSE admit_code END AS admit_type
-        FROM g JOIN cl ON g.group_code=cl.group_code LEFT JOIN piv ON piv.app_id=cl.app_id LEFT JOIN mon ON mon.app_id=cl.app_id AND mon.period=date_trunc('month', cl.happened_at)
-        LEFT JOIN r_hospital h ON h.hospital_id=cl.hospital_id LEFT JOIN part p ON p.p_partkey=cl.product_id LEFT JOIN customer c ON c.c_custkey=cl.app_id
-        LEFT JOIN r_branch b ON b.branch_id=cl.branch_id JOIN r_item i ON i.claim_code=cl.claim_code)
+    dd AS (SELECT g.import_id AS new_id, d.group_code, d.claim_code, """ + wide_sql({"hospital": M.HOSPITAL_CLAIM, "customer": M.CUSTOMER_CLAIM}) + """,
+        CASE WHEN g.group_type IN (2,4,5) THEN mon.policy_no WHEN g.group_type=3 THEN coalesce(CASE line_no WHEN 2 THEN p2 WHEN 3 THEN p4 ELSE p1 END, p5) ELSE 'OWN' || product_id END AS policy_no,
+        CASE WHEN g.group_type=6 THEN 'l' || ls || ',r' || rf WHEN g.group_type=3 THEN CASE line_no WHEN 1 THEN '4001' WHEN 2 THEN '4009' WHEN 3 THEN '4010' WHEN 4 THEN '4006' ELSE '4002' END END AS admit_type
+        FROM g JOIN r_import_detail d ON g.group_code=d.group_code LEFT JOIN piv ON piv.app_id=d.customer_id LEFT JOIN mon ON mon.app_id=d.customer_id AND mon.period=date_trunc('month', d.happened_at)
+        LEFT JOIN r_hospital h ON h.hospital_id=d.hospital_id LEFT JOIN part p ON p.p_partkey=d.product_id LEFT JOIN customer c ON c.c_custkey=d.customer_id)
     ;; """)
+WIDE = columns_of(CLAIM)
 
 
-@query("import_claim_groups", "import_id:i group_code:s claim_code:s amount:d happened_at:t hospital_name:s product_name:s customer_name:s policy_no:s admit_type:s branch:s",
-       IMPORT_SQL + "SELECT * FROM dd")
+@query("import_claim_groups", "import_id:i group_code:s claim_code:s " + WIDE, IMPORT_SQL + "SELECT *, new_id AS import_id FROM dd")
 def _(r):
     return imports(r)["details"]
 
 
+@query("import_claim_groups_audit", "import_id:i note:s created_by:i created_at:t",
+       IMPORT_SQL + f"SELECT import_id, '{M.IMPORTED_FROM_FILE}' AS note, 77 AS created_by, TIMESTAMP '2002-01-15 10:00:00' AS created_at FROM g")
+def _(r):
+    return imports(r)["audit"]
+
+
 @query("import_claim_groups_head", "import_id:i group_code:s group_type:i item_count:i total_amount:d company_name:s status_id:i", IMPORT_SQL + "SELECT *, 2 AS status_id FROM g")
 def _(r):
     return imports(r)["groups"]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -20,39 +19,36 @@ CUT = {"compensate": dt.date(1995, 6, 1), "opd": dt.date(1995, 6, 1), "ipd": dt.
 
 
 def sources(r):
+    """Claims of all sources in one frame; a column that a source lacks is NULL there."""
     d = r.import_detail.select(
-        "group_code", "claim_code", F.col("claim_code").alias("origin_code"), "branch_id", "insurer_id", "created_at", "group_type", "claim_type_code",
+        "group_code", "claim_code", F.col("claim_code").alias("origin_code"), "branch_id", "insurer_id", "created_at", "claim_type_code",
+        F.when(F.col("group_type") == 4, "compensate").when(F.col("group_type") == 3, "accident").when(F.col("group_type") == 6, "misc").otherwise("health").alias("source"),
         F.col("pay_total").alias("amount"), join_text(F.lit("U"), F.col("insurer_id")).alias("created_by"), join_text(F.lit("U"), F.col("branch_id")).alias("updated_by"),
         join_text(F.lit("P"), F.col("group_type")).alias("product_name"), F.lit(1).alias("group_items"), F.col("happened_at").alias("claim_created_at"),
         F.when(F.col("status_id") == 2, 1).when(F.col("status_id") == 3, 0).alias("is_online"), "line_no", "rf", "ls")
-    five = F.col("branch_id") % 5
+    five, kind = F.col("branch_id") % 5, F.col("line_no")
     health_admit = F.when(five == 0, "4000").when(five == 1, "1001").otherwise("2001")
-    kind = F.col("line_no")
     accident_admit = F.when(kind == 1, "4001").when(kind == 2, "4005").when(kind == 3, "4009").otherwise("4003")
-    return {
-        "compensate": d.filter("group_type = 4"),
-        "health": d.filter("group_type IN (2, 5)").withColumns({"admit_type": health_admit, "payback_status": F.when(F.col("rf") == "N", 1)}),
-        "accident": d.filter("group_type = 3").withColumns({
-            "admit_type": accident_admit, "style": F.when(F.col("claim_type_code") == "1000", "4110").otherwise("4130"),
-            "claim_status": F.when(F.col("rf") == "A", "3570").otherwise("3500")}),
-        "misc": d.filter("group_type = 6").withColumns({
-            "status": F.when(F.col("ls") == "O", 3).otherwise(2), "product_type": F.when(F.col("branch_id") < 5, 34).when(F.col("branch_id") < 15, 27).otherwise(11),
-            "payment_type": F.when(F.col("line_no") < 4, 1).otherwise(2), "claim_kind": F.when(F.col("claim_type_code") == "1000", 2).otherwise(3)}),
-    }
+    of = lambda source, value: F.when(F.col("source") == source, value)
+    return d.withColumns({
+        "admit_type": F.coalesce(of("health", health_admit), of("accident", accident_admit)),
+        "payback_status": of("health", F.when(F.col("rf") == "N", 1)),
+        "style": of("accident", F.when(F.col("claim_type_code") == "1000", "4110").otherwise("4130")),
+        "claim_status": of("accident", F.when(F.col("rf") == "A", "3570").otherwise("3500")),
+        "status": of("misc", F.when(F.col("ls") == "O", 3).otherwise(2)),
+        "product_type": of("misc", F.when(F.col("branch_id") < 5, 34).when(F.col("branch_id") < 15, 27).otherwise(11)),
+        "payment_type": of("misc", F.when(F.col("line_no") < 4, 1).otherwise(2)),
+        "claim_kind": of("misc", F.when(F.col("claim_type_code") == "1000", 2).otherwise(3))})
 
 
-MODES = [(2, 5, "compensate"), (2, 2, "health"), (2, 3, "health"), (2, 4, "health"), (2, 6, "health"),
-         (3, 2, "accident"), (3, 3, "accident"), (3, 4, "accident"), (3, 6, "accident"), (11, 7, "misc"), (11, 8, "misc"), (4, 7, "misc"), (4, None, "misc")]
+MODES = [(2, 5), (2, 2), (2, 3), (2, 4), (2, 6), (3, 2), (3, 3), (3, 4), (3, 6), (11, 7), (11, 8), (4, 7), (4, None)]
 
 
 def candidates(r, modes, **choice):
-    src = sources(r)
-    paid = r.import_detail.filter("rf = 'A' AND ls = 'F'").select("claim_code", F.when(F.col("line_no") < 5, 2).otherwise(3).alias("group_type"),
+    paid = r.import_detail.filter("rf = 'A' AND ls = 'F'").select("claim_code", F.when(F.col("line_no") < 5, 2).otherwise(3).alias("kind"),
                                                                   F.when(F.col("group_type") == 3, 3).otherwise(2).alias("product"))
     paid_groups = r.payback.filter("transfer_id IS NOT NULL").select("group_code")
-    for product, kind, name in modes:
-        groups = intake.intake_candidates(src[name], r.document, paid, paid_groups, product, kind, CUT, **choice)
-        yield groups.select(F.lit(product).alias("product"), F.lit(kind).cast("int").alias("kind"), *groups.columns)
+    return intake.intake_candidates(sources(r), r.document, paid, paid_groups, modes, CUT, **choice)
 
 
 CAND_SQL = """d AS (SELECT *, CASE status_id WHEN 2 THEN 1 ELSE 0 END AS online FROM r_import_detail WHERE group_code LIKE '%0'),
@@ -82,14 +78,14 @@ CAND_SQL = """d AS (SELECT *, CASE status_id WHEN 2 THEN 1 ELSE 0 END AS online
 
 @query("intake_candidates", "product:i kind:i group_code:s item_count:i amount:d created_at:t insurer_id:i has_documents:i", CAND_SQL + "SELECT * FROM cand")
 def _(r):
-    return reduce(lambda a, b: a.unionByName(b), candidates(r, MODES))
+    return candidates(r, MODES)
 
 
 @query("intake_candidates_page", "group_code:s branch:s item_count:i amount:d total_count:i",
        CAND_SQL + """SELECT group_code, branch, item_count, amount, count(*) OVER () AS total_count FROM cand LEFT JOIN r_branch USING (branch_id)
           WHERE product=2 AND kind=2 AND has_documents=1 ORDER BY group_code LIMIT 10 OFFSET 10""")
 def _(r):
-    groups = next(iter(candidates(r, [(2, 2, "health")], has_documents=True)))
+    groups = candidates(r, [(2, 2)], has_documents=True)
     return intake.intake_page(groups, r.branch, 10, 10)
 
 
@@ -151,14 +147,54 @@ def _(r):
     return amounts(r, 11, 7)
 
 
+def code_counters(r):
+    used = r.payback.groupBy(F.substring("payback_code", 1, 4).alias("prefix")).agg(F.count(F.lit(1)).alias("running"))
+    return used.select("prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
+
+
 def creation_of(r, kind, repeated=False):
     claims = r.import_detail.filter("is_active AND group_type IN (2, 3)").select(
         "group_code", "claim_code", F.col("group_type").alias("product"), "branch_id", "insurer_id", "created_at", F.col("pay_total").alias("amount"), "hospital_id",
         F.when(F.col("status_id") == 2, 1).otherwise(0).alias("is_online"), join_text(F.lit("CO"), F.col("import_id")).alias("online_code"))
     existing = r.payback.filter("transfer_id IS NOT NULL" if repeated else "transfer_id < 0").select("group_code")
-    counters = r.payback.groupBy(F.substring("payback_code", 1, 4).alias("prefix")).agg(F.count(F.lit(1)).alias("running")).select("prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
     online = r.import_detail.filter("rf <> 'A'").select("claim_code")
-    return creation.create_payback(wanted_codes(r), claims, existing, kind, 1, "1997-01-01", AS_OF, counters, online)
+    return creation.create_payback(wanted_codes(r), claims, existing, kind, 1, "1997-01-01", AS_OF, code_counters(r), online)
+
+
+def special_claims(r, group_type):
+    return r.import_detail.filter(F.col("is_active") & (F.col("group_type") == group_type)).select(
+        "group_code", "claim_code", F.col("detail_id").alias("misc_id"), F.when(F.col("insurer_id") == 4, 4).otherwise(11).alias("product"), "branch_id", "insurer_id", "created_at",
+        "customer_id", F.col("pay_total").alias("amount"), "hospital_id", join_text(F.lit("CO"), F.col("import_id")).alias("online_code"))
+
+
+def special_creation(r, kind):
+    """Compensations (kind 5) or miscellaneous claims (7, 8): claims of flag A have no known payment type, those of flag R two."""
+    existing = r.payback.filter("transfer_id < 0").select("group_code")
+    rows = special_claims(r, 4 if kind == 5 else 6)
+    if kind == 5:
+        rows = creation.compensate_claims(rows)
+    else:
+        kinds = F.when(F.col("rf") == "R", F.array(F.lit(1), F.lit(2))).when(F.col("rf") == "N", F.array((F.col("line_no") % 3 + 1).cast("int")))
+        rows = creation.misc_claims(rows, r.item.select(F.col("detail_id").alias("misc_id"), F.explode(kinds).alias("payment_type")))
+    codes = r.import_detail.select("group_code").distinct()
+    online = r.import_detail.filter("rf <> 'A'").select("claim_code")
+    return creation.create_payback(codes, rows, existing, kind, 1, "1997-01-01", AS_OF, code_counters(r), online, product=2 if kind == 5 else 11)
+
+
+def special_sql(kind):
+    kinds = """(SELECT detail_id, 1 AS payment_type FROM r_item WHERE rf='R' UNION ALL SELECT detail_id, 2 FROM r_item WHERE rf='R' UNION ALL SELECT detail_id, line_no%3+1 FROM r_item WHERE rf='N')"""
+    rows = f"""SELECT d.*, CASE WHEN insurer_id=4 THEN 4 ELSE 11 END AS product, coalesce(k.payment_type, 3) AS payment_type FROM r_import_detail d LEFT JOIN {kinds} k ON k.detail_id=d.detail_id
+        WHERE is_active AND group_type=6"""
+    if kind == 5:
+        rows = "SELECT * EXCLUDE (branch_id), 70 AS branch_id, 2 AS product, 3 AS payment_type FROM r_import_detail WHERE is_active AND group_type=4"
+    place = "" if kind == 5 else " AND t.hospital_id=k.hospital_id"
+    return f"""w AS MATERIALIZED ({rows}),
+       pb AS (SELECT branch_id, sum(pay_total) AS amount, 'CPBG4501' || printf('%06d', (SELECT count(*) FROM r_payback) + row_number() OVER (ORDER BY branch_id)) AS payback_code FROM w GROUP BY branch_id),
+       t AS (SELECT group_code{'' if kind == 5 else ', hospital_id'}, count(*) AS item_count, sum(pay_total) AS amount, max('CO' || import_id) AS online_code FROM w GROUP BY ALL),
+       k AS (SELECT DISTINCT group_code, branch_id, product, insurer_id, payment_type, hospital_id FROM w),
+       dt AS MATERIALIZED (SELECT k.*, t.item_count, t.amount, t.online_code, 'CPBH4501' || printf('%06d', row_number() OVER (ORDER BY k.group_code, branch_id, product, insurer_id, payment_type, k.hospital_id)) AS detail_code
+          FROM k JOIN t ON t.group_code=k.group_code{place})
+       ;; """
 
 
 def creation_sql(kind):
@@ -197,6 +233,53 @@ def _(r):
     return creation_of(r, 4, repeated=True)["check"]
 
 
+SPECIAL_DETAILS = "detail_code:s payback_code:s group_code:s branch_id:i product:i insurer_id:i payment_type:i hospital_id:i item_count:i amount:d online_code:s"
+SPECIAL_DETAILS_SQL = "SELECT dt.*, payback_code FROM dt JOIN pb ON dt.branch_id=pb.branch_id"
+LINKS_SQL = """SELECT detail_code, claim_code, pay_total AS claim_pay FROM w JOIN dt ON dt.group_code=w.group_code AND dt.payment_type=w.payment_type AND dt.hospital_id=w.hospital_id AND dt.insurer_id=w.insurer_id
+    AND dt.branch_id=w.branch_id AND dt.product=w.product"""
+
+
+@query("create_payback_compensate", "payback_code:s group_type:i branch_id:i pay_group:i amount:d status_id:i",
+       special_sql(5) + "SELECT payback_code, 5 AS group_type, branch_id, 1 AS pay_group, amount, 2 AS status_id FROM pb")
+def _(r):
+    return special_creation(r, 5)["paybacks"]
+
+
+@query("create_payback_compensate_details", SPECIAL_DETAILS, special_sql(5) + SPECIAL_DETAILS_SQL)
+def _(r):
+    return special_creation(r, 5)["details"]
+
+
+@query("create_payback_misc", "payback_code:s group_type:i branch_id:i pay_group:i amount:d status_id:i",
+       special_sql(8) + "SELECT payback_code, 8 AS group_type, branch_id, 1 AS pay_group, amount, 2 AS status_id FROM pb")
+def _(r):
+    return special_creation(r, 8)["paybacks"]
+
+
+@query("create_payback_misc_details", SPECIAL_DETAILS, special_sql(7) + SPECIAL_DETAILS_SQL)
+def _(r):
+    return special_creation(r, 7)["details"]
+
+
+@query("create_payback_misc_claims", "detail_code:s claim_code:s claim_pay:d", special_sql(8) + LINKS_SQL)
+def _(r):
+    return special_creation(r, 8)["claims"]
+
+
+@query("create_payback_misc_online_claims", "detail_code:s claim_code:s claim_pay:d", special_sql(7) + LINKS_SQL + " WHERE rf<>'A'")
+def _(r):
+    return special_creation(r, 7)["claims"]
+
+
+@query("create_payback_hospital_report", "group_code:s hospital_name:s claim_code:s customer_name:s amount:d sent_at:t paid_at:t group_type:i",
+       special_sql(8) + """SELECT d.group_code, hospital_name, d.claim_code, c_name AS customer_name, pay_total AS amount, TIMESTAMP '2002-01-15 10:00:00' AS sent_at, CAST(NULL AS TIMESTAMP) AS paid_at, 8 AS group_type
+          FROM r_import_detail d JOIN r_hospital h ON h.hospital_id=d.hospital_id JOIN customer c ON c.c_custkey=d.customer_id WHERE d.is_active AND d.group_type=6 AND d.group_code IN (SELECT group_code FROM dt)""")
+def _(r):
+    made = special_creation(r, 8)
+    customers = r.t("customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"))
+    return creation.hospital_report(made["mapping"], special_claims(r, 6), r.hospital, customers, 8, "2002-01-15 10:00:00")
+
+
 @query("withdrawal_rounds", "claim_code:s amount:d round_no:i created_at:t is_active:i",
        """h AS (SELECT detail_id, claim_code, amount, line_no%5+1 AS round_no, happened_at AS created_at FROM r_item WHERE ls='F'),
        lastr AS (SELECT round_no FROM h ORDER BY created_at DESC, round_no DESC LIMIT 1),
@@ -251,6 +334,28 @@ def _(r):
     return bundling(r)["paybacks"]
 
 
+def shared_bundling(r):
+    """Late requests list the waiting pay-backs of every fourth customer again, and the first of them twice."""
+    base = r.imported.filter("is_active AND status_id = 2").select("customer_id", "insurer_id", F.col("import_id").cast("string").alias("payback_ref"))
+    first = base.select(F.col("customer_id").alias("request_id"), "insurer_id", "payback_ref")
+    again = base.filter("customer_id % 4 = 0").select((F.col("customer_id") + 2000000).alias("request_id"), "insurer_id", "payback_ref")
+    blanks = first.filter("insurer_id = 7").withColumn("payback_ref", F.lit(" "))
+    kind = F.lit(3).alias("group_type")
+    rows = first.unionByName(again).unionByName(again).unionByName(blanks).select("request_id", kind, "payback_ref")
+    return transfers.create_transfers(rows, r.payback, AS_OF, used_codes(r, 4))
+
+
+@query("create_transfer_shared", "request_id:i amount:d message:s",
+       f"""base AS (SELECT customer_id, insurer_id, total_amount FROM r_imported WHERE is_active AND status_id=2),
+       rq AS (SELECT customer_id AS request_id, max(CASE WHEN insurer_id=7 THEN 1 ELSE 0 END) AS blank, sum(total_amount) AS amount FROM base GROUP BY customer_id),
+       lt AS (SELECT request_id+2000000 AS request_id, amount, CASE WHEN blank=1 THEN NULL ELSE '{M.PARTLY_TRANSFERRED}' END AS message FROM rq WHERE request_id%4=0)
+       ;; SELECT request_id, CASE WHEN blank=0 THEN amount END AS amount, CASE WHEN blank=1 THEN '{M.UNKNOWN_ENTRY}' END AS message FROM rq
+          UNION ALL SELECT request_id, CASE WHEN message IS NULL THEN amount END, message FROM lt""")
+def _(r):
+    out = shared_bundling(r)
+    return out["check"].join(out["transfers"].select("request_id", "amount"), "request_id", "left")
+
+
 HOSPITAL_SQL = """t AS (SELECT transfer_id, group_type FROM r_transfer),
     g AS (SELECT d.transfer_id, d.hospital_id, count(*) AS item_count, sum(d.amount) AS amount FROM r_payback_detail d JOIN t ON t.transfer_id=d.transfer_id WHERE t.group_type IN (4,8) GROUP BY 1,2),
     s AS (SELECT *, 'HCG4501' || printf('%06d', row_number() OVER (ORDER BY transfer_id, hospital_id)) AS subgroup_code FROM g)

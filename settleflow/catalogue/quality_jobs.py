@@ -17,14 +17,14 @@ def links(r):
 
 
 @query("dq_duplicate_claims", "claim_code:i times:i",
-       "SELECT l_orderkey*100+l_linenumber AS claim_code, count(*) AS times FROM lineitem GROUP BY 1 HAVING count(*)>1 ORDER BY times DESC, CAST(claim_code AS BIGINT) LIMIT 100")
+       "SELECT l_orderkey*100+l_linenumber AS claim_code, count(*) AS times FROM lineitem GROUP BY 1 HAVING count(*)>1")
 def _(r):
     return Q.duplicate_claims(links(r))
 
 
 @query("dq_no_document", "claim_code:s payback_code:s transfer_id:i created_at:t",
        """SELECT claim_code, payback_code, transfer_id, created_at FROM r_payback_claim c JOIN r_payback p ON p.payback_id=c.payback_id
-          WHERE group_type<>7 AND created_at >= '1996-01-01' AND claim_code NOT IN (SELECT claim_code FROM r_document) ORDER BY created_at DESC, claim_code LIMIT 6000""")
+          WHERE group_type<>7 AND created_at >= '1996-01-01' AND NOT EXISTS (SELECT 1 FROM r_document d WHERE d.claim_code=c.claim_code)""")
 def _(r):
     return Q.claims_without_document(r.payback_claim, r.payback, r.document, "1996-01-01")
 
@@ -98,17 +98,17 @@ def backfill(r):
     return Q.document_backfill(claims, documents, r.item.filter("rf = 'R'"), "1999-01-01 00:00:00")
 
 
-DUE_SQL = """due AS (SELECT DISTINCT claim_code FROM r_document WHERE happened_at > TIMESTAMP '1998-12-02 00:00:00' AND happened_at <= TIMESTAMP '1999-01-01 00:00:00'
-    AND claim_code NOT IN (SELECT claim_code FROM r_item WHERE rf='R')) ;; """
+DUE_SQL = """due AS MATERIALIZED (SELECT DISTINCT claim_code FROM r_document d WHERE happened_at > TIMESTAMP '1998-12-02 00:00:00' AND happened_at <= TIMESTAMP '1999-01-01 00:00:00'
+    AND NOT EXISTS (SELECT 1 FROM r_item i WHERE i.claim_code=d.claim_code AND rf='R')) ;; """
 
 
 @query("document_backfill", "document_id:s claim_code:s status_id:i updated_at:t",
-       DUE_SQL + "SELECT claim_code || '-' || kind AS document_id, claim_code, 2 AS status_id, TIMESTAMP '1999-01-01 00:00:00' AS updated_at FROM r_document WHERE claim_code IN (SELECT claim_code FROM due)")
+       DUE_SQL + "SELECT claim_code || '-' || kind AS document_id, claim_code, 2 AS status_id, TIMESTAMP '1999-01-01 00:00:00' AS updated_at FROM r_document JOIN due USING (claim_code)")
 def _(r):
     return backfill(r)["register"]
 
 
-@query("document_backfill_flags", "document_id:s is_uploaded:i", DUE_SQL + "SELECT claim_code || '-' || kind AS document_id, CASE WHEN claim_code IN (SELECT claim_code FROM due) THEN 1 ELSE 0 END AS is_uploaded FROM r_document")
+@query("document_backfill_flags", "document_id:s is_uploaded:i", DUE_SQL + "SELECT d.claim_code || '-' || kind AS document_id, CASE WHEN due.claim_code IS NULL THEN 0 ELSE 1 END AS is_uploaded FROM r_document d LEFT JOIN due ON due.claim_code=d.claim_code")
 def _(r):
     return backfill(r)["documents"]
 
@@ -121,19 +121,32 @@ def _(r):
 
 
 @query("log_search", "log_id:i message:s stamp:s",
-       """SELECT event_id AS log_id, event_type || ' ' || props AS message, strftime(ts,'%d %m %Y %H:%M') AS stamp FROM events WHERE ts >= '2024-01-05' AND ts < '2024-01-21' AND contains(event_type || ' ' || props, 'error {"k": 6')
-          ORDER BY ts, event_id LIMIT 100000""")
+       """SELECT event_id AS log_id, event_type || ' ' || props AS message, strftime(ts,'%d %m %Y %H:%M') AS stamp FROM events WHERE ts >= '2024-01-05' AND ts < '2024-01-21' AND contains(event_type || ' ' || props, 'error {"k": 6')""")
 def _(r):
     log = r.t("events").select(F.col("event_id").alias("log_id"), F.col("ts").alias("logged_at"), F.concat_ws(" ", "event_type", "props").alias("message"))
     return Q.log_search(log, "2024-01-05", "2024-01-20", 'error {"k": 6')
 
 
-FIND_TABLES = ["region", "nation", "customer", "supplier", "part", "orders"]
-FIND_COLUMNS = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"], "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], "supplier": ["s_suppkey", "s_name", "s_nationkey"],
-                "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]}
+# columns of the given tables that can hold a number, by how they are compared; the query finds them in the schemas
+NUMBERS = {
+    "region": "r_regionkey", "nation": "n_nationkey n_regionkey", "customer": "c_custkey c_nationkey c_acctbal", "supplier": "s_suppkey s_nationkey s_acctbal",
+    "part": "p_partkey p_size p_retailprice", "orders": "o_orderkey o_custkey o_totalprice", "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax",
+    "events": "event_id user_id value", "documents": "doc_id n_chars", "embeddings": "vec_id label", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id quality toxic", "conversations": "conv_id turn"}
+TEXTS = {
+    "region": "r_name", "nation": "n_name", "customer": "c_name c_mktsegment", "supplier": "s_name", "part": "p_name p_brand p_type", "orders": "o_orderstatus o_orderpriority",
+    "lineitem": "l_returnflag l_linestatus", "events": "event_type props", "documents": "text lang source", "pages": "url html", "benchmark": "text", "conversations": "role text"}
 
 
-@query("find_value_in_tables", "table_name:s column_name:s hits:i",
-       " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS hits FROM {t} WHERE CAST({c} AS VARCHAR)='17' HAVING count(*)>0" for t, cs in FIND_COLUMNS.items() for c in cs))
+def find_sql(value, *kinds):
+    test = {id(NUMBERS): f"= {value}", id(TEXTS): f"= '{value}'"}
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS hits FROM {t} WHERE {c} {test[id(kind)]} HAVING count(*)>0" for kind in kinds for t, cs in kind.items() for c in cs.split())
+
+
+@query("find_value_in_tables", "table_name:s column_name:s hits:i", find_sql("17", NUMBERS, TEXTS))
+def _(r):
+    return Q.find_value({t: r.t(t) for t in NUMBERS}, "17")
+
+
+@query("find_text_in_tables", "table_name:s column_name:s hits:i", find_sql("en", TEXTS) + " UNION ALL " + find_sql("user", TEXTS))
 def _(r):
-    return Q.find_value({t: r.t(t).select(*FIND_COLUMNS[t]) for t in FIND_TABLES}, "17")
+    return Q.find_value({t: r.t(t) for t in NUMBERS}, "en").unionByName(Q.find_value({t: r.t(t) for t in NUMBERS}, "user"))

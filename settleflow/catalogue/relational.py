@@ -183,7 +183,7 @@ def _(r):
 
 
 @query("anti_left_null", "item_code:s",
-       "SELECT i.item_code FROM r_bill_item i LEFT JOIN r_reject j ON i.item_code=j.item_code WHERE j.item_code IS NULL")
+       "SELECT item_code FROM r_bill_item i WHERE NOT EXISTS (SELECT 1 FROM r_reject j WHERE j.item_code=i.item_code)")
 def _(r):
     return r.bill_item.join(r.reject, "item_code", "left_anti")
 
@@ -288,11 +288,11 @@ def _(r):
 
 
 @query("agg_string_ordered", "app_id:i history:s",
-       """SELECT app_id, substr(string_agg(detail || ' (' || policy_type_id || ')', ' > ' ORDER BY created_at, policy_key), 1, 255) AS history
+       """SELECT app_id, string_agg(detail || ' (' || policy_type_id || ')', ' > ' ORDER BY created_at, policy_key) AS history
           FROM r_policy GROUP BY app_id""")
 def _(r):
     lines = r.policy.select("app_id", join_text(F.col("detail"), F.lit(" ("), F.col("policy_type_id"), F.lit(")")).alias("line"), "created_at", "policy_key")
-    return text_list(lines, ["app_id"], "line", ["created_at", "policy_key"], " > ", "history", 255)
+    return text_list(lines, ["app_id"], "line", ["created_at", "policy_key"], " > ", "history")
 
 
 @query("agg_string_distinct", "insurer_id:i kinds:s",

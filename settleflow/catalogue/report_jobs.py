@@ -213,7 +213,7 @@ def decided(r):
                     F.when(F.col("line_no") < 4, "-").alias("payment_ref"), (F.col("pay_total") - amount).cast("decimal(16,2)").alias("cover_amount"))
 
 
-DECIDED_SQL = """dc AS (SELECT i.*, coalesce(rejected_amount,0) AS uncover_amount, rejected_remark AS remark, CASE WHEN rejected_amount=amount_total THEN 4 ELSE 2 END AS decision_id
+DECIDED_SQL = """dc AS MATERIALIZED (SELECT i.*, coalesce(rejected_amount,0) AS uncover_amount, rejected_remark AS remark, CASE WHEN rejected_amount=amount_total THEN 4 ELSE 2 END AS decision_id
     FROM r_bill_item i LEFT JOIN r_reject j ON i.item_code=j.item_code)"""
 REJECTS = "item_code:s bill_code:s claim_code:s branch:s uncover_amount:d decision:s decided_at:t remark:s"
 
@@ -257,12 +257,6 @@ def _(r):
     return R.report_before_approval(claims, approvals, r.online_pay, 1)
 
 
-@query("export_bill_rows", "bill_code:s item_code:s claim_code:s branch:s hospital_name:s happened_at:t pay_total:d",
-       """SELECT bill_code, item_code, claim_code, branch, hospital_name, happened_at, amount_total AS pay_total FROM r_bill_item i LEFT JOIN r_branch b ON b.branch_id=i.branch_id LEFT JOIN r_hospital h ON h.hospital_id=i.hospital_id""")
-def _(r):
-    return R.export_bill_rows(r.bill_item, r.branch, r.hospital)
-
-
 @query("document_index", "group_code:s document_id:s document_type:i source:s main_index:s",
        """docs AS (SELECT order_key AS misc_id, claim_code || '-24' AS document_id, CAST(line_no AS INT) AS document_type, 'claim' AS source, CAST(NULL AS VARCHAR) AS code FROM r_document JOIN r_item USING (claim_code, order_key) WHERE kind=24 AND line_no<>3
          UNION ALL SELECT order_key, claim_code || '-134', NULL, s, 'D' || claim_code FROM r_document JOIN r_item USING (claim_code, order_key), (VALUES ('application'),('code')) v(s) WHERE kind=134 AND 336+line_no<>340)

@@ -43,13 +43,13 @@ def by_bill(r):
 
 STORED_SQL = """old AS (SELECT item_code, bill_code, cover_amount, CAST(0 AS DECIMAL(16,2)) AS uncover_amount, 'old' AS remark, CASE WHEN line_no=7 THEN 4 ELSE 2 END AS decision_id,
         DATE '2001-01-01' AS estimated_on FROM r_bill_item WHERE rf='A' AND ls='O'),
-    dec_ AS (SELECT i.*, j.rejected_amount, j.rejected_remark, CASE WHEN j.item_code IS NULL THEN 2
+    dec_ AS MATERIALIZED (SELECT i.*, j.rejected_amount, j.rejected_remark, CASE WHEN j.item_code IS NULL THEN 2
           WHEN amount_total-rejected_amount>0 AND amount_total-rejected_amount<amount_total THEN 3 ELSE 4 END AS d FROM r_bill_item i LEFT JOIN r_reject j ON i.item_code=j.item_code)"""
 IMPORT_SQL = STORED_SQL + """, pick AS (SELECT bill_code, min(tmp_code) AS tmp_code FROM r_bill_item i JOIN r_reject j ON i.item_code=j.item_code GROUP BY bill_code),
-    rows_ AS (SELECT dec_.*, pick.tmp_code, pay_total-coalesce(rejected_amount,0) AS new_cover, coalesce(rejected_amount,0) AS new_uncover FROM dec_ JOIN pick ON dec_.bill_code=pick.bill_code)
+    rows_ AS MATERIALIZED (SELECT dec_.*, pick.tmp_code, pay_total-coalesce(rejected_amount,0) AS new_cover, coalesce(rejected_amount,0) AS new_uncover FROM dec_ JOIN pick ON dec_.bill_code=pick.bill_code)
     ;; """
 BILL_SQL = STORED_SQL + """, pick AS (SELECT bill_code, 'TCB4501' || printf('%06d', (SELECT count(*) FROM r_bill) + row_number() OVER (ORDER BY bill_code)) AS tmp_code FROM r_bill WHERE claim_type_code='1000'),
-    rows_ AS (SELECT dec_.*, pick.tmp_code, pay_total-coalesce(rejected_amount,0) AS new_cover, coalesce(rejected_amount,0) AS new_uncover FROM dec_ JOIN pick ON dec_.bill_code=pick.bill_code)
+    rows_ AS MATERIALIZED (SELECT dec_.*, pick.tmp_code, pay_total-coalesce(rejected_amount,0) AS new_cover, coalesce(rejected_amount,0) AS new_uncover FROM dec_ JOIN pick ON dec_.bill_code=pick.bill_code)
     ;; """
 RESULT_COLUMNS = "item_code:s bill_code:s cover_amount:d uncover_amount:d remark:s decision_id:i estimated_on:y"
 
@@ -58,14 +58,14 @@ RESULT_COLUMNS = "item_code:s bill_code:s cover_amount:d uncover_amount:d remark
        IMPORT_SQL + """SELECT o.item_code, o.bill_code, coalesce(n.new_cover, o.cover_amount) AS cover_amount, coalesce(n.new_uncover, o.uncover_amount) AS uncover_amount, o.remark,
           coalesce(CASE WHEN n.d IN (2,3) THEN 2 ELSE n.d END, o.decision_id) AS decision_id, CASE WHEN n.item_code IS NULL THEN o.estimated_on ELSE DATE '2002-02-01' END AS estimated_on
           FROM old o LEFT JOIN rows_ n ON o.item_code=n.item_code
-          UNION ALL SELECT item_code, bill_code, new_cover, new_uncover, rejected_remark, CASE WHEN d IN (2,3) THEN 2 ELSE d END, DATE '2002-02-01' FROM rows_ WHERE item_code NOT IN (SELECT item_code FROM old)""")
+          UNION ALL SELECT item_code, bill_code, new_cover, new_uncover, rejected_remark, CASE WHEN d IN (2,3) THEN 2 ELSE d END, DATE '2002-02-01' FROM rows_ n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.item_code=n.item_code)""")
 def _(r):
     return by_import(r)["results"]
 
 
 @query("apply_results_by_bill", RESULT_COLUMNS,
        BILL_SQL + """SELECT * FROM old UNION ALL SELECT item_code, bill_code, new_cover, new_uncover, rejected_remark, CASE WHEN d IN (2,3) THEN 2 ELSE d END, DATE '2002-02-01'
-          FROM rows_ WHERE item_code NOT IN (SELECT item_code FROM old)""")
+          FROM rows_ n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.item_code=n.item_code)""")
 def _(r):
     return by_bill(r)["results"]
 
@@ -91,12 +91,12 @@ def _(r):
     return by_import(r)["received"]
 
 
-@query("apply_results_headers", "bill_code:s", IMPORT_SQL + "SELECT DISTINCT bill_code FROM rows_ WHERE item_code NOT IN (SELECT item_code FROM old)")
+@query("apply_results_headers", "bill_code:s", IMPORT_SQL + "SELECT DISTINCT bill_code FROM rows_ n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.item_code=n.item_code)")
 def _(r):
     return by_import(r)["headers"]
 
 
-@query("apply_results_imports", "item_code:s is_active:i", IMPORT_SQL + "SELECT item_code, CASE WHEN item_code IN (SELECT item_code FROM rows_) THEN 0 ELSE 1 END AS is_active FROM r_reject")
+@query("apply_results_imports", "item_code:s is_active:i", IMPORT_SQL + "SELECT j.item_code, CASE WHEN n.item_code IS NULL THEN 1 ELSE 0 END AS is_active FROM r_reject j LEFT JOIN (SELECT DISTINCT item_code FROM rows_) n ON n.item_code=j.item_code")
 def _(r):
     return by_import(r)["rejects"]
 

@@ -3,6 +3,9 @@
 Codes are handed out for a whole set at once: the counters go in as a table and the raised
 counters come out, so nothing has to be locked. How a counter table is keyed is known from the
 callers only: one row per prefix, year and month, with month ``00`` for codes without a month.
+
+A set often has one prefix only. Its rows are numbered by place (see ``numbering``), and the counters are
+added to the small table of spans, so no step shuffles rows by their prefix.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settleflow.functions.scalars import join_text, zero_pad
-from settleflow.operators.numbering import join_null_safe, keyed_row_number
+from settleflow.operators.numbering import numbered, places, spans
 
 
 def period(as_of: dt.date, with_month: bool = True) -> tuple[str, str]:
@@ -33,12 +36,16 @@ def current_counters(counters: DataFrame, as_of: dt.date, with_month: bool = Tru
 
 def running_codes(rows: DataFrame, prefix: str, order: list[str], width: int, as_of: dt.date,
                   counters: DataFrame, name: str = "code", with_month: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Rows with their code, and the raised counters (prefix, year, month, running)."""
-    numbered = keyed_row_number(rows, [prefix], order, "_n")
+    """Rows with their code, and the raised counters (prefix, year, month, running).
+
+    ``order`` identifies a row of a prefix. A row without a prefix gets no code and raises no counter.
+    """
+    placed = places(rows, [prefix, *order])
     last = current_counters(counters, as_of, with_month).withColumnRenamed("prefix", prefix)
+    used = spans(placed, [prefix], last)
+    based = numbered(rows, placed, [prefix, *order], {"_number": ([prefix], used)})
     year, month = period(as_of, with_month)
-    based = numbered.join(last, prefix, "left").withColumn("_number", F.coalesce("running", F.lit(0)) + F.col("_n"))
-    coded = based.select(*rows.columns, code_text(F.col(prefix), as_of, F.col("_number"), width, with_month).alias(name))
-    raised = based.groupBy(F.col(prefix).alias("prefix")).agg(F.max("_number").alias("running")).select(
+    coded = based.select(*rows.columns, F.when(F.col(prefix).isNotNull(), code_text(F.col(prefix), as_of, F.col("_number"), width, with_month)).alias(name))
+    raised = used.filter(F.col(prefix).isNotNull()).groupBy(F.col(prefix).alias("prefix")).agg(F.max(F.col("_span_before") + F.col("_span_n")).alias("running")).select(
         "prefix", F.lit(year).alias("year"), F.lit(month).alias("month"), "running")
     return coded, raised

@@ -30,6 +30,9 @@ MUST_HAVE = " ต้องมี "
 POLICY_HISTORY = "ประวัติการบันทึกกรมธรรม์ >> "
 CHECK_FUND_CLAIM = "ตรวจสอบรายการเคลมกองทุนรถม้าลาย"
 MISC_GROUP = "เบ็ดเตล็ด"
+HOSPITAL_CLAIM, CUSTOMER_CLAIM = "เคลมโรงพยาบาล", "เคลมลูกค้า"
+IMPORTED_FROM_FILE = "Import บ.ส. เรียบร้อย อยู่ระหว่างรอการ Generate Group วางบิล"
+IMPORTED_FROM_LIST = "ได้รับข้อมูล บ.ส. เรียบร้อย อยู่ระหว่างรอการ Generate Group วางบิล"
 
 # transfers
 UNKNOWN_ENTRY = "กรุณาตรวจสอบ รายการที่ส่งมา เนื่องจากไม่มีข้อมูลในระบบ"

@@ -6,10 +6,21 @@ functions or a ranked filter, which Spark also limits before the shuffle.
 
 from __future__ import annotations
 
+import io
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from settleflow.operators.numbering import keyed_row_number
+
+# functions go to the executors by value, so that the library need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def first_row_per_group(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each group that comes first in ``order`` (which identifies a row)."""
@@ -42,21 +53,43 @@ def all_true(test: Column) -> Column:
     return F.when(F.count(F.when(test, 1)) == F.count(F.lit(1)), 1).otherwise(0)
 
 
-def text_list(frame: DataFrame, keys: list[str], value: str, order: list[str], sep: str,
-              name: str, max_chars: int) -> DataFrame:
-    """Ordered list of values as one text per key, cut to the declared column width.
+def ordered_lines(frame: DataFrame, keys: list[str], order: list[str], name: str = "line_no") -> DataFrame:
+    """The rows of each key numbered in ``order``: a history as rows, of any length, spread over many tasks."""
+    return keyed_row_number(frame, keys, order, name)
 
-    Every value adds at least one character plus the separator, so values beyond
-    ``max_chars // (1 + len(sep)) + 1`` per key cannot reach the kept text. Ranking keeps exactly
-    those, before the shuffle, which bounds the list of a large key without changing the result.
-    Empty values are left out by the caller.
+
+def text_list(frame: DataFrame, keys: list[str], value: str, order: list[str], sep: str, name: str) -> DataFrame:
+    """Ordered values as one text per key, whole; NULL values are left out.
+
+    Rows are sorted by key and ``order`` on disk if need be, and each key's text grows row by row, so a task holds the
+    text it is about to hand out, never a list of a key's rows. Where a text may be too long for one cell, ask for
+    ``ordered_lines``.
     """
-    enough = max_chars // (1 + len(sep)) + 1
-    window = W.partitionBy(*keys).orderBy(*order)
-    ranked = frame.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= enough)
-    listed = ranked.groupBy(*keys).agg(F.collect_list(F.struct("_rank", value)).alias("_list"))
-    texts = F.transform(F.array_sort("_list"), lambda s: s[value].cast("string"))
-    return listed.select(*keys, F.substring(F.array_join(texts, sep), 1, max_chars).alias(name))
+    kept = frame.filter(F.col(value).isNotNull()).select(*keys, *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)], F.col(value).cast("string").alias("_value"))
+    ordered = kept.repartition(*keys).sortWithinPartitions(*keys, *[f"_order{i}" for i in range(len(order))]).select(*keys, "_value")
+    schema = kept.select(*keys).withColumn(name, F.lit("")).schema
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = None
+        now, text = None, io.StringIO()
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*(pa.array([v], t) for v, t in zip(now, types)), pa.array([text.getvalue()], pa.string())], names=[*keys, name])
+
+        for batch in batches:
+            types = [batch.column(k).type for k in keys]
+            for *key, line in zip(*(batch.column(c).to_pylist() for c in [*keys, "_value"])):
+                if now != key:
+                    if now is not None:
+                        yield row()
+                    now, text = key, io.StringIO()
+                else:
+                    text.write(sep)
+                text.write(line)
+        if now is not None:
+            yield row()
+
+    return ordered.mapInArrow(join, schema)
 
 
 def distinct_text(frame: DataFrame, keys: list[str], value: str, sep: str, name: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Row numbering without pulling a whole set, or one large key, into a single task.
 
-The rows are range-partitioned on the order columns, sorted inside each partition and written to
-the checkpoint folder together with their place (partition, offset). From then on the places are
-data, so a lost executor cannot move them. The per-partition counts, one row per partition, are
-summed up and sent back to the rows by a broadcast.
-
-The order columns must identify a row; a hot leading value is then split by the later columns.
+Only the key and order columns are numbered: they are range-partitioned, sorted inside each partition and
+written to the shared folder with their place (partition, offset). From then on the places are data, so a
+lost executor cannot move them. How many rows of a key lie in earlier partitions comes from a table with one
+row per partition and key in it; a key that fills many partitions has a row in each, so nothing is
+gathered per key. Numbers are joined back to the full rows on the key and order columns.
+
+These columns must identify a row; a hot leading value is then split by the later ones. Rows that they do not
+tell apart end the job with an error, since no number would be theirs alone.
 """
 
 from __future__ import annotations
@@ -14,54 +16,65 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from settleflow.session import ensure_checkpoint_dir
+from settleflow.sources.work import stored
 
 _SHIFT = 33  # monotonically_increasing_id keeps the partition above this bit
+# spans up to this many rows (of a few dozen bytes) are sent to all tasks, larger tables are joined by shuffle
+SENT_ROWS = 100_000
+REPEATED = "the order columns do not identify a row"
 
 
-def place_rows(frame: DataFrame, order: list[str | Column]) -> DataFrame:
-    """Sorted frame with its frozen place: ``_part`` and zero-based ``_at``."""
-    ensure_checkpoint_dir(frame.sparkSession)
-    return (
-        frame.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_place", _SHIFT).cast("int"))
-        .withColumn("_at", F.col("_place").bitwiseAND(F.lit((1 << _SHIFT) - 1)))
-        .drop("_place")
-    )
+def places(frame: DataFrame, order: list[str], carried: list[str] = ()) -> DataFrame:
+    """The ``order`` columns in their order with a frozen place: ``_part`` and zero-based ``_at``.
 
+    ``carried`` columns come along.
+    """
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(REPEATED))).otherwise(F.lit(True)).alias("_one")
+    single = frame.groupBy(*order).agg(one, *[F.min(c).alias(c) for c in carried]).filter("_one").drop("_one")
+    table = stored(single.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()), "places")
+    return table.withColumn("_part", F.shiftright("_place", _SHIFT).cast("int")).withColumn(
+        "_at", F.col("_place").bitwiseAND(F.lit((1 << _SHIFT) - 1))).drop("_place")
 
-def partition_starts(placed: DataFrame) -> DataFrame:
-    """Rows before each partition. One row per partition, so the window below is small."""
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    return counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
 
+def spans(placed: DataFrame, keys: list[str], used: DataFrame | None = None) -> DataFrame:
+    """Per partition and key in it: where its rows begin (``_span_from``), how many (``_span_n``) and how many came ``_span_before``.
+
+    Numbers go on after those in ``used`` (the keys and ``running``, the last number of each), if given.
+    """
+    rows = placed.groupBy("_part", *keys).agg(F.min("_at").alias("_span_from"), F.count(F.lit(1)).alias("_span_n"))
+    earlier = W.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    counted = rows.withColumn("_span_before", F.coalesce(F.sum("_span_n").over(earlier), F.lit(0)))
+    if used is not None:
+        counted = counted.join(used, keys, "left").withColumn("_span_before", F.col("_span_before") + F.coalesce("running", F.lit(0))).drop("running")
+    return stored(counted, "spans")
 
-def global_row_number(frame: DataFrame, order: list[str | Column], name: str = "row_no") -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY order)`` as a distributed plan."""
-    placed = place_rows(frame, order)
-    starts = F.broadcast(partition_starts(placed))  # one row per partition
-    return (
-        placed.join(starts, "_part")
-        .withColumn(name, (F.col("_before") + F.col("_at") + 1).cast("long"))
-        .select(*frame.columns, name)
-    )
+
+def small(table: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
+    """Marked for broadcast if the table has at most so many rows, else as it is."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
 
 
 def keyed_row_number(frame: DataFrame, keys: list[str], order: list[str], name: str = "row_no") -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` that splits large keys.
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` that splits large keys."""
+    placed = places(frame, [*keys, *order])
+    return numbered(frame, placed, [*keys, *order], {name: (keys, spans(placed, keys))})
 
-    Rows are numbered over the whole set in (keys, order); a key's first number, one row per key
-    after partial aggregation, is taken off again.
-    """
-    numbered = global_row_number(frame, [*keys, *order], "_row")
-    firsts = numbered.groupBy(*keys).agg(F.min("_row").alias("_first"))
-    return join_null_safe(numbered, firsts, keys).select(
-        *frame.columns, (F.col("_row") - F.col("_first") + 1).alias(name)
-    )
+
+def numbered(frame: DataFrame, placed: DataFrame, order: list[str], numbers: dict[str, tuple[list[str], DataFrame]]) -> DataFrame:
+    """The rows with one or more numbers, given their places in ``order`` and for each number its keys, which lead ``order``, and their spans."""
+    counted = placed
+    for name, (keys, starts) in numbers.items():
+        counted = join_null_safe(counted, small(starts), ["_part", *keys]).withColumn(
+            name, (F.col("_span_before") + F.col("_at") - F.col("_span_from") + 1).cast("long")).drop("_span_before", "_span_from", "_span_n")
+    counted = counted.select(*order, *numbers)
+    if set(frame.columns) <= set(order):
+        return counted.select(*frame.columns, *numbers)
+    return join_null_safe(frame.drop(*numbers), counted, order).select(*frame.columns, *numbers)
+
+
+def global_row_number(frame: DataFrame, order: list[str], name: str = "row_no") -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY order)`` as a distributed plan."""
+    return keyed_row_number(frame, [], order, name)
 
 
 def global_dense_rank(frame: DataFrame, columns: list[str], name: str = "rank_no") -> DataFrame:

@@ -13,8 +13,9 @@ from settleflow.functions.scalars import code_part, code_part_int, due_date, fir
 from settleflow.operators.aggregates import latest_per_key
 from settleflow.operators.filters import half_open
 from settleflow.operators.joins import map_value
-from settleflow.operators.numbering import batch_number, global_row_number, join_null_safe, keyed_row_number
+from settleflow.operators.numbering import batch_number, join_null_safe, keyed_row_number, numbered, places, spans
 from settleflow.operators.state import set_where_key, update_rows
+from settleflow.plans.columns import EXPORT, select_wide
 
 # fixed values: bill group per header-group type (2, 4, 5 health; 3 accident; 6 miscellaneous)
 BILL_GROUP = {2: 1, 3: 2, 4: 1, 5: 1, 6: 3}
@@ -82,7 +83,7 @@ BILL_KEY = ["insurer_id", "bill_group", "claim_type_code", "billing_date", "grou
 
 def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFrame, compensated: DataFrame,
                    insurers: DataFrame, product_types: DataFrame, branches: DataFrame, counters: DataFrame,
-                   new_billing_date: str, as_of: dt.date, start=None, end=None) -> dict[str, DataFrame]:
+                   new_billing_date: str, as_of: dt.date, start=None, end=None, banks: DataFrame | None = None) -> dict[str, DataFrame]:
     """Bills for all waiting groups at once.
 
     Claims are numbered in one pass over (item prefix, bill key, code parts, claim); the number
@@ -91,7 +92,9 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
     first claim. Returns ``items``, ``bills``, ``export``, ``imported`` (new state) and ``counters``.
 
     ``insurers`` has one row per insurer: insurer_id, is_sftp. ``product_types`` names the product
-    of miscellaneous groups (import_id, product_type); it is empty text for the other groups.
+    of miscellaneous groups (import_id, product_type); it is empty text for the other groups. ``details`` has the columns named
+    below and what it has of ``columns.CLAIM``, which ``export`` shows; ``banks`` names the account of a claim type
+    (claim_type_code, bank_id, bank_account).
     """
     waiting = (
         imported.filter((F.col("status_id") == 2) & F.col("is_active")).filter(half_open("created_at", start, end))
@@ -115,33 +118,30 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
         .withColumn("p1", code_part(F.col("group_code"), 4))
         .withColumns({f"p{5 - n}": code_part_int(F.col("group_code"), n) for n in (3, 2, 1)})
     )
-    ranked = global_row_number(net, ["item_prefix", *BILL_KEY, "p1", "p2", "p3", "p4", "claim_code"], "_row")
-    firsts = ranked.groupBy(*BILL_KEY).agg(F.min("_row").alias("_first"), F.min("group_code").alias("lead_code"))
-    prefix_firsts = ranked.groupBy("item_prefix").agg(F.min("_row").alias("_prefix_first"))
-    last_item = current_counters(counters, as_of).select(F.col("prefix").alias("item_prefix"), F.col("running").alias("_used"))
-    sftp = insurers.select("insurer_id", "is_sftp")
+    order = ["item_prefix", *BILL_KEY, "p1", "p2", "p3", "p4", "claim_code"]
+    placed = places(net, order)
+    used_items = current_counters(counters, as_of).withColumnRenamed("prefix", "item_prefix")
+    by_prefix, by_bill = spans(placed, ["item_prefix"], used_items), spans(placed, ["item_prefix", *BILL_KEY])
+    ranked = numbered(net, placed, order, {"_number": (["item_prefix"], by_prefix), "row_no": (["item_prefix", *BILL_KEY], by_bill)})
+    leads = net.groupBy(*BILL_KEY).agg(F.min("group_code").alias("lead_code"))
     items = (
-        join_null_safe(ranked, firsts, BILL_KEY)
-        .join(prefix_firsts.join(last_item, "item_prefix", "left"), "item_prefix")
-        .join(sftp, "insurer_id", "left").withColumn("is_sftp", F.coalesce("is_sftp", F.lit(0)))
-        .withColumn("row_no", F.col("_row") - F.col("_first") + 1)
+        ranked.join(insurers.select("insurer_id", "is_sftp"), "insurer_id", "left").withColumn("is_sftp", F.coalesce("is_sftp", F.lit(0)))
         .withColumn("batch_no", F.when(F.col("is_sftp") == 1, 0).otherwise(batch_number(F.col("row_no"), BILL_SIZE)).cast("long"))
-        .withColumn("item_code", code_text(F.col("item_prefix"), as_of,
-                    F.coalesce("_used", F.lit(0)) + F.col("_row") - F.col("_prefix_first") + 1, 6))
+        .withColumn("item_code", code_text(F.col("item_prefix"), as_of, F.col("_number"), 6))
     )
     hospital = (F.substring("lead_code", 4, 1) == "H") | (F.col("group_type") == 4)
     prefix = join_text(F.lit("BQG"), F.when(F.col("bill_group") == 2, "PA").when(F.col("bill_group") == 1, "PH").otherwise(F.col("product_type")),
                        F.right(zero_pad(F.col("insurer_id"), 12), F.lit(2)), F.when(hospital, "H").otherwise("B"))
-    sums = items.groupBy(*BILL_KEY, "batch_no", "is_sftp", "lead_code").agg(
+    sums = join_null_safe(items.groupBy(*BILL_KEY, "batch_no", "is_sftp").agg(
         F.count(F.lit(1)).alias("item_count"), money(F.sum("pay_total")).alias("pay_total"),
         money(F.sum("cover_amount")).alias("cover_amount"), money(F.sum("amount_total")).alias("total_amount"),
-    ).withColumn("prefix", prefix)
-    numbered = keyed_row_number(sums, ["prefix", "is_sftp"], [*BILL_KEY, "batch_no"], "no")
+    ), leads, BILL_KEY).withColumn("prefix", prefix)
+    counted = keyed_row_number(sums, ["prefix", "is_sftp"], [*BILL_KEY, "batch_no"], "no")
     # file-transfer bills count per month in three digits, the others per year in five
     used = current_counters(counters, as_of).withColumn("is_sftp", F.lit(1)).unionByName(
         current_counters(counters, as_of, with_month=False).withColumn("is_sftp", F.lit(0)))
     number = F.coalesce("running", F.lit(0)) + F.col("no")
-    bills = numbered.join(used, ["prefix", "is_sftp"], "left").withColumns({
+    bills = counted.join(used, ["prefix", "is_sftp"], "left").withColumns({
         "number": number,
         "bill_code": F.when(F.col("is_sftp") == 1, code_text(F.col("prefix"), as_of, number, 3))
         .otherwise(code_text(F.col("prefix"), as_of, number, 5, with_month=False)),
@@ -149,19 +149,16 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
         "due_date": due_date(F.lit(new_billing_date).cast("date")),
     }).drop("running", "no", "lead_code")
     heads = bills.select(*BILL_KEY, "batch_no", "bill_code", "due_date", "new_billing_date")
-    coded = join_null_safe(items.drop("_row", "_first", "_prefix_first", "_used", "lead_code"), heads, [*BILL_KEY, "batch_no"])
-    export = coded.join(branches.select("branch_id", "branch"), "branch_id", "left").select(
-        "new_billing_date", "due_date", "branch", "group_code", "claim_code", "hospital_id", "happened_at",
-        F.col("amount_total").alias("pay_total"), "bill_code", "item_code", "insurer_id", "group_type")
+    coded = join_null_safe(items.drop("_number"), heads, [*BILL_KEY, "batch_no"])
+    export = export_rows(coded, details, branches, banks)
     billed = coded.groupBy("import_id").agg(F.min_by("bill_code", "row_no").alias("bill_code"))
     state = update_rows(
         imported.withColumn("bill_code", F.lit(None).cast("string")),
         billed.select("import_id", "bill_code", F.lit(3).alias("status_id"), F.lit(new_billing_date).cast("date").alias("billing_date")),
         ["import_id"], checked=False)
     year, month = period(as_of)
-    item_counters = ranked.groupBy(F.col("item_prefix").alias("prefix")).agg(F.count(F.lit(1)).alias("n")).join(
-        current_counters(counters, as_of), "prefix", "left").select(
-        "prefix", F.lit(month).alias("month"), (F.coalesce("running", F.lit(0)) + F.col("n")).alias("running"))
+    item_counters = by_prefix.groupBy(F.col("item_prefix").alias("prefix")).agg(F.max(F.col("_span_before") + F.col("_span_n")).alias("running")).select(
+        "prefix", F.lit(month).alias("month"), "running")
     bill_counters = bills.groupBy("prefix", F.when(F.col("is_sftp") == 1, month).otherwise("00").alias("month")).agg(
         F.max("number").alias("running"))
     raised = bill_counters.unionByName(item_counters).withColumn("year", F.lit(year))
@@ -169,6 +166,17 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
             "counters": raised}
 
 
+def export_rows(coded: DataFrame, details: DataFrame, branches: DataFrame, banks: DataFrame | None) -> DataFrame:
+    """Rows an insurer receives, with all ``columns.EXPORT`` columns; amounts are net of what was covered before."""
+    keys = ["detail_id", "bill_code", "item_code", "cover_amount", "new_billing_date", "due_date", "insurer_id", "group_type", "claim_type_code"]
+    own = details.drop(*[k for k in keys if k != "detail_id"], "branch")
+    rows = coded.select(*keys).join(own, "detail_id").join(branches.select("branch_id", "branch"), "branch_id", "left")
+    if banks is not None:
+        rows = rows.join(banks.select("claim_type_code", "bank_id", "bank_account"), "claim_type_code", "left")
+    given = {"pay": F.col("pay" if "pay" in own.columns else "pay_total") - F.col("cover_amount"), "pay_total": F.col("pay_total") - F.col("cover_amount"), "document_link": F.lit("")}
+    return rows.select(*select_wide(rows, EXPORT, given))
+
+
 def undo_bills(imported: DataFrame, bills: DataFrame, items: DataFrame, codes: DataFrame, new_billing_date: str) -> dict[str, DataFrame]:
     """Take a set of bills back: their groups wait again, bills and items become inactive.
 

@@ -11,6 +11,7 @@ from settleflow.operators.aggregates import pivot_values, text_list
 from settleflow.operators.filters import half_open
 from settleflow.operators.joins import map_value
 from settleflow.operators.numbering import global_row_number
+from settleflow.plans.columns import claim_columns
 
 # fixed values: source of each header-group type, product code per type, policy each admit type needs
 SOURCE_OF_TYPE = {2: "health", 5: "health", 3: "accident", 4: "compensate", 6: "misc"}
@@ -64,12 +65,14 @@ def policy_state(claims: DataFrame, policies: DataFrame) -> DataFrame:
     need = accident.groupBy("group_code", "app_id").agg(
         *[F.max(flag(F.col("admit_code") == a)).alias(f"need_{a}") for a in POLICY_OF_ADMIT])
     lines = policies.select("app_id", join_text(F.col("detail"), F.lit(" ("), F.col("policy_type_id"), F.lit(")")).alias("line"), "created_at", "policy_key")
-    history = text_list(lines, ["app_id"], "line", ["created_at", "policy_key"], " > ", "history", 255)
-    state = need.join(held, "app_id", "left").join(history, "app_id", "left")
     missing = messages(*[
         ((F.col(f"need_{a}") == 1) & F.col(f"h{p}").isNull(), a + M.MUST_HAVE + str(p)) for a, p in POLICY_OF_ADMIT.items()
     ], sep="; ")
-    return state.withColumn("missing", missing).groupBy("group_code").agg(
+    lacking = need.join(held, "app_id", "left").withColumn("missing", missing)
+    # histories of those that miss a policy; only they are shown
+    wanted = lines.join(lacking.filter("missing <> ''").select("app_id").distinct(), "app_id", "left_semi")
+    history = text_list(wanted, ["app_id"], "line", ["created_at", "policy_key"], " > ", "history")
+    return lacking.join(history, "app_id", "left").groupBy("group_code").agg(
         F.max("missing").alias("missing_policy"), F.max("history").alias("history"))
 
 
@@ -131,37 +134,41 @@ def validate_import_batch(staging: DataFrame, claims: DataFrame, documents: Data
 
 def import_claim_groups(valid: DataFrame, claims: DataFrame, companies: DataFrame, policies: DataFrame, monthly_policies: DataFrame,
                         hospitals: DataFrame, products: DataFrame, customers: DataFrame, admit_names: DataFrame,
-                        branches: DataFrame, last_id, file_name: str) -> dict[str, DataFrame]:
-    """File, group and detail rows for the groups that passed validation.
+                        last_id, file_name: str, user_id: int, as_of: str, channel: int = 1) -> dict[str, DataFrame]:
+    """File, group, detail and audit rows for the groups that passed validation.
 
-    Policy number: of the month the claim happened for types 2, 4 and 5; for type 3 the policy its
-    admit type calls for, or 9601, falling back to 9605; the claim's own for type 6. ``last_id`` is a
-    one-value frame with the highest id in use. ``companies`` may name a group from several sources.
+    Details have all ``columns.CLAIM`` columns, whatever the source of a claim has of them. Policy number: of the month the
+    claim happened for types 2, 4 and 5; for type 3 the policy its admit type calls for, or 9601, falling back to 9605; the claim's
+    own for type 6. ``last_id`` is a one-value frame with the highest id in use. ``companies`` may name a group from several
+    sources. ``audit`` says for every new group through which channel (1 or another) it came.
     """
     names = companies.select("group_code", "company_name").distinct()
     numbered = global_row_number(valid.filter("is_valid = 1").select(
         "tmp_id", "group_code", "group_type", "item_count", "total_amount", "insurer_id", "claim_type_code"), ["tmp_id"], "_n")
+    made = {"created_at": F.lit(as_of).cast("timestamp_ntz"), "created_by": F.lit(user_id)}
     groups = (numbered.withColumn("_last", last_id.scalar()).withColumn("import_id", F.coalesce("_last", F.lit(0)) + F.col("_n"))
               .join(names, "group_code", "left")
-              .withColumns({"status_id": F.lit(2), "is_active": F.lit(True), "file_name": F.lit(file_name)}).drop("_n", "_last"))
-    files = groups.groupBy("file_name", "group_type").agg(F.count(F.lit(1)).alias("item_count"))
-    wide = pivot_values(policies, ["app_id"], "policy_type_id", POLICY_TYPES, F.col("detail"))
+              .withColumns({"status_id": F.lit(2), "is_active": F.lit(True), "file_name": F.lit(file_name), **made}).drop("_n", "_last"))
+    files = groups.groupBy("file_name", "group_type").agg(F.count(F.lit(1)).alias("item_count")).withColumns({"is_active": F.lit(True), **made})
+    held = pivot_values(policies, ["app_id"], "policy_type_id", POLICY_TYPES, F.col("detail"))
     by_month = monthly_policies.select("app_id", "period", F.col("policy_no").alias("month_policy"))
     chosen = F.when(F.col("admit_code") == "4009", F.col("p9602")).when(F.col("admit_code") == "4010", F.col("p9604")).otherwise(F.col("p9601"))
-    details = (
+    rows = (
         groups.select("import_id", "group_code", "group_type")
         .join(claims.withColumn("period", month_start(F.col("happened_at"))), "group_code")
-        .join(wide, "app_id", "left").join(by_month, ["app_id", "period"], "left")
+        .join(held, "app_id", "left").join(by_month, ["app_id", "period"], "left")
         .join(hospitals.select("hospital_id", "hospital_name"), "hospital_id", "left")
         .join(products, "product_id", "left").join(customers, "app_id", "left")
-        .join(admit_names, "claim_code", "left").join(branches.select("branch_id", "branch"), "branch_id", "left")
-        .withColumn("policy_no", F.when(F.col("group_type").isin(2, 4, 5), F.col("month_policy"))
-                    .when(F.col("group_type") == 3, F.coalesce(chosen, F.col("p9605"))).otherwise(F.col("own_policy")))
-        .withColumn("admit_type", F.when(F.col("group_type") == 6, F.col("admit_names")).otherwise(F.col("admit_code")))
-        .select("import_id", "group_code", "claim_code", "amount", "happened_at", "hospital_name", "product_name", "customer_name",
-                "policy_no", "admit_type", "branch")
+        .join(admit_names, "claim_code", "left")
     )
-    return {"files": files, "groups": groups, "details": details}
+    given = {
+        "policy_no": F.when(F.col("group_type").isin(2, 4, 5), F.col("month_policy"))
+        .when(F.col("group_type") == 3, F.coalesce(chosen, F.col("p9605"))).otherwise(F.col("own_policy")),
+        "admit_type": F.when(F.col("group_type") == 6, F.col("admit_names")).otherwise(F.col("admit_code")),
+    }
+    details = rows.select("import_id", "group_code", "claim_code", *claim_columns(rows, given), F.lit(True).alias("is_active"), *[v.alias(n) for n, v in made.items()])
+    audit = groups.select("import_id", F.lit(M.IMPORTED_FROM_FILE if channel == 1 else M.IMPORTED_FROM_LIST).alias("note"), "is_active", "created_by", "created_at")
+    return {"files": files, "groups": groups, "details": details, "audit": audit}
 
 
 def importable_claims(paybacks: DataFrame, claims: DataFrame, documents: DataFrame, imported: DataFrame,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +28,7 @@ BRANCH_STYLE, HOSPITAL_STYLE = ("4130", "4140"), ("4110", "4120")
 CLOSED_STATUS = ("3570", "3580")
 # fixed values: miscellaneous product types paid by default, and the one never paid
 MISC_DEFAULT, MOTOR_DEFAULT, MISC_EXCLUDED = (10, 27, 32, 33, 38, 41, 42), 11, 34
+MISC_PRODUCTS = (4, 11)
 # fixed values: policy states of customers in force; the last one is cancelled
 IN_FORCE = ("3020", "3030", "3035", "3040")
 
@@ -72,48 +72,55 @@ def misc_rule(product: int, kind: int | None, payment_type: int | None, product_
     return rule
 
 
-def intake_candidates(source: DataFrame, documents: DataFrame, paid_claims: DataFrame, paid_groups: DataFrame,
-                      product: int, kind: int | None, cutoffs: dict | None = None, insurer_id=None, branch_id=None,
+def qualifications(modes: list[tuple[int, int | None]], cut: dict, created_by=None, payment_type=None, product_type=None) -> Column:
+    """The products and claim-group types of ``modes`` a claim qualifies for, as an array of (product, kind)."""
+    by = F.lit(True) if created_by is None else F.col("created_by") == created_by
+    # prepaid hospital claims are filed under the user who settled them
+    settled_by = F.lit(True) if created_by is None else F.when(
+        F.col("admit_type").isin(*PREPAID_ADMIT), F.col("updated_by")).otherwise(F.col("created_by")) == created_by
+    found = []
+    for product, kind in modes:
+        if product in MISC_PRODUCTS:
+            test = (F.col("source") == "misc") & misc_rule(product, kind, payment_type, product_type) & by
+        elif kind == 5:
+            test = (F.col("source") == "compensate") & (F.col("group_items") > 0) & (F.col("created_at") >= F.lit(cut["compensate"])) & by
+        elif product == 2:
+            test = (F.col("source") == "health") & health_rule(kind, cut) & settled_by
+        else:
+            test = (F.col("source") == "accident") & accident_rule(kind, cut) & by
+        found.append(F.when(test, F.struct(F.lit(product).alias("product"), F.lit(kind).cast("int").alias("kind"))))
+    return F.array_compact(F.array(*found))
+
+
+def intake_candidates(claims: DataFrame, documents: DataFrame, paid_claims: DataFrame, paid_groups: DataFrame,
+                      modes: list[tuple[int, int | None]], cutoffs: dict | None = None, insurer_id=None, branch_id=None,
                       created_by=None, group_code=None, has_documents: bool | None = None,
                       payment_type=None, product_type=None) -> DataFrame:
-    """Groups of one product and claim-group type that can be paid back.
+    """Groups that can be paid back, for every product and claim-group type of ``modes`` in one pass.
 
-    ``source`` is the branch the two parameters stand for (compensate, health, accident or
-    miscellaneous claims). Original groups only: their code ends in 0. A group is complete when every
-    claim has a document; ``has_documents`` asks for complete (True), incomplete (False) or all groups.
+    ``claims`` holds all sources (``source``: compensate, health, accident, misc). What a claim qualifies for is worked out
+    row by row and exploded; claims paid before (``paid_claims``: claim_code, product, kind) go by one anti join on claim, product
+    and type, miscellaneous groups with a pay-back by another on the group. Original groups only: their code ends in 0. A group is
+    complete when every claim has a document; ``has_documents`` asks for complete (True), incomplete (False) or all groups.
     """
     cut = {**CUTOFFS, **(cutoffs or {})}
-    rows = keep_where(source, insurer_id=insurer_id, branch_id=branch_id, group_code=group_code)
-    if product in (4, 11):
-        rows = keep_where(rows, created_by=created_by).filter(misc_rule(product, kind, payment_type, product_type))
-        rows = rows.join(paid_groups.select("group_code"), "group_code", "left_anti")
-    else:
-        if kind == 5:
-            rows = keep_where(rows, created_by=created_by).filter((F.col("group_items") > 0) & (F.col("created_at") >= F.lit(cut["compensate"])))
-            key = "origin_code"
-        elif product == 2:
-            rows = rows.filter(health_rule(kind, cut))
-            if created_by is not None:
-                # prepaid hospital claims are filed under the user who settled them
-                prepaid = F.col("admit_type").isin(*PREPAID_ADMIT)
-                rows = rows.filter(F.when(prepaid, F.col("updated_by")).otherwise(F.col("created_by")) == created_by)
-            key = "claim_code"
-        else:
-            rows = keep_where(rows, created_by=created_by).filter(accident_rule(kind, cut))
-            key = "claim_code"
-        paid = keep_where(paid_claims, group_type=kind, product=product).select(F.col("claim_code").alias(key))
-        rows = rows.join(paid, key, "left_anti")
-    rows = rows.filter(F.col("group_code").endswith("0"))
-    if product not in (4, 11) and kind != 4:
-        filed = documents.select("claim_code").distinct().withColumn("filed", F.lit(1))
-        rows = rows.join(filed, "claim_code", "left")
-    else:
-        rows = rows.withColumn("filed", F.lit(None).cast("int"))  # these types have no document check
-    groups = rows.groupBy("group_code").agg(
+    misc = F.col("product").isin(*MISC_PRODUCTS)
+    rows = keep_where(claims, insurer_id=insurer_id, branch_id=branch_id, group_code=group_code).filter(F.col("group_code").endswith("0"))
+    rows = rows.select("group_code", "claim_code", F.when(F.col("source") == "compensate", F.col("origin_code")).otherwise(F.col("claim_code")).alias("paid_as"), "amount",
+                       "branch_id", "created_by", "created_at", "insurer_id", "product_name",
+                       F.inline(qualifications(modes, cut, created_by, payment_type, product_type)))
+    paid = paid_claims.select(F.col("claim_code").alias("_claim"), F.col("product").alias("_product"), F.col("kind").alias("_kind"))
+    rows = rows.join(paid, ~misc & (F.col("paid_as") == F.col("_claim")) & (F.col("product") == F.col("_product")) & (F.col("kind") == F.col("_kind")), "left_anti")
+    if any(product in MISC_PRODUCTS for product, _ in modes):
+        rows = rows.join(paid_groups.select(F.col("group_code").alias("_group")), misc & (F.col("group_code") == F.col("_group")), "left_anti")
+    filed = documents.select("claim_code").distinct().withColumn("_filed", F.lit(1))
+    # miscellaneous claims and type 4 have no document check
+    rows = rows.join(filed, "claim_code", "left").withColumn("filed", F.when(~misc & ~F.col("kind").eqNullSafe(4), F.col("_filed")))
+    groups = rows.groupBy("product", "kind", "group_code").agg(
         F.count("claim_code").alias("item_count"), money(F.sum(F.coalesce("amount", F.lit(0)))).alias("amount"),
         F.sum("filed").alias("doc_count"),
         F.min_by(F.struct("branch_id", "created_by", "created_at", "insurer_id", "product_name"), "claim_code").alias("head"),
-    ).select("group_code", "item_count", "amount", "doc_count", "head.*")
+    ).select("product", "kind", "group_code", "item_count", "amount", "doc_count", "head.*")
     complete = F.coalesce(F.col("item_count") == F.col("doc_count"), F.lit(False))
     groups = groups.withColumn("has_documents", flag(complete))
     if has_documents is not None:

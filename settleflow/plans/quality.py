@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from settleflow.functions.scalars import flag
 from settleflow.operators.filters import contains_text, half_open
@@ -13,16 +16,23 @@ from settleflow.operators.numbering import join_null_safe
 from settleflow.operators.state import insert_rows, set_where_key, update_rows
 
 
-def duplicate_claims(links: DataFrame, top: int = 100) -> DataFrame:
-    """Claims paid back more than once, the most frequent first."""
-    return links.groupBy("claim_code").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").orderBy(F.col("times").desc(), "claim_code").limit(top)
+def first_rows(frame: DataFrame, order: list, top: int | None) -> DataFrame:
+    """The first ``top`` rows in an order for a look at the screen; all rows, unsorted, without ``top``."""
+    return frame if top is None else frame.orderBy(*order).limit(top)
 
 
-def claims_without_document(claims: DataFrame, paybacks: DataFrame, documents: DataFrame, since: str, skipped_type: int = 7, top: int = 6000) -> DataFrame:
-    """Paid-back claims nobody filed a document for, newest pay-backs first."""
+def duplicate_claims(links: DataFrame, top: int | None = None) -> DataFrame:
+    """Claims paid back more than once; with ``top`` the most frequent ones."""
+    found = links.groupBy("claim_code").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    return first_rows(found, [F.col("times").desc(), "claim_code"], top)
+
+
+def claims_without_document(claims: DataFrame, paybacks: DataFrame, documents: DataFrame, since: str, skipped_type: int = 7, top: int | None = None) -> DataFrame:
+    """Paid-back claims nobody filed a document for; with ``top`` those of the newest pay-backs."""
     heads = paybacks.filter((F.col("group_type") != skipped_type) & half_open("created_at", since, None)).select("payback_id", "payback_code", "transfer_id", "created_at")
     open_claims = claims.join(documents.select("claim_code"), "claim_code", "left_anti")
-    return open_claims.join(heads, "payback_id").select("claim_code", "payback_code", "transfer_id", "created_at").orderBy(F.col("created_at").desc(), "claim_code").limit(top)
+    found = open_claims.join(heads, "payback_id").select("claim_code", "payback_code", "transfer_id", "created_at")
+    return first_rows(found, [F.col("created_at").desc(), "claim_code"], top)
 
 
 def unanswered_items(items: DataFrame, results: DataFrame, received: DataFrame) -> DataFrame:
@@ -98,17 +108,52 @@ def repair_by_join(state: DataFrame, source: DataFrame, key: str, column: str) -
     return update_rows(state, changes, [key])
 
 
-def log_search(log: DataFrame, start: str, end: str, text: str, top: int = 100000) -> DataFrame:
-    """Log lines of a period that contain a text, oldest first."""
+def log_search(log: DataFrame, start: str, end: str, text: str, top: int | None = None) -> DataFrame:
+    """Log lines of a period that contain a text; with ``top`` the oldest ones."""
     rows = log.filter(half_open("logged_at", start, end)).filter(contains_text("message", text))
-    return rows.orderBy("logged_at", "log_id").limit(top).select("log_id", "message", F.date_format("logged_at", "dd MM yyyy HH:mm").alias("stamp"))
+    return first_rows(rows, ["logged_at", "log_id"], top).select("log_id", "message", F.date_format("logged_at", "dd MM yyyy HH:mm").alias("stamp"))
+
+
+def holds_value(column: str, kind: T.DataType, value: str) -> Column | None:
+    """Test of a column for a value given as text, in the column's own type; None where the value can't be one of that type.
+
+    Text columns are compared as they are, numbers by their amount, dates and times by their moment.
+    """
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        return F.col(column) == value
+    if isinstance(kind, T.NumericType):
+        try:
+            number = Decimal(value)
+        except InvalidOperation:
+            return None
+        if not number.is_finite() or (isinstance(kind, T.IntegralType) and number != number.to_integral_value()):
+            return None
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return F.col(column) == F.lit(float(number))
+        return F.col(column) == F.lit(number)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        try:
+            moment = dt.datetime.fromisoformat(value)
+        except ValueError:
+            return None
+        if isinstance(kind, T.DateType):
+            return F.col(column) == F.lit(moment.date()) if moment.time() == dt.time() else None
+        return F.col(column) == F.lit(moment.isoformat(sep=" ")).cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return F.col(column) == F.lit(value.lower() == "true") if value.lower() in ("true", "false") else None
+    return None
 
 
 def find_value(tables: dict[str, DataFrame], value: str) -> DataFrame:
-    """Where a value occurs: one pass per table, one row per column that holds it."""
+    """Where a value occurs: ``table_name, column_name, hits``, a row for each column that holds it.
+
+    The columns to look at come from the tables' schemas. A table is read once, with those columns only.
+    """
     parts = []
     for name, frame in tables.items():
-        counts = frame.agg(*[F.sum(flag(F.col(c).cast("string") == value)).alias(c) for c in frame.columns])
-        pairs = [F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c), F.lit(0)).alias("hits")) for c in frame.columns]
-        parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*pairs))))
+        tests = {f.name: test for f in frame.schema.fields if (test := holds_value(f.name, f.dataType, value)) is not None}
+        if tests:
+            counts = frame.agg(*[F.count_if(test).alias(c) for c, test in tests.items()])
+            pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("hits")) for c in tests]
+            parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*pairs))))
     return reduce(lambda a, b: a.unionByName(b), parts).filter("hits > 0")

@@ -10,6 +10,7 @@ from settleflow.functions.scalars import join_text, money
 from settleflow.operators.aggregates import latest_per_key
 from settleflow.operators.filters import half_open, keep_where
 from settleflow.operators.joins import or_join
+from settleflow.plans.columns import ACCIDENT_VIEW, HEALTH_VIEW, MISC_VIEW, select_wide
 
 COMPENSATE = 5
 REPORT_COLUMNS = ["insurer_name", "branch", "hospital", "product", "group_type", "group_code", "item_count", "amount", "compensate_code", "claim_code",
@@ -198,11 +199,26 @@ def report_before_approval(claims: DataFrame, approvals: DataFrame, online_pay:
     return rows.filter(late).join(paid, "online_id", "left")
 
 
-def export_bill_rows(items: DataFrame, branches: DataFrame, hospitals: DataFrame, bill_codes: DataFrame | None = None) -> DataFrame:
-    """Rows an insurer receives for its bills."""
-    rows = items if bill_codes is None else items.join(bill_codes.select("bill_code"), "bill_code", "left_semi")
-    return (rows.join(branches.select("branch_id", "branch"), "branch_id", "left").join(hospitals.select("hospital_id", "hospital_name"), "hospital_id", "left")
-            .select("bill_code", "item_code", "group_code", "claim_code", "branch", "hospital_name", "happened_at", F.col("amount_total").alias("pay_total")))
+def insurer_view(kind: str, claims: DataFrame, export: DataFrame, bill_codes: DataFrame | None = None, documents: DataFrame | None = None) -> DataFrame:
+    """What an insurer sees of its exported claims: the ``accident``, ``health`` or ``misc`` form, a row for each claim and export row.
+
+    ``claims`` is the claim view the accident and health forms start from: claims without an export row stay there with empty
+    bill columns, unless ``bill_codes`` asks for certain bills; accident claims of people no longer insured (``is_insured``) are left out.
+    The miscellaneous form starts from the export rows, with a row for each document of the claim (``documents``: claim_code, document_id,
+    document_code). Columns nobody fills are NULL of their type.
+    """
+    sent = export if bill_codes is None else export.join(bill_codes.select("bill_code"), "bill_code", "left_semi")
+    if kind == "misc":
+        misc = sent.filter("group_type = 6")
+        rows = misc if documents is None else misc.join(documents.select("claim_code", "document_id", "document_code"), "claim_code", "left")
+        return rows.select(*select_wide(rows, MISC_VIEW, {"document_link": F.lit(None), "branch_name": F.lit(None)}))
+    billed = sent.select("claim_code", "bill_code", "item_code", F.col("document_link").alias("x_link"), F.col("province").alias("x_province"), F.col("organ").alias("x_organ"))
+    rows = claims.drop("bill_code", "item_code").join(billed, "claim_code", "left" if bill_codes is None else "inner")
+    if kind == "health":
+        return rows.select(*select_wide(rows, HEALTH_VIEW))
+    rows = rows.filter("is_insured")
+    return rows.select(*select_wide(rows, ACCIDENT_VIEW, {
+        "remark": F.col("accident_detail"), "document_link": F.col("x_link"), "province": F.col("x_province"), "organ": F.col("x_organ")}))
 
 
 def document_index(groups: DataFrame, filed: DataFrame, online: DataFrame, codes: DataFrame | None = None,

@@ -12,6 +12,7 @@ from settleflow.functions.codes import running_codes
 from settleflow.functions.scalars import first_message, flag, is_midnight, money
 from settleflow.operators.packing import next_fit
 from settleflow.operators.state import set_where_key, update_rows
+from settleflow.sources.work import stored
 
 HOSPITAL_TYPES = (4, 8)
 # fixed values: transfer status when created (4: hospital), paid, partly paid, waiting for hospital details
@@ -25,25 +26,56 @@ def create_transfers(requests: DataFrame, paybacks: DataFrame, as_of: dt.date, c
 
     ``requests`` has one row per listed pay-back: request_id, group_type, payback_ref (text, may be
     blank). A request with a blank entry or an already bundled pay-back is refused as a whole;
-    entries that name no pay-back add nothing.
+    entries that name no pay-back add nothing, and one listed twice counts once. Requests are served in the order of their
+    ids: one that lists a pay-back of an earlier served request is refused like one with a bundled pay-back, and its other
+    pay-backs are free for later requests.
     """
-    linked = requests.withColumn("payback_id", F.col("payback_ref").try_cast("long")).join(
-        paybacks.select("payback_id", "amount", F.col("transfer_id").isNotNull().alias("is_bundled")), "payback_id", "left")
-    state = linked.groupBy("request_id").agg(
-        F.max("group_type").alias("group_type"), F.max(flag(F.coalesce(F.trim("payback_ref"), F.lit("")) == "")).alias("has_blank"),
-        F.max(flag(F.col("is_bundled"))).alias("has_bundled"), money(F.sum("amount")).alias("amount"))
-    judged = state.withColumn("message", first_message((F.col("has_blank") == 1, M.UNKNOWN_ENTRY), (F.col("has_bundled") == 1, M.PARTLY_TRANSFERRED)))
+    entries = requests.withColumn("payback_id", F.col("payback_ref").try_cast("long"))
+    listed = entries.filter("payback_id IS NOT NULL").select("request_id", "payback_id").distinct().join(
+        paybacks.select("payback_id", "amount", F.col("transfer_id").isNotNull().alias("is_bundled")), "payback_id")
+    blanks = entries.groupBy("request_id").agg(
+        F.max("group_type").alias("group_type"), F.max(flag(F.coalesce(F.trim("payback_ref"), F.lit("")) == "")).alias("has_blank"))
+    sums = listed.groupBy("request_id").agg(F.max(flag(F.col("is_bundled"))).alias("has_bundled"), money(F.sum("amount")).alias("amount"))
+    state = stored(blanks.join(sums, "request_id", "left"), "requests")
+    fit = state.filter("has_blank = 0 AND coalesce(has_bundled, 0) = 0").select("request_id")
+    late = _too_late(stored(listed.join(fit, "request_id", "left_semi").select("request_id", "payback_id"), "listed")).withColumn("is_late", F.lit(True))
+    judged = state.join(late, "request_id", "left").withColumn("message", first_message(
+        (F.col("has_blank") == 1, M.UNKNOWN_ENTRY), ((F.col("has_bundled") == 1) | F.col("is_late"), M.PARTLY_TRANSFERRED)))
     accepted = judged.filter("message IS NULL").withColumn("prefix", F.lit("CPBT"))
     coded, raised = running_codes(accepted, "prefix", ["request_id"], 8, as_of, counters, "transfer_code")
     transfers = coded.select(
         "request_id", "transfer_code", "group_type", "amount", F.lit(0).cast("decimal(16,2)").alias("transfer_amount"),
         F.when(F.col("group_type") == 4, HOSPITAL_OPEN).otherwise(OPEN).alias("status_id"))
-    marks = linked.join(transfers.select("request_id", "transfer_code"), "request_id").filter("payback_id IS NOT NULL").select(
-        "payback_id", "transfer_code", F.lit(BUNDLED).alias("status_id")).distinct()
+    marks = listed.join(transfers.select("request_id", "transfer_code"), "request_id").select(
+        "payback_id", "transfer_code", F.lit(BUNDLED).alias("status_id"))
     new_state = update_rows(paybacks.withColumn("transfer_code", F.lit(None).cast("string")), marks, ["payback_id"])
     return {"check": judged.select("request_id", "message"), "transfers": transfers, "paybacks": new_state, "counters": raised}
 
 
+def _too_late(listed: DataFrame) -> DataFrame:
+    """Requests that list a pay-back which an earlier served request has (``listed``: request_id, payback_id, stored).
+
+    In each round every request that comes first on all its pay-backs is served, and the others on those pay-backs are
+    refused and leave the rest of theirs free. What is left goes on to the next round, so a round looks only at requests that
+    still hang on each other; there are as many rounds as the longest chain of such requests.
+    """
+    refused = None
+    while True:
+        first = listed.groupBy("payback_id").agg(F.min("request_id").alias("first"), F.max("request_id").alias("last")).filter("first <> last")
+        shared = stored(listed.join(first.select("payback_id", "first"), "payback_id"), "shared")
+        if shared.isEmpty():
+            break
+        # a request is held up while another one comes first on any of its pay-backs
+        held = shared.groupBy("request_id").agg(F.max(flag(F.col("first") < F.col("request_id"))).alias("held"))
+        served = held.filter("held = 0").select("request_id")
+        taken = shared.join(served, "request_id", "left_semi").select("payback_id").distinct()
+        out = stored(shared.join(taken, "payback_id", "left_semi").join(served, "request_id", "left_anti").select("request_id").distinct(), "refused")
+        refused = out if refused is None else refused.unionByName(out)
+        left = shared.select("request_id", "payback_id").join(out, "request_id", "left_anti").join(served, "request_id", "left_anti")
+        listed = stored(left, "listed")
+    return listed.select("request_id").limit(0) if refused is None else refused
+
+
 def subgroups_by_hospital(transfers: DataFrame, details: DataFrame, hospitals: DataFrame, as_of: dt.date, counters: DataFrame) -> dict[str, DataFrame]:
     """One sub-group per hospital of each hospital transfer; other transfers are refused."""
     hospital_only = transfers.filter(F.col("group_type").isin(*HOSPITAL_TYPES)).select("transfer_id")
@@ -88,15 +120,17 @@ def settle_transfers(settlements: DataFrame, transfers: DataFrame, paybacks: Dat
                      subgroups: DataFrame, subgroup_details: DataFrame) -> dict[str, DataFrame]:
     """Book paid transfers: transfer_id, paid_amount, paid_at, subgroup_id.
 
-    Refused when paid before, when the amount differs from the pay-backs or their claims, or when no
-    time of day was given. A transfer is settled once all its sub-groups are paid, before that partly.
+    Refused when the transfer is not known, when paid before, when the amount differs from the pay-backs or their claims, or
+    when no time of day was given. A transfer is settled once all its sub-groups are paid, before that partly.
     """
     bundled = paybacks.filter("transfer_id IS NOT NULL")
     by_claim = claims.groupBy("payback_id").agg(F.sum("claim_pay").alias("claim_pay"))
     sums = bundled.join(by_claim, "payback_id", "left").groupBy("transfer_id").agg(
         money(F.sum("amount")).alias("payback_sum"), money(F.sum("claim_pay")).alias("claim_sum"))
-    rows = settlements.join(transfers.select("transfer_id", "status_id", "group_type"), "transfer_id").join(sums, "transfer_id", "left")
+    known = transfers.select("transfer_id", "status_id", "group_type", F.lit(True).alias("is_known"))
+    rows = settlements.join(known, "transfer_id", "left").join(sums, "transfer_id", "left")
     message = first_message(
+        (F.col("is_known").isNull(), M.UNKNOWN_ENTRY),
         (F.col("status_id") == PAID, M.ALREADY_TRANSFERRED),
         ((F.col("paid_amount") != F.col("payback_sum")) | (F.col("paid_amount") != F.col("claim_sum")), M.TRANSFER_AMOUNT_WRONG),
         (is_midnight(F.col("paid_at")), M.TRANSFER_TIME_MISSING),

@@ -1,9 +1,7 @@
-"""Session construction and the shared checkpoint folder."""
+"""Session construction."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -26,21 +24,3 @@ def build_session(app: str = "settleflow", master: str | None = None, **conf: st
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the checkpoint folder the session names; make one only for local runs without any.
-
-    A cluster run without a shared folder is an error: a machine-local folder would be lost
-    with its executor.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir():
-        return
-    if named:
-        context.setCheckpointDir(named)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="settleflow-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

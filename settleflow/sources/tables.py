@@ -1,13 +1,16 @@
 """Reading and writing tables.
 
 State is kept in Parquet folders. A job returns new frames and the caller writes them: log-like
-outputs are appended, replaced state goes to a fresh folder that is then switched in, so that a
-failed run never leaves a half-written table behind.
+outputs are appended, by run where a run may be repeated; replaced state goes to a fresh folder, and a pointer that
+readers follow is switched after it has been written, so that a failed run never leaves a half-written table behind.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class TableFolder:
@@ -43,16 +46,75 @@ def replace_partitions(frame: DataFrame, path: str, partition_by: list[str]) ->
     )
 
 
+def append_once(frame: DataFrame, path: str, run: str, column: str = "run") -> None:
+    """Insert that may be repeated: the rows of one run replace those that an earlier try of this run left.
+
+    ``run`` names the run, as a date or a batch number does; rows of other runs are not touched. A try that
+    failed leaves nothing behind, and a repeated one doubles nothing.
+    """
+    frame.withColumn(column, F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+POINTER = "_current"  # readers of Parquet skip names that begin with an underscore
+
+
 def write_version(frame: DataFrame, base: str, version: str) -> str:
-    """Write a whole new state beside the old one and return its folder.
+    """Write a whole new state beside the old one, then switch readers to it; returns its folder.
 
-    The reader switches to the returned folder only after the write has committed.
+    Until the pointer is replaced, in one step, readers see the old state. What a try that stopped in
+    between has written is replaced by the next try of the version. The current version is never written again.
     """
-    target = f"{base.rstrip('/')}/version={version}"
-    frame.write.mode("errorifexists").parquet(target)
+    spark, target = frame.sparkSession, f"{base.rstrip('/')}/version={version}"
+    if current_version(spark, base) == version:
+        raise ValueError(f"version {version} is in use")
+    frame.write.mode("overwrite").parquet(target)
+    _point_to(spark, base, version)
     return target
 
 
+def read_version(spark: SparkSession, base: str) -> DataFrame:
+    """The state that the pointer names."""
+    version = current_version(spark, base)
+    if version is None:
+        raise FileNotFoundError(f"no version of {base} has been committed")
+    return spark.read.parquet(f"{base.rstrip('/')}/version={version}")
+
+
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """Name of the committed version, None before the first one."""
+    jvm, pointer, files = _files(spark, f"{base.rstrip('/')}/{POINTER}")
+    if not files.util().exists(pointer):
+        return None
+    stream = files.open(pointer)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _point_to(spark: SparkSession, base: str, version: str) -> None:
+    """Replace the pointer by a rename, which readers see before or after but never halfway."""
+    jvm, pointer, files = _files(spark, f"{base.rstrip('/')}/{POINTER}")
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}-{uuid.uuid4().hex}")
+    system = fresh.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    stream = system.create(fresh, True)
+    try:
+        stream.write(bytearray(version.encode()))
+    finally:
+        stream.close()
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(fresh, pointer, over)
+
+
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark._jsparkSession.sessionState().newHadoopConf()
+    place = place.getFileSystem(configuration).makeQualified(place)
+    return jvm, place, jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), configuration)
+
+
 def export_csv(frame: DataFrame, path: str) -> None:
     """Bill rows for an insurer, as delimited text with a header."""
     frame.write.mode("overwrite").option("header", True).csv(path)

@@ -1,19 +1,27 @@
 """Helpers on literal frames, with skewed keys and against brute force."""
 
 import datetime as dt
+import os
 import random
+import re
+import subprocess
+import sys
+import tempfile
 from decimal import Decimal as D
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from settleflow.functions import scalars as S
 from settleflow.functions.codes import running_codes
-from settleflow.operators import state
-from settleflow.operators.aggregates import distinct_text, first_row_per_group, latest_per_key, text_list
+from settleflow.operators import numbering, packing, state
+from settleflow.operators.aggregates import distinct_text, first_row_per_group, latest_per_key, ordered_lines, text_list
 from settleflow.operators.filters import code_list, half_open, keep_where
 from settleflow.operators.joins import or_join, values_table
-from settleflow.operators.numbering import global_dense_rank, global_row_number, keyed_row_number, place_rows
+from settleflow.operators.numbering import REPEATED, global_dense_rank, global_row_number, keyed_row_number, places
+from settleflow.operators.numbering import small as numbering_small
 from settleflow.operators.packing import next_fit
 from settleflow.operators.paging import page, sort_columns
 
@@ -58,28 +66,70 @@ def test_next_fit_splits_one_large_list(spark, many_partitions, seed):
     rng.shuffle(data)
     frame = spark.createDataFrame(data, "k string, i int, x decimal(16,2)")
     # the large list really lies in several partitions
-    assert place_rows(frame, ["k", "i"]).filter("k = 'hot'").select("_part").distinct().count() > 2
-    got = {(r["k"], r["i"]): r["group_no"] for r in next_fit(frame, "k", ["i"], F.col("x"), 100).collect()}
+    assert places(frame, ["k", "i"]).filter("k = 'hot'").select("_part").distinct().count() > 2
+    got = {(r["k"], r["i"]): r["group_no"] for r in next_fit(frame, "k", ["i"], F.col("x"), 100, piece=150).collect()}
     for key in {k for k, _, _ in data}:
         mine = sorted((i, x) for k, i, x in data if k == key)
         want = brute_next_fit([x for _, x in mine], D(100))
         assert [got[(key, i)] for i, _ in mine] == want
 
 
-def test_next_fit_small_steps_travel_far(spark, many_partitions):
+@pytest.mark.parametrize("piece", [1, 7, 100, 100_000])
+def test_next_fit_small_steps_travel_far(spark, many_partitions, piece):
     # amounts that never fall into step with a fresh start
-    data = [("hot", i, D("33.33") if i % 7 else D("0.01")) for i in range(3000)]
+    data = [("hot", i, D("33.33") if i % 7 else D("0.01")) for i in range(800)]
     frame = spark.createDataFrame(data, "k string, i int, x decimal(16,2)")
-    got = [r[1] for r in rows(next_fit(frame, "k", ["i"], F.col("x"), 1000), "i", "group_no")]
+    got = [r[1] for r in rows(next_fit(frame, "k", ["i"], F.col("x"), 1000, piece=piece), "i", "group_no")]
     assert got == brute_next_fit([x for _, _, x in data], D(1000))
 
 
+@pytest.mark.parametrize("low", [0, -40])
+def test_next_fit_of_odd_amounts(spark, many_partitions, low):
+    """NULL amounts count as nothing; amounts above the ceiling, zero and, in one run, below zero; a list without a key."""
+    rng = random.Random(low)
+    data = [(rng.choice([None, "a", "b", "c"]), i, rng.choice([None, D(0), D(250), D(100)] + [D(rng.randint(low * 100, 9000)) / 100] * 6)) for i in range(900)]
+    frame = spark.createDataFrame(data, "k string, i int, x decimal(16,2)").withColumn("note", F.lit("kept")).withColumn("_at", F.lit(1))
+    for piece in (2, 64, 100_000):
+        got = {r["i"]: r["group_no"] for r in next_fit(frame, "k", ["i"], F.col("x"), 100, piece=piece).collect()}
+        for key in (None, "a", "b", "c"):
+            mine = [(i, x or D(0)) for k, i, x in data if k == key]
+            assert [got[i] for i, _ in mine] == brute_next_fit([x for _, x in mine], D(100))
+
+
+def test_steps_give_the_walk_from_every_total():
+    rng = random.Random(3)
+    for low in (0, -30):
+        for _ in range(40):
+            cents = np.array([rng.randint(low, 60) for _ in range(rng.randint(1, 25))])
+            steps = packing._steps(cents, 100)
+            for total in range(0, 101, 3):
+                sums, opened = total, 0
+                for x in cents.tolist():
+                    if sums + x > 100:
+                        sums, opened = 0, opened + 1
+                    sums += x
+                _, ends, groups, moves = [s for s in steps if s[0] <= total][-1]
+                assert (total + ends if moves else ends, groups) == (sums, opened)
+
+
+def test_packing_runs_in_workers_without_the_library(tmp_path):
+    """Started from another folder, with the library on the driver's path only."""
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from settleflow.session import build_session\nfrom settleflow.operators.packing import next_fit\nfrom pyspark.sql import functions as F\n"
+            "spark = build_session('t', 'local[2]', **{'spark.ui.enabled': 'false', 'spark.checkpoint.dir': %r})\n"
+            "frame = spark.range(50).select(F.lit(1).alias('k'), F.col('id').alias('i'), F.lit(30).cast('decimal(16,2)').alias('x'))\n"
+            "print(next_fit(frame, 'k', ['i'], F.col('x'), 100).agg(F.max('group_no')).first()[0])\n") % (str(Path(__file__).parent.parent), str(tmp_path / "shared"))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split()[-1:] == ["17"], done.stderr[-2000:]
+
+
 def test_next_fit_of_nothing(spark):
     frame = spark.createDataFrame([], "k string, i int, x decimal(16,2)")
     assert next_fit(frame, "k", ["i"], F.col("x"), 100).count() == 0
 
 
-@pytest.mark.parametrize("partitions", ["1", "64"])
+@pytest.mark.parametrize("partitions", ["1", "6", "200"])
 def test_numbering_does_not_depend_on_partitions(spark, many_partitions, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
@@ -98,6 +148,37 @@ def test_numbering_does_not_depend_on_partitions(spark, many_partitions, partiti
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_numbering_keeps_only_keys_and_uses_the_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(tempfile, "mkdtemp", lambda *a, **k: pytest.fail("a machine-local folder"))
+    frame = spark.range(500).select((F.col("id") % 7).alias("k"), "id", F.lit("wide").alias("a"), F.lit("wide").alias("b"))
+    plan = keyed_row_number(frame, ["k"], ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    reads = [line for line in plan.splitlines() if "Relation [" in line]
+    assert reads and not any(re.search(r"\b[ab]#", line) for line in reads)
+    assert places(frame, ["k", "id"]).inputFiles()[0].removeprefix("file://").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_rows_that_the_order_does_not_tell_apart_are_refused(spark):
+    frame = spark.createDataFrame([(1, "x"), (1, "y")], "i int, v string")
+    with pytest.raises(Exception, match=REPEATED):
+        global_row_number(frame, ["i"]).collect()
+
+
+def test_spans_that_are_too_many_to_send_are_joined(spark, monkeypatch):
+    frame = spark.range(300).select((F.col("id") % 40).alias("k"), "id")
+    monkeypatch.setattr(numbering, "small", lambda table: numbering_small(table, 10))
+    found = rows(keyed_row_number(frame, ["k"], ["id"]), "k", "id", "row_no")
+    assert found == [(k, i, i // 40 + 1) for k in range(40) for i in range(k, 300, 40)]
+
+
+def test_running_codes_do_not_shuffle_by_prefix(spark, small):
+    orders = spark.read.parquet(f"{small}/orders.parquet").select("o_orderkey", "o_totalprice", F.lit("P").alias("prefix"))
+    counters = spark.createDataFrame([("P", "68", "05", 3)], "prefix string, year string, month string, running int")
+    coded, _ = running_codes(orders, "prefix", ["o_orderkey"], 8, dt.date(2025, 5, 9), counters)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\((prefix|_key_prefix)#\w+, \d+\)", plan)
+    assert coded.agg(F.count_distinct("code"), F.min("code"), F.max("code")).first()[:2] == (orders.count(), "P680500000004")
+
+
 def test_keyed_numbering_with_null_key(spark):
     frame = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, i int")
     assert rows(keyed_row_number(frame, ["k"], ["i"]), "i", "row_no") == [(1, 1), (2, 2), (3, 1)]
@@ -110,12 +191,15 @@ def test_or_join_matches_like_a_disjunction(spark):
     assert rows(or_join(left, right, ["a", "b"], "k").fillna("-"), "id", "name") == rows(want.fillna("-"), "id", "name")
 
 
-def test_text_list_is_exact_within_its_width(spark):
-    data = [("hot", i, f"v{i}") for i in range(5000)] + [("one", 1, "x"), ("two", 2, "b"), ("two", 1, "a")]
-    frame = spark.createDataFrame(data, "k string, o int, v string")
-    got = dict(rows(text_list(frame, ["k"], "v", ["o"], ",", "t", 50), "k", "t"))
-    assert got["hot"] == ",".join(f"v{i}" for i in range(5000))[:50]
-    assert got["one"] == "x" and got["two"] == "a,b"
+def test_text_lists_and_ordered_lines_are_whole(spark, many_partitions):
+    data = [("hot", i, f"v{i}") for i in range(5000)] + [("one", 1, "x"), ("two", 2, "b"), ("two", 1, "a"), (None, 2, "z"), (None, 1, "y"), ("none", 1, None), ("part", 1, None), ("part", 2, "")]
+    frame = spark.createDataFrame(data, "k string, o int, v string").repartition(7)
+    got = {r["k"]: r["t"] for r in text_list(frame, ["k"], "v", ["o"], ",", "t").collect()}
+    assert got == {"hot": ",".join(f"v{i}" for i in range(5000)), "one": "x", "two": "a,b", None: "y,z", "part": ""}
+    same = {r["k"]: r["t"] for r in text_list(frame.withColumnRenamed("v", "o2"), ["k"], "o2", ["o"], ",", "t").collect()}
+    assert same == got
+    lines = [(r["o"], r["v"]) for r in ordered_lines(frame, ["k"], ["o"]).filter("k = 'hot'").orderBy("line_no").collect()]
+    assert lines == [(i, f"v{i}") for i in range(5000)]
 
 
 def test_rank_filter_limits_before_the_shuffle(spark, small):
@@ -127,9 +211,7 @@ def test_rank_filter_limits_before_the_shuffle(spark, small):
 def test_no_global_window_over_the_data(spark, small):
     frame = spark.read.parquet(f"{small}/orders.parquet").select("o_orderkey")
     plan = global_row_number(frame, ["o_orderkey"])._jdf.queryExecution().executedPlan().toString()
-    # the one single-partition window is over the per-partition counts, and it is broadcast
-    head, _, counts = plan.partition("BroadcastExchange")
-    assert "SinglePartition" not in head and "SinglePartition" in counts
+    assert "SinglePartition" not in plan and "Window" not in plan  # the table of spans was made before
 
 
 def test_first_row_and_distinct_text(spark):
