@@ -8,8 +8,8 @@ into words. Everything is counted per language.
   before the shuffle, Spark adds them up over the corpus.
 * **Flow.** A node is left once for each of its occurrences, but for those at the end of a piece. So a
   shorter phrase's count is the weight of the edges that leave it plus the number of pieces that end with
-  it. The four-word nodes with their counts are in turn the edges between three-word nodes, and so on.
-  All counts are exact; none but those of single words and of the longest grams is read off the texts.
+  it. The four-word nodes with their counts are in turn the edges between three-word nodes.
+  All counts are exact. Besides the longest grams only single words and pairs are read off the texts, which have to be known before.
 * **Compaction.** A node through which one edge carries the whole flow is no phrase of its own: it lies
   inside of that edge's longer phrase, and is merged into it. Frequent edges whose ends are merged on both sides
   form unary paths, which ``passages`` returns as whole passages; paths grow by doubling, so a path of n
@@ -18,9 +18,9 @@ into words. Everything is counted per language.
 
 Before the edges are made, a piece is cut at words, and between neighbours, that are too rare for a frequent
 phrase: no frequent phrase holds them, so no count that is asked for changes, and the graph keeps the part of the
-text that matters. For this, words and pairs of neighbours are summed up first, pairs by their hash only, whose
-sum is no less than the pair's own. Whether one is frequent is then looked up in a bitmap of ``SIEVE_BITS`` bits, whose size
-does not grow with the corpus; a rare one that shares the bit of a frequent one only makes the graph larger.
+text that matters. For this, words and then pairs of frequent words are counted first. Whether one is frequent is looked up in a
+bitmap of ``SIEVE_BITS`` bits, whose size does not grow with the corpus; a rare one that shares the bit of a frequent one
+only makes the graph larger.
 
 Results: a null text counts as empty, a null language as ``und``; empty texts, and an empty table, add
 nothing. Repeated rows count as often as they occur. Very long texts are read piece by piece. Only the
@@ -29,7 +29,7 @@ two named columns are read, so further columns never clash.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,35 +44,23 @@ from settleflow.llm.common import stored, word_blocks
 
 LONGEST = 5
 SIEVE_BITS = 1 << 24
-SUMMED = 300_000  # different rows a task adds up before it hands them on
+SUMMED = 500_000  # different rows a task adds up before it hands them on
+REMEMBERED = 250_000  # words of a language whose hash a task remembers
+_MARK, _BETWEEN = b"\xff", b" \xff "  # stands between pieces; no UTF-8 text has this byte
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9)
 
 
-def _counted(docs: DataFrame, count, finish, schema: str) -> DataFrame:
-    """What each task has added up of its texts; ``count`` makes a function that adds a text to counters, ``finish`` turns a counter into columns."""
+def _texts(docs: DataFrame, step, schema: str) -> DataFrame:
+    """Apply ``step``, a function from (language, lower-cased text) pairs to Arrow columns, to each partition."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary").alias("_lang"), F.col("text").cast("binary").alias("_text")).where("_text is not null")
     names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters: dict[bytes, tuple[Counter, Counter]] = {}
-        add = count()
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for lang, kinds in counters.items():
-                for kind, counter in enumerate(kinds):
-                    keys, values = list(counter), list(counter.values())
-                    for at in range(0, len(keys), 20_000):
-                        part = slice(at, at + 20_000)
-                        yield pa.RecordBatch.from_arrays([*finish(lang, kind, keys[part]), pa.array(values[part], pa.int64())], names=names)
-            counters.clear()
-
-        for batch in batches:
-            for lang, text in zip(batch.column("_lang").to_pylist(), batch.column("_text").to_pylist()):
-                kinds = counters.setdefault(lang, (Counter(), Counter()))
-                add(lang, text.translate(_LOWER), *kinds)
-                if sum(map(len, kinds)) > SUMMED:
-                    yield from out()
-        yield from out()
+        texts = ((lang, text.translate(_LOWER)) for batch in batches for lang, text in zip(batch.column("_lang").to_pylist(), batch.column("_text").to_pylist()))
+        for columns in step(texts):
+            whole = pa.RecordBatch.from_arrays(columns, names=names)
+            for at in range(0, whole.num_rows, 20_000):
+                yield whole.slice(at, 20_000)
 
     return rows.mapInArrow(run, schema)
 
@@ -84,23 +72,22 @@ def _strings(values: list[bytes]) -> pa.Array:
 def word_counts(docs: DataFrame) -> DataFrame:
     """``lang``, ``phrase`` (one word) and its count ``cnt``."""
 
-    def count():
-        def add(lang: bytes, text: bytes, words: Counter, _: Counter) -> None:
-            for block in word_blocks(text):
-                words.update(block)
-
-        return add
-
-    def finish(lang: bytes, _: int, words: list[bytes]) -> list[pa.Array]:
-        return [_strings([lang] * len(words)), _strings(words)]
+    def count(texts: Iterator[tuple[bytes, bytes]]) -> Iterator[list[pa.Array]]:
+        counters: defaultdict[bytes, Counter] = defaultdict(Counter)
 
-    return _counted(docs, count, finish, "lang string, phrase string, cnt long").groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
+        def out() -> Iterator[list[pa.Array]]:
+            for lang, words in counters.items():
+                yield [_strings([lang] * len(words)), _strings(list(words)), pa.array(list(words.values()), pa.int64())]
+            counters.clear()
 
+        for lang, text in texts:
+            for block in word_blocks(text):
+                counters[lang].update(block)
+            if sum(map(len, counters.values())) > SUMMED:
+                yield from out()
+        yield from out()
 
-def _hash(lang: bytes, phrase: bytes) -> int:
-    """The hash that Spark's ``xxhash64`` gives for language, newline, phrase."""
-    h = xxhash.xxh64_intdigest(lang + b"\n" + phrase, 42)
-    return h - (1 << 64) if h >> 63 else h
+    return _texts(docs, count, "lang string, phrase string, cnt long").groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
 
 
 def sieve(hashes: DataFrame, bits: int = SIEVE_BITS) -> Broadcast:
@@ -113,95 +100,125 @@ def sieve(hashes: DataFrame, bits: int = SIEVE_BITS) -> Broadcast:
     return hashes.sparkSession.sparkContext.broadcast(bitmap)
 
 
+def _passes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes (signed, as Spark has them) are in a bitmap."""
+    p = np.mod(hashes, len(bitmap) * 32)
+    return bitmap[p >> 5] >> (p & 31).astype(np.uint32) & 1 == 1
+
+
 def word_sieve(words: DataFrame, least: int) -> Broadcast:
     return sieve(words.where(F.col("cnt") >= least).select(F.xxhash64(F.concat_ws("\n", "lang", "phrase")).alias("hash")))
 
 
-def pair_sieve(docs: DataFrame, frequent: Broadcast, least: int) -> Broadcast:
-    """Sieve of neighbouring words by the sums of their hashes."""
+class _Hashes(dict):
+    """Hash of each word of a language that passes the word sieve, 0 of the others and of the mark between pieces."""
+
+    def __init__(self, bitmap: np.ndarray, lang: bytes):
+        self.bitmap, self.lang = bitmap, lang
+        self[_MARK] = 0
 
-    def count():
-        runs = _runs(frequent.value, None)
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+            self[_MARK] = 0
+        h = xxhash.xxh64_intdigest(self.lang + b"\n" + word, 42)
+        h = h - (1 << 64) if h >> 63 else h
+        p = h % (len(self.bitmap) * 32)
+        self[word] = h = h if self.bitmap[p >> 5] >> (p & 31) & 1 else 0
+        return h
 
-        def add(lang: bytes, text: bytes, pairs: Counter, _: Counter) -> None:
-            for run in runs(lang, text):
-                pairs.update(map(b" ".join, zip(run, run[1:])))
 
-        return add
+def _hashed(bitmap: np.ndarray):
+    """Function from a language and a text to its words, with a mark between pieces, and per pair of neighbours whether both pass and their hash."""
+    known: dict[bytes, _Hashes] = {}
 
-    def finish(lang: bytes, _: int, pairs: list[bytes]) -> list[pa.Array]:
-        return [pa.array([_hash(lang, pair) for pair in pairs], pa.int64())]
+    def pairs(lang: bytes, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        if lang not in known:
+            known[lang] = _Hashes(bitmap, lang)
+        of = known[lang]
+        words = text.replace(b"\n", _BETWEEN).split()
+        h = np.array([of[w] for w in words], np.int64)
+        a, b = h[:-1], h[1:]
+        mixed = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
+        mixed ^= mixed >> np.uint64(29)
+        return words, (a != 0) & (b != 0), (mixed * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
 
-    sums = _counted(docs, count, finish, "hash long, cnt long").groupBy("hash").agg(F.sum("cnt").alias("cnt"))
-    return sieve(sums.where(F.col("cnt") >= least).select("hash"))
+    return pairs
 
 
-def _runs(words: np.ndarray, pairs: np.ndarray | None):
-    """Function from a language and a lower-cased text to the runs of two or more words that pass the sieves."""
+def pair_counts(docs: DataFrame, frequent: Broadcast, least: int) -> DataFrame:
+    """``lang``, ``phrase`` (two neighbouring words) and ``cnt`` of the pairs that occur ``least`` times or more."""
 
-    class Passes(dict):
-        """Whether a word or pair passes; what a task has looked up is remembered up to a bound."""
+    def count(texts: Iterator[tuple[bytes, bytes]]) -> Iterator[list[pa.Array]]:
+        pairs = _hashed(frequent.value)
+        counters: defaultdict[bytes, Counter] = defaultdict(Counter)
 
-        def __init__(self, bitmap: np.ndarray, lang: bytes):
-            self.bitmap, self.bits, self.lang = bitmap, len(bitmap) * 32, lang
+        def out() -> Iterator[list[pa.Array]]:
+            for lang, found in counters.items():
+                yield [_strings([lang] * len(found)), _strings(list(found)), pa.array(list(found.values()), pa.int64())]
+            counters.clear()
 
-        def __missing__(self, phrase: bytes) -> bool:
-            if len(self) > 250_000:
-                self.clear()
-            p = _hash(self.lang, phrase) % self.bits
-            self[phrase] = passes = bool(self.bitmap[p >> 5] >> (p & 31) & 1)
-            return passes
+        for lang, text in texts:
+            words, both, _ = pairs(lang, text)
+            counters[lang].update([b" ".join(words[k:k + 2]) for k in np.flatnonzero(both).tolist()])
+            if sum(map(len, counters.values())) > SUMMED:
+                yield from out()
+        yield from out()
 
-    known: dict[bytes, tuple[Passes, Passes | None]] = {}
+    counted = _texts(docs, count, "lang string, phrase string, cnt long").groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))
+    return counted.where(F.col("cnt") >= least)
 
-    def runs(lang: bytes, text: bytes) -> Iterator[list[bytes]]:
-        if lang not in known:
-            known[lang] = Passes(words, lang), None if pairs is None else Passes(pairs, lang)
-        word, pair = known[lang]
-        for piece in text.split(b"\n"):
-            found = piece.split()
-            if len(found) < 2:
-                continue
-            passes = [word[w] for w in found]
-            passes.append(False)
-            at, n = 0, len(found)
-            while at < n:
-                if not passes[at]:
-                    at += 1
-                    continue
-                end = passes.index(False, at)
-                if end - at > 1:
-                    run = found[at:end]
-                    if pair is None:
-                        yield run
-                    else:
-                        cuts = [k for k, p in enumerate(map(b" ".join, zip(run, run[1:])), 1) if not pair[p]]
-                        for a, b in zip([0, *cuts], [*cuts, len(run)]):
-                            if b - a > 1:
-                                yield run[a:b]
-                at = end
-
-    return runs
+
+def pair_sieve(pairs: DataFrame, frequent: Broadcast) -> Broadcast:
+    """Sieve of neighbouring words from the frequent pairs."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = _hashed(frequent.value)
+        for batch in batches:
+            found = [int(of(lang.encode(), phrase.encode())[2][0]) for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["hash"])
+
+    return sieve(pairs.select("lang", "phrase").mapInArrow(hashes, "hash long"))
 
 
 def edges_and_ends(docs: DataFrame, words: Broadcast, pairs: Broadcast) -> DataFrame:
-    """``lang``, ``phrase``, ``cnt`` and ``edge``: true for the longest grams, false for the last words (up to four) of a run."""
+    """``lang``, ``phrase``, ``cnt`` and ``ended``: the longest grams with their counts and how often a run ends with them, and shorter runs as a whole.
 
-    def count():
-        runs = _runs(words.value, pairs.value)
+    A run is a stretch of a piece, three words or more, in which every two neighbours pass the sieves.
+    """
 
-        def add(lang: bytes, text: bytes, edges: Counter, ends: Counter) -> None:
-            for run in runs(lang, text):
-                if len(run) >= LONGEST:
-                    edges.update(map(b" ".join, zip(*(run[k:] for k in range(LONGEST)))))
-                ends[b" ".join(run[1 - LONGEST:])] += 1
+    def count(texts: Iterator[tuple[bytes, bytes]]) -> Iterator[list[pa.Array]]:
+        hashed, bitmap = _hashed(words.value), pairs.value
+        counters: defaultdict[bytes, tuple[Counter, Counter, Counter]] = defaultdict(lambda: (Counter(), Counter(), Counter()))
 
-        return add
+        def out() -> Iterator[list[pa.Array]]:
+            for lang, (edges, ended, short) in counters.items():
+                grams, shorts = list(edges), list(short)
+                yield [_strings([lang] * len(grams)), _strings(grams), pa.array(list(edges.values()), pa.int64()), pa.array([ended[g] for g in grams], pa.int64())]
+                yield [_strings([lang] * len(shorts)), _strings(shorts), pa.array(list(short.values()), pa.int64()), pa.array(list(short.values()), pa.int64())]
+            counters.clear()
 
-    def finish(lang: bytes, kind: int, grams: list[bytes]) -> list[pa.Array]:
-        return [_strings([lang] * len(grams)), _strings(grams), pa.array([kind == 0] * len(grams))]
+        for lang, text in texts:
+            found, both, hashes = hashed(lang, text)
+            at = np.flatnonzero(both)
+            at = at[_passes(bitmap, hashes[at])]  # words at and at + 1 are neighbours in a run
+            if not len(at):
+                continue
+            ends = np.flatnonzero(np.r_[at[1:] != at[:-1] + 1, True])
+            begins = np.r_[0, ends[:-1] + 1]
+            lengths = ends - begins + 1  # pairs of a run
+            ends, begins, lengths = (x[lengths > 1] for x in (ends, begins, lengths))
+            long = lengths >= LONGEST - 1
+            starts = np.concatenate([np.arange(b, e - LONGEST + 3) for b, e in zip(at[begins[long]].tolist(), at[ends[long]].tolist())] or [np.zeros(0, np.int64)])
+            edges, ended, short = counters[lang]
+            edges.update([b" ".join(found[k:k + LONGEST]) for k in starts.tolist()])
+            ended.update([b" ".join(found[k + 2 - LONGEST:k + 2]) for k in at[ends[long]].tolist()])
+            short.update([b" ".join(found[i:j + 2]) for i, j in zip(at[begins[~long]].tolist(), at[ends[~long]].tolist())])
+            if sum(len(edges) + len(short) for edges, _, short in counters.values()) > SUMMED:
+                yield from out()
+        yield from out()
 
-    return _counted(docs, count, finish, "lang string, phrase string, edge boolean, cnt long")
+    return _texts(docs, count, "lang string, phrase string, cnt long, ended long")
 
 
 def _words(phrase: Column) -> Column:
@@ -220,12 +237,15 @@ def phrase_counts(docs: DataFrame, least: int = 100) -> tuple[DataFrame, DataFra
     """Counts of all single words, and of all phrases of two to ``LONGEST`` words that occur ``least`` times or more."""
     words = stored(word_counts(docs), "words")
     frequent_words = word_sieve(words, least)
-    frequent_pairs = pair_sieve(docs, frequent_words, least)
-    grams = stored(edges_and_ends(docs, frequent_words, frequent_pairs).groupBy("lang", "phrase", "edge").agg(F.sum("cnt").alias("cnt")), "grams")
-    flow = grams.where("edge").select("lang", "phrase", "cnt")
-    tails = grams.where("not edge").select("lang", "phrase", "cnt", _words(F.col("phrase")).alias("n"))
-    frequent = [flow.where(F.col("cnt") >= least)]
-    for n in range(LONGEST - 1, 1, -1):
+    pairs = stored(pair_counts(docs, frequent_words, least), "pairs")
+    frequent_pairs = pair_sieve(pairs, frequent_words)
+    grams = stored(edges_and_ends(docs, frequent_words, frequent_pairs).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"), F.sum("ended").alias("ended")), "grams")
+    edge = _words(F.col("phrase")) == LONGEST
+    flow = grams.where(edge).select("lang", "phrase", "cnt")
+    tails = grams.where("ended > 0").select("lang", _last(F.col("phrase"), LONGEST - 1).alias("phrase"), F.col("ended").alias("cnt"))
+    tails = tails.withColumn("n", _words(F.col("phrase")))
+    frequent = [flow.where(F.col("cnt") >= least), pairs]
+    for n in range(LONGEST - 1, 2, -1):
         leaving = flow.select("lang", _first(F.col("phrase"), n).alias("phrase"), "cnt")
         ending = tails.where(F.col("n") >= n).select("lang", _last(F.col("phrase"), n).alias("phrase"), "cnt")
         flow = leaving.union(ending).groupBy("lang", "phrase").agg(F.sum("cnt").alias("cnt"))

@@ -361,12 +361,19 @@ def test_the_sieves_keep_what_is_frequent_and_little_else(spark):
     often, rare = " ".join(f"wé{k}" for k in range(0, 5000, 50)), " ".join(f"wé{k}" for k in range(1, 5000, 50))
     docs = spark.createDataFrame([("en", often), ("en", often), ("en", rare), ("en", rare), ("en", "wé50 wé0 wé100")], "lang string, text string")
     by_word = phrases.word_sieve(words, 100)
-    passed = lambda bitmap, phrase: bool(bitmap.value[(p := phrases._hash(b"en", phrase.encode()) % phrases.SIEVE_BITS) >> 5] >> (p & 31) & 1)
-    assert all(passed(by_word, f"wé{k}") == (k % 50 == 0) for k in range(5000))
-    by_pair = phrases.pair_sieve(docs, by_word, 2)
-    assert passed(by_pair, "wé0 wé50") and not passed(by_pair, "wé50 wé0") and not passed(by_pair, "wé1 wé51")
-    found = phrases.edges_and_ends(docs, by_word, by_pair).groupBy("edge").agg(F.sum("cnt")).collect()
-    assert {tuple(r) for r in found} == {(True, 2 * 96), (False, 2)}
+    kept = phrases._Hashes(by_word.value, b"en")
+    assert all((kept[f"wé{k}".encode()] != 0) == (k % 50 == 0) for k in range(5000))
+    pairs = phrases.pair_counts(docs, by_word, 2)
+    assert {(r["phrase"], r["cnt"]) for r in pairs.collect()} == {(f"wé{k} wé{k + 50}", 2) for k in range(0, 4950, 50)}
+    by_pair = phrases.pair_sieve(pairs, by_word)
+
+    def passes(text):
+        _, both, hashes = phrases._hashed(by_word.value)(b"en", text.encode())
+        return (both & phrases._passes(by_pair.value, hashes)).tolist()
+
+    assert passes("wé0 wé50 wé0 wé50") == [True, False, True] and passes("wé1 wé51") == [False] and passes("wé0\nwé50") == [False, False]
+    found = {r["phrase"]: (r["cnt"], r["ended"]) for r in phrases.edges_and_ends(docs, by_word, by_pair).collect()}
+    assert len(found) == 96 and sum(c for c, _ in found.values()) == 2 * 96 and {p: e for p, (_, e) in found.items() if e} == {" ".join(often.split()[-5:]): 2}
 
 
 def test_large_numbers_stay_exact(spark, monkeypatch, make):
