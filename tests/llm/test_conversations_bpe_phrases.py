@@ -372,7 +372,8 @@ def test_the_sieves_keep_what_is_frequent_and_little_else(spark):
         return (both & phrases._passes(by_pair.value, hashes)).tolist()
 
     assert passes("wé0 wé50 wé0 wé50") == [True, False, True] and passes("wé1 wé51") == [False] and passes("wé0\nwé50") == [False, False]
-    found = {r["phrase"]: (r["cnt"], r["ended"]) for r in phrases.edges_and_ends(docs, by_word, by_pair).collect()}
+    summed = phrases.edges_and_ends(docs, by_word, by_pair).groupBy("phrase").agg(F.sum("cnt"), F.sum("ended"))
+    found = {p: (c, e) for p, c, e in collected(summed)}
     assert len(found) == 96 and sum(c for c, _ in found.values()) == 2 * 96 and {p: e for p, (_, e) in found.items() if e} == {" ".join(often.split()[-5:]): 2}
 
 

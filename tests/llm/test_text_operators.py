@@ -497,35 +497,50 @@ def test_passages_of_odd_rows(odd, nothing, make):
 
 # 10 mixing
 
-@pytest.mark.parametrize("weights", [[1, 1, 1], [0.5, 0.3, 0.2], [100, 1, 7, 3], [1], [0.7, 0.1, 0.1, 0.05, 0.05]])
-def test_a_source_is_less_than_one_block_off_its_weight(weights):
-    parts = mixing.shares(weights)
-    placed = mixing.one_period(parts)
-    assert sum(parts) == mixing.PERIOD and sorted(t for p in placed for t in p) == list(range(mixing.PERIOD))
-    for part, slots in zip(parts, placed):
-        for j, t in enumerate(slots):  # the window of block j
-            assert j * mixing.PERIOD // part <= t < -(-(j + 1) * mixing.PERIOD // part)
-        taken = np.searchsorted(slots, np.arange(mixing.PERIOD + 1))
-        assert np.abs(taken - np.arange(mixing.PERIOD + 1) * part / mixing.PERIOD).max() < 1
-
-
-def test_phases_agree_with_the_schedule_slot_by_slot():
-    blocks, weights = [40, 9000, 3], [0.5, 0.4, 0.1]
-    slot_of = {}
-    for lane, begin, end, base, period, places in mixing.plan(blocks, weights):
-        for b in range(begin, end):
-            k = b - begin
-            slot_of[base + k // len(places) * period + places[k % len(places)]] = (lane, b)
-    assert sorted(slot_of) == list(range(sum(blocks)))
-    left, live, at = list(blocks), [0, 1, 2], 0
-    while live:  # a source leaves when it has no blocks
-        order = [k for _, k in sorted((s, k) for k, p in zip(live, mixing.one_period(mixing.shares([weights[k] for k in live]))) for s in p)]
-        for k in itertools.cycle(order):
-            assert slot_of[at] == (k, blocks[k] - left[k])
-            left[k], at = left[k] - 1, at + 1
-            if not left[k]:
-                live.remove(k)
-                break
+@pytest.mark.parametrize("weights", [[1, 1, 1], [0.5, 0.3, 0.2], [100, 1, 7, 3], [1], [2 ** 0.5, 1, 0.37, 1], [k ** 0.5 for k in range(1, 40)], [0.9, 1e-4, 0.05, 0.0499]])
+def test_a_source_is_less_than_one_block_off_its_target_weight(weights):
+    slots = 120_000
+    lanes = np.array(mixing.earliest_deadline_first([slots if len(weights) == 1 else 10 ** 9] * len(weights), weights, slots)[0])
+    assert len(lanes) == slots
+    for k, w in enumerate(weights):  # the weights as they were given
+        taken = np.r_[0, np.cumsum(lanes == k)]
+        assert np.abs(taken - np.arange(slots + 1) * (w / sum(weights))).max() < 1
+
+
+def test_a_new_phase_begins_when_a_source_ends():
+    blocks, weights = [40, 9000, 3, 70, 5], [0.5, 0.4, 0.1, 0, 0]
+    lanes = mixing.schedule(blocks, weights)
+    assert [lanes.count(k) for k in range(5)] == blocks and set(lanes[-75:]) == {3, 4}
+    left, at = list(blocks), 0
+    for live, pull in (([0, 1, 2], weights), ([3, 4], blocks)):
+        live = list(live)
+        while live:
+            start, total = at, sum(pull[k] for k in live)
+            done = dict.fromkeys(live, 0)
+            while all(left[k] for k in live):
+                done[lanes[at]] += 1
+                left[lanes[at]] -= 1
+                at += 1
+                assert all(abs(done[k] - pull[k] / total * (at - start)) < 1 for k in live)
+            live = [k for k in live if left[k]]
+
+
+def test_block_sizes_keep_the_schedule_bounded(make, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 20)
+    monkeypatch.setattr(mixing, "MAX_LANES", 4)
+    monkeypatch.setattr(mixing, "LEAST_ROWS", 1)
+    docs = make([(k, "t", None, f"s{k % 7}" if k % 3 else "big") for k in range(700)])
+    rows = sorted(mixing.mix(docs).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in rows] == list(range(700)) and {r["doc_id"] for r in rows} == set(range(700)) and len({r["slot"] for r in rows}) <= 20
+
+
+def test_mixing_keeps_columns_with_inner_names(make):
+    docs = make([(k, "t", None, "ab"[k % 2]) for k in range(30)])
+    for name in ("_order", "_lane", "_mix_lane", "_mix_block", "_place", "lane", "start", "rows", "name"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    found = mixing.mix(docs, block_rows=4)
+    assert set(found.columns) == {*docs.columns, "slot", "position"}
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in found.collect() for n in ("_order", "_lane", "_mix_lane", "_mix_block", "_place", "lane", "start", "rows", "name"))
 
 
 def test_every_row_has_one_place(make):
@@ -539,6 +554,30 @@ def test_every_row_has_one_place(make):
     assert np.abs(taken - 0.5 * np.arange(1, 21)).max() < 1.1
 
 
+def test_digests_at_block_borders_and_of_large_ids(make, monkeypatch):
+    """Long texts right behind a block's copy of the next head, and ids that floats can't tell apart next to a null."""
+    monkeypatch.setattr(digests, "BLOCK_ROWS", 3)
+    rng = random.Random(21)
+    texts = {k: prose(rng, 12_000 if k % 3 else 30) for k in range(1, 21)}
+    found = {r["doc_id"]: r for r in digests.fingerprints(make(list(texts.items()))).collect()}
+    order = sorted(texts, reverse=True)
+    assert set(found) == set(texts)
+    for k, after in zip(order, [*order[1:], order[0]]):
+        own, cut = texts[k], len(texts[k]) // 3
+        assert found[k]["edited_sha256"] == hashlib.sha256((own[:len(own) - cut] + texts[after][:cut]).encode()).hexdigest()
+    big = [2 ** 60 + 1, 2 ** 60 + 3, None]
+    assert {r["doc_id"] for r in digests.fingerprints(make([(d, f"text {d}") for d in big])).collect()} == set(big)
+
+
+def test_long_paragraphs_do_not_slow_licence_training(make):
+    import time
+    words = " ".join(f"wort{k % 5003}" for k in range(20_000))
+    docs = make([(k, f"{words} {k}") for k in range(4)])
+    begin = time.time()
+    licences.train(docs)
+    assert time.time() - begin < 150
+
+
 def test_mixing_of_odd_rows(odd, nothing):
     rows = mixing.mix(odd).collect()
     assert sorted(r["position"] for r in rows) == list(range(10)) and mixing.mix(nothing).count() == 0
