@@ -223,14 +223,15 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
                 waiting.append(row)
                 size += len(row[3])
                 if size > SEGMENT and len(waiting) > 1:
-                    yield answer(waiting)
+                    yield from answer(waiting)
                     waiting, size = waiting[-1:], len(waiting[-1][3])
-        if len(waiting) > 1:
-            yield answer(waiting)
+        yield from answer(waiting)
 
-    def answer(rows: list[tuple]) -> pd.DataFrame:
-        """Results of all rows but the last, each with the one behind it."""
+    def answer(rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        """Results of all rows but the last, each with the one behind it; nothing where all of these are copies of heads."""
         mine = [k for k in range(len(rows) - 1) if not rows[k][1]]
+        if not mine:
+            return
         edited = []
         for k in mine:
             own, after = rows[k][3], rows[k + 1][3]
@@ -243,10 +244,9 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
                "edited_sha256": [hashlib.sha256(e).hexdigest() for e in changed],
                "fingerprint": [encode(made[k]) for k in mine], "edited_fingerprint": [encode(d) for d in made[len(plain):]],
                "near_edited": [likeness(made[k], d) for k, d in zip(mine, made[len(plain):])], "near_next": [likeness(made[k], made[k + 1]) for k in mine]}
-        frame = pd.DataFrame(out)
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
-        return frame
+        yield pd.DataFrame(out)
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return ordered.select("_block", "_copy", "doc_id", "text").mapInPandas(
-        run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    # ids go as text: pandas would turn whole numbers with a null among them into floats
+    found = ordered.select("_block", "_copy", F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
+        run, "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
