@@ -24,6 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from settleflow.llm.common import stored
 from settleflow.llm.decontaminate import words_of
 
 VOCABULARY = 1 << 14
@@ -138,7 +139,9 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Lic
     known = examples.where(F.col("family") != UNKNOWN).select(F.explode(_runs(F.col("_words"), (3,))).alias("_g")).distinct()
     known = [r[0] for r in known.collect()]  # from the templates alone
     sample = docs.where(F.col(text).isNotNull()).orderBy(F.xxhash64(doc_id), F.xxhash64(text)).limit(SAMPLE_DOCUMENTS)
-    plain = _paragraphs(sample, doc_id, text).where(F.size("_words") > 0).where(~F.arrays_overlap(_runs(F.col("_words"), (3,)), F.lit(known)))
+    # stored, or the filter below would split a paragraph again for each of its words
+    sampled = stored(_paragraphs(sample, doc_id, text).where(F.size("_words") > 0), "licence-sample")
+    plain = sampled.where(~F.arrays_overlap(_runs(F.col("_words"), (3,)), F.lit(known)))
     plain = plain.select(F.lit(UNKNOWN).alias("family"), "_words", F.pmod(F.xxhash64("doc_id", "paragraph"), F.lit(2)).cast("int").alias("pool"))
     label = F.array_position(F.lit(families), F.col("family")).cast("double") - 1
     data = examples.union(plain).select(label.alias("label"), _runs(F.col("_words"), (2, 3)).alias("grams"), "pool")
