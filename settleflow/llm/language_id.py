@@ -3,11 +3,12 @@
 A text is lower-cased and framed by spaces; its character n-grams (``ORDERS``) are hashed into ``BUCKETS`` buckets.
 Training counts them per language in all training rows: tasks count their rows, Spark adds the
 counts, and the smoothed log-probabilities, a matrix of buckets by languages, are broadcast. Its size
-is bounded by the number of language codes. Scoring runs over batches: the rows of the matrix that a
-batch's n-grams select are summed per text.
+is bounded by the number of language codes. Scoring runs over batches: a sparse matrix of counts, texts by
+buckets, is multiplied by the weights.
 
-The score is the probability of the predicted language. N-grams of one text are far from
-independent, so their evidence counts as that of at most ``EVIDENCE`` n-grams.
+The language predicted is the one with the highest posterior over all n-grams of the text. The score is the predicted
+language's probability at softened evidence: n-grams of one text are far from independent, so for the score, and for
+it alone, they count as ``EVIDENCE`` n-grams at most.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, and every text if
 there are no training rows; ties go to the language first in order. Texts of any length are
@@ -17,7 +18,6 @@ so repeated rows get equal results, and further columns change nothing.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +32,6 @@ BUCKETS = 1 << 16
 EVIDENCE = 64
 SMOOTHING = 0.5
 PIECE = 1 << 18  # characters
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -108,18 +107,24 @@ def train(rows: DataFrame, *, text: str = "text", lang: str = "lang") -> Languag
 
 
 def _score(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Language of the highest posterior of each text, and its probability at softened evidence."""
     sums, grams = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts))
     for which, pieces, starts in _pieces(texts):
-        found, offsets = _buckets(pieces, starts)
-        for row in found:
-            np.add.at(sums, which, np.add.reduceat(model.weights[row], offsets, axis=0, dtype=np.float64))
-            np.add.at(grams, which, np.add.reduceat((row < BUCKETS).astype(np.int64), offsets))
+        found, _ = _buckets(pieces, starts)
+        owner = np.repeat(np.array(which, np.int64), np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        # the sparse matrix of counts, text by bucket, in order of its cells, times the weights
+        cells, n = np.unique((owner * (BUCKETS + 1) + found)[found < BUCKETS], return_counts=True)
+        if not len(cells):
+            continue
+        row, bucket = np.divmod(cells, BUCKETS + 1)
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        sums[row[first]] += np.add.reduceat(model.weights[bucket] * n[:, None].astype(np.float64), first, axis=0)
+        grams[row[first]] += np.add.reduceat(n, first)
+    best = (sums + model.prior).argmax(axis=1)
     evidence = sums * (np.minimum(grams, EVIDENCE) / np.maximum(grams, 1))[:, None] + model.prior
     evidence -= evidence.max(axis=1, keepdims=True)
     chance = np.exp(evidence)
-    chance /= chance.sum(axis=1, keepdims=True)
-    best = chance.argmax(axis=1)
-    return best, chance[np.arange(len(texts)), best]
+    return best, chance[np.arange(len(texts)), best] / chance.sum(axis=1)
 
 
 def predict_column(model: LanguageModel, text: Column, context) -> Column:
@@ -133,7 +138,7 @@ def predict_column(model: LanguageModel, text: Column, context) -> Column:
         model = LanguageModel(*shared.value)
         for batch in batches:
             texts = batch.tolist()
-            some = [k for k, t in enumerate(texts) if t is not None and _LETTER.search(t)]
+            some = [k for k, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]
             lang, score = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
             if some:
                 best, chance = _score(model, [texts[k] for k in some])

@@ -68,18 +68,43 @@ def test_language_accuracy_on_held_out_rows(spark, small):
     assert right >= 0.95 * total
 
 
-def test_language_scores_agree_with_a_plain_sum(make):
-    model = language_id.train(make([(1, "der hund und die katze", "de", None), (2, "the dog and the cat", "en", None)]))
-    text = "die katze und the dog"
-    framed, sums, n = f" {text} ", np.zeros(2), 0
-    for size in language_id.ORDERS:
-        for k in range(len(framed) - size + 1):
-            bucket = language_id._buckets([framed[k:k + size]], [1])[0][language_id.ORDERS.index(size)][0]
-            sums, n = sums + model.weights[bucket], n + 1
-    evidence = sums * min(n, language_id.EVIDENCE) / n + model.prior
-    chance = np.exp(evidence - evidence.max()) / np.exp(evidence - evidence.max()).sum()
-    best, score = language_id._score(model, [text])
-    assert best[0] == chance.argmax() and score[0] == pytest.approx(chance.max())
+def plain_posteriors(rows, text):
+    """Log posteriors of multinomial naive Bayes from counts of n-grams, each in the bucket its hash gives."""
+    def grams(t):
+        framed = f" {t.lower()} "
+        for n in language_id.ORDERS:
+            for k in range(len(framed) - n + 1):
+                h = n
+                for c in framed[k:k + n]:
+                    h = ((h ^ ord(c)) * 0x9E3779B1) & 0xFFFFFFFF
+                    h ^= h >> 15
+                yield h % language_id.BUCKETS
+
+    out = {}
+    for lang in sorted({r[2] for r in rows}):
+        mine = [r[1] for r in rows if r[2] == lang]
+        counts = Counter(g for t in mine for g in grams(t))
+        total = sum(counts.values()) + language_id.SMOOTHING * language_id.BUCKETS
+        out[lang] = np.log(len(mine) / len(rows)) + sum(np.log((counts[g] + language_id.SMOOTHING) / total) for g in grams(text))
+    return out
+
+
+def test_language_is_that_of_the_highest_posterior(make):
+    rng = random.Random(31)
+    rows = [(k, prose(rng, 12), "aa", None) for k in range(40)] + [(99, "der hund und die katze im garten der stadt", "bb", None), (100, "the dog and the cat", "cc", None)]
+    model = language_id.train(make(rows))
+    # long texts of the rare languages, of mixed ones, short ones
+    texts = ["der hund und die katze " * 60, "the dog and the cat " * 80, prose(rng, 300), "die katze and the dog", "hund", prose(rng, 3) + " der hund"]
+    best, score = language_id._score(model, texts)
+    for text, k, s in zip(texts, best, score):
+        want = plain_posteriors(rows, text)
+        assert model.languages[k] == max(want, key=want.get) and 0 < s <= 1
+
+
+def test_only_letters_make_a_language(make):
+    model = language_id.train(make([(1, "der hund", "de", None), (2, "the dog", "en", None)]))
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(make([(1, "½ ² Ⅷ 12_3"), (2, "½ ² a"), (3, "漢"), (4, "①")]), model).collect()}
+    assert found[1] == found[4] == "und" and found[2] != "und" and found[3] != "und"
 
 
 def test_language_pieces_count_every_gram_once(monkeypatch):
