@@ -2,47 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Iterator
 
-from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_written: list[str] = []
-
-
-def work_folder(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share: ``spark.checkpoint.dir``, else one in the warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
-
-
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back.
-
-    Cuts the lineage and freezes the rows: a lost executor takes nothing with it, and later steps
-    read only the columns they use. The files are removed when the driver ends.
-    """
-    path = f"{work_folder(frame.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
-    if not _written:
-        atexit.register(_clean)
-    _written.append(path)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
-def _clean() -> None:
-    gateway = SparkContext._gateway
-    if gateway is None:
-        return
-    for path in _written:
-        try:
-            place = gateway.jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(gateway.jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)
-        except Exception:  # the JVM has already gone; what is left is in the shared work folder
-            return
+from settleflow.sources.work import dropped, stored, work_folder  # noqa: F401  for the operators
 
 
 def remainder(doc_id: Column, parts: int) -> Column:

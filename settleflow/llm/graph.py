@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.llm.common import stored
+from settleflow.llm.common import dropped, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,8 +18,12 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     before = None
+    last = None
     while True:
         now = stored(now, "edges")
+        if last is not None:
+            dropped(last)  # the round before is no longer read
+        last = now
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before or not mark[0]:
             break
