@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from settleflow.catalogue.base import query
 from settleflow.functions.scalars import join_text, zero_pad
 from settleflow.operators.paging import page
+from settleflow.operators.joins import values_table
 from settleflow.plans import listings as L
 
 # where the deep links of the examples lead
@@ -41,6 +42,14 @@ def _(r):
     return L.transfer_page(transfer_rows(r), "Amount", "DESC", 5)
 
 
+@query("list_transfers_by_status", "transfer_code:s status:s total_count:i",
+       TRANSFER_SQL + """SELECT transfer_code, s.status, count(*) OVER () AS total_count FROM x LEFT JOIN (VALUES (2, 'waiting'), (3, 'paid')) s(status_id, status) ON s.status_id=x.status_id
+          ORDER BY s.status, transfer_id LIMIT 25 OFFSET 3""")
+def _(r):
+    statuses = values_table(r.spark, ["status_id", "status"], [(2, "waiting"), (3, "paid")])
+    return L.transfer_page(transfer_rows(r), "ClaimPayBackTransferStatus", "ASC", 3, 25, statuses=statuses)
+
+
 @query("list_transfer_monitor", "transfer_code:s amount:d status_id:i total_count:i",
        """SELECT transfer_code, amount, status_id, count(*) OVER () AS total_count FROM r_transfer WHERE oop_status=3 AND group_type=4 ORDER BY transfer_id LIMIT 10""")
 def _(r):
@@ -180,6 +189,41 @@ def _(r):
     return L.bill_page(bills(r, claim_type="1000"), "TotalAmount", "ASC")
 
 
+NAMES_SQL = """(SELECT DISTINCT insurer_id, 'Insurer ' || insurer_id AS insurer_name FROM r_group) n ON n.insurer_id=x.insurer_id
+    LEFT JOIN (VALUES (2,'PH'),(3,'PA'),(4,'Compensate'),(5,'PA30'),(6,'Misc')) g(group_type, group_type_name) ON g.group_type=x.group_type
+    LEFT JOIN (VALUES ('1000','hospital'),('2000','customer')) c(claim_type_code, claim_type) ON c.claim_type_code=x.claim_type_code"""
+
+
+def named_page(r, field, direction):
+    insurers = r.group.select("insurer_id").distinct().withColumn("insurer_name", F.concat(F.lit("Insurer "), F.col("insurer_id").cast("string")))
+    group_types = values_table(r.spark, ["group_type", "group_type_name"], [(2, "PH"), (3, "PA"), (4, "Compensate"), (5, "PA30"), (6, "Misc")])
+    claim_types = values_table(r.spark, ["claim_type_code", "claim_type"], [("1000", "hospital"), ("2000", "customer")])
+    return L.bill_page(bills(r), field, direction, 5, 20, insurers, group_types, claim_types)
+
+
+def named_page_sql(column, direction):
+    nulls = "NULLS LAST" if direction == "DESC" else "NULLS FIRST"
+    return BILL_SQL + f"SELECT bill_code, insurer_name, group_type_name, claim_type, count(*) OVER () AS total_count FROM x LEFT JOIN {NAMES_SQL} ORDER BY {column} {direction} {nulls}, bill_code LIMIT 20 OFFSET 5"
+
+
+NAMED = "bill_code:s insurer_name:s group_type_name:s claim_type:s total_count:i"
+
+
+@query("list_bills_by_insurer", NAMED, named_page_sql("insurer_name", "ASC"))
+def _(r):
+    return named_page(r, "InsuranceCompanyName", "ASC")
+
+
+@query("list_bills_by_type_name", NAMED, named_page_sql("group_type_name", "DESC"))
+def _(r):
+    return named_page(r, "ClaimHeaderGroupTypeName", "DESC")
+
+
+@query("list_bills_by_claim_type", NAMED, named_page_sql("claim_type", "DESC"))
+def _(r):
+    return named_page(r, "ClaimType", "DESC")
+
+
 @query("list_bill_items", "item_code:s bill_code:s branch:s net_amount:d",
        """SELECT item_code, bill_code, branch, CASE WHEN i.group_type=6 THEN g.total_amount ELSE pay_total END - i.cover_amount AS net_amount
           FROM r_bill_item i JOIN r_imported g ON g.import_id=i.import_id LEFT JOIN r_branch b ON b.branch_id=i.branch_id""")

@@ -105,7 +105,7 @@ def amounts(r, product, kind):
         pay = r.import_detail.filter("group_type = 6").select(F.col("import_id").alias("misc_id"), (F.col("line_no") % 4 + 1).alias("payment_type"), F.col("pay_total").alias("amount"))
         extra = {"payments": pay.filter("payment_type > 1"), "open_payments": r.online_pay.filter("payment_status_id = 2").select(F.col("online_id").alias("misc_id")),
                  "online_status": r.imported.select(F.col("import_id").alias("online_id"), F.col("status_id").alias("online_state"))}
-    of = {2: [2, 5], 3: [3], 11: [6]}[product]
+    of = {2: [2, 5], 3: [3], 4: [6], 11: [6]}[product]
     return intake.validate_amount_pay(product, kind, claims.filter(F.col("group_type").isin(*of)), wanted_codes(r), r.online_pay, r.npl, 1, **extra)
 
 
@@ -147,6 +147,47 @@ def _(r):
     return amounts(r, 11, 7)
 
 
+@query("validate_amount_pay_hospital", AMOUNT_COLUMNS,
+       PAID_SQL + f""", x AS (SELECT group_code, pay_total AS amount, coalesce(npl_amount,0) AS npl_amount, coalesce(transfer_amount,0) AS transfer_amount
+          FROM r_import_detail d LEFT JOIN pay ON pay.online_id=d.import_id LEFT JOIN np ON np.online_id=pay.online_id WHERE group_type IN (2,5) AND insurer_id<>1)
+       ;; SELECT DISTINCT *, CASE WHEN amount=0 THEN '{M.AMOUNT_WRONG}' ELSE '' END AS warning, CASE WHEN amount=0 THEN 0 ELSE 1 END AS is_valid FROM x""")
+def _(r):
+    return amounts(r, 2, 4)
+
+
+def accident_amounts_sql(*rules):
+    return PAID_SQL + f""", cu AS (SELECT c_custkey, CASE WHEN c_acctbal<0 THEN NULL WHEN c_acctbal<5000 THEN '3040' ELSE '3020' END AS state FROM customer),
+       x AS (SELECT group_code, pay_total AS amount, coalesce(npl_amount,0) AS npl_amount, coalesce(transfer_amount,0) AS transfer_amount, state,
+          EXISTS (SELECT 1 FROM r_policy p WHERE p.app_id=d.customer_id AND policy_type_id<>9605) AS held
+          FROM r_import_detail d LEFT JOIN cu ON cu.c_custkey=d.customer_id LEFT JOIN pay ON pay.online_id=d.import_id LEFT JOIN np ON np.online_id=pay.online_id WHERE group_type=3 AND insurer_id<>1)
+       ;; SELECT DISTINCT group_code, amount, npl_amount, transfer_amount, warning, CASE WHEN warning='' THEN 1 ELSE 0 END AS is_valid
+          FROM (SELECT *, concat_ws(' , ', {", ".join(f"CASE WHEN {test} THEN '{text}' END" for test, text in rules)}) AS warning FROM x)"""
+
+
+NOT_HELD, NO_STATE, NOTHING, STARTING = ("NOT held AND state IS NULL", M.NO_POLICY), ("state IS NULL", M.CHECK_POLICY_STATUS), ("amount=0", M.AMOUNT_WRONG), ("state='3020'", M.CHECK_POLICY_STATUS)
+
+
+@query("validate_amount_pay_accident_branch", AMOUNT_COLUMNS, accident_amounts_sql(NOT_HELD, NO_STATE, NOTHING, STARTING))
+def _(r):
+    return amounts(r, 3, 3)
+
+
+@query("validate_amount_pay_accident_hospital", AMOUNT_COLUMNS, accident_amounts_sql(NO_STATE, NOTHING))
+def _(r):
+    return amounts(r, 3, 4)
+
+
+@query("validate_amount_pay_misc_hospital", AMOUNT_COLUMNS,
+       PAID_SQL + f""", kinds AS (SELECT DISTINCT import_id, line_no%4+1 AS t, pay_total FROM r_import_detail WHERE group_type=6 AND line_no%4+1>1),
+       net AS (SELECT import_id, sum(CASE WHEN t=4 THEN -pay_total ELSE pay_total END) AS transfer_amount FROM kinds GROUP BY import_id),
+       x AS (SELECT d.group_code, pay_total AS amount, coalesce(npl_amount,0) AS npl_amount, coalesce(net.transfer_amount,0) AS transfer_amount, d.branch_id, i.status_id AS online_state
+          FROM r_import_detail d LEFT JOIN net ON net.import_id=d.import_id LEFT JOIN np ON np.online_id=d.import_id LEFT JOIN r_imported i ON i.import_id=d.import_id WHERE d.group_type=6)
+       ;; SELECT DISTINCT group_code, amount, npl_amount, transfer_amount, warning, CASE WHEN warning='' THEN 1 ELSE 0 END AS is_valid FROM (SELECT *, concat_ws(' , ', CASE WHEN amount=0 THEN '{M.AMOUNT_WRONG}' END,
+          CASE WHEN branch_id<=5 THEN '{M.NO_POLICY}' END, CASE WHEN online_state=4 THEN '{M.ONLINE_CANCELLED}' END) AS warning FROM x)""")
+def _(r):
+    return amounts(r, 4, 8)
+
+
 def code_counters(r):
     used = r.payback.groupBy(F.substring("payback_code", 1, 4).alias("prefix")).agg(F.count(F.lit(1)).alias("running"))
     return used.select("prefix", F.lit("45").alias("year"), F.lit("01").alias("month"), "running")
@@ -292,6 +333,31 @@ def _(r):
     return creation.withdrawal_rounds(history, claims, r.item.filter("rf <> 'A'").select("claim_code"), "2002-01-15 10:00:00")
 
 
+def rounds_of(r, group_type):
+    """Withdrawal rounds of new pay-backs of deaths (accident claims) and of miscellaneous claims."""
+    history = r.item.filter("ls = 'F'").select("claim_code", "amount", (F.col("line_no") % 5 + 1).alias("round_no"), F.col("happened_at").alias("created_at"), F.lit(True).alias("is_active"))
+    claims = r.import_detail.filter(F.col("group_type") == group_type).select("claim_code", F.col("pay_total").alias("amount"))
+    return creation.withdrawal_rounds(history, claims, r.item.filter("rf <> 'A'").select("claim_code"), "2002-01-15 10:00:00")
+
+
+def rounds_sql(group_type):
+    return f"""h AS (SELECT claim_code, amount, line_no%5+1 AS round_no, happened_at AS created_at FROM r_item WHERE ls='F'),
+       lastr AS (SELECT round_no FROM h ORDER BY created_at DESC, round_no DESC LIMIT 1),
+       n AS (SELECT claim_code, pay_total AS amount, row_number() OVER (ORDER BY claim_code) AS n FROM r_import_detail WHERE group_type={group_type} AND rf<>'A')
+       ;; SELECT h.claim_code, amount, round_no, created_at, CASE WHEN d.claim_code IS NULL THEN 1 ELSE 0 END AS is_active FROM h LEFT JOIN (SELECT claim_code FROM r_import_detail WHERE group_type={group_type}) d ON d.claim_code=h.claim_code
+          UNION ALL SELECT claim_code, amount, ((SELECT round_no FROM lastr)+n-1)%5+1, TIMESTAMP '2002-01-15 10:00:00', 1 FROM n"""
+
+
+@query("withdrawal_rounds_death", "claim_code:s amount:d round_no:i created_at:t is_active:i", rounds_sql(3))
+def _(r):
+    return rounds_of(r, 3)
+
+
+@query("withdrawal_rounds_misc", "claim_code:s amount:d round_no:i created_at:t is_active:i", rounds_sql(6))
+def _(r):
+    return rounds_of(r, 6)
+
+
 def used_codes(r, letters):
     """Counters of the transfer codes in use, by their leading letters (four: CPBT; two: a prefix no job asks for)."""
     used = r.transfer.groupBy(F.substring("transfer_code", 1, letters).alias("prefix")).agg(F.count(F.lit(1)).alias("running"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from settleflow.catalogue.base import query
@@ -83,17 +85,19 @@ def _(r):
 
 def mode_test(mode: int):
     """Predicate of one claim-group type; the others never enter the plan."""
-    online, hospital = F.col("status_id") == 2, F.col("claim_type_code") == "1000"
-    return {2: online, 3: ~online & ~hospital, 4: ~online & hospital, 6: online & hospital}[mode]
+    online, hospital, death = F.col("status_id") == 2, F.col("claim_type_code") == "1000", F.col("branch_id") % 5 == 0
+    return {2: online & ~death, 3: ~online & ~hospital, 4: ~online & hospital, 6: online & death}[mode]
 
 
 @query("filter_mode_dispatch", "mode:i groups:i amount:d",
        """SELECT 3 AS mode, count(*) AS groups, sum(order_total) AS amount FROM r_group WHERE status_id<>2 AND claim_type_code<>'1000'
-          UNION ALL SELECT 4, count(*), sum(order_total) FROM r_group WHERE status_id<>2 AND claim_type_code='1000'""")
+          UNION ALL SELECT 4, count(*), sum(order_total) FROM r_group WHERE status_id<>2 AND claim_type_code='1000'
+          UNION ALL SELECT 2, count(*), sum(order_total) FROM r_group WHERE status_id=2 AND branch_id%5<>0
+          UNION ALL SELECT 6, count(*), sum(order_total) FROM r_group WHERE status_id=2 AND branch_id%5=0""")
 def _(r):
     parts = [r.group.filter(mode_test(m)).agg(F.count(F.lit(1)).alias("groups"), F.sum("order_total").alias("amount"))
-             .select(F.lit(m).alias("mode"), "groups", "amount") for m in (3, 4)]
-    return parts[0].unionByName(parts[1])
+             .select(F.lit(m).alias("mode"), "groups", "amount") for m in (2, 3, 4, 6)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 @query("join_inner", "claim_code:s group_code:s amount:d",

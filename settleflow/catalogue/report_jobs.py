@@ -109,6 +109,52 @@ def _(r):
     return R.report_transferred(transfer_dates(r), **noncomp_inputs(r), kind=4, **PERIOD)
 
 
+def misc_inputs(r):
+    """Pay-backs of type 6 as miscellaneous ones: even numbers type 7, odd ones (of hospitals) type 8."""
+    kind = F.when(F.col("group_type") == 6, F.when(F.col("payback_id") % 2 == 0, 7).otherwise(8)).otherwise(F.col("group_type"))
+    given = noncomp_inputs(r)
+    return {**given, "paybacks": given["paybacks"].withColumn("group_type", kind)}
+
+
+def misc_sql(kind):
+    return noncomp_sql(kind, sent_sql(6) + f" AND payback_id%2={kind - 7}")
+
+
+def paid_sql(kind, where):
+    return noncomp_sql(kind, f"""SELECT payback_id, customer_id, branch_id, p.created_at AS sent_at, t.created_at AS paid_at FROM r_payback p JOIN r_transfer t ON t.transfer_id=p.transfer_id
+          WHERE t.group_type IN (2,4,5) AND t.created_at >= '1995-06-01' AND t.created_at < '2001-01-01' AND {where}""")
+
+
+@query("report_noncomp_misc", REPORT, misc_sql(7))
+def _(r):
+    return R.report_noncomp(**misc_inputs(r), kind=7, **PERIOD)
+
+
+@query("report_noncomp_misc_hospital", REPORT, misc_sql(8))
+def _(r):
+    return R.report_noncomp(**misc_inputs(r), kind=8, **PERIOD)
+
+
+@query("report_transferred_online", REPORT, paid_sql(2, "p.group_type=2"))
+def _(r):
+    return R.report_transferred(transfer_dates(r), **noncomp_inputs(r), kind=2, **PERIOD)
+
+
+@query("report_transferred_death", REPORT, paid_sql(6, "p.group_type=6"))
+def _(r):
+    return R.report_transferred(transfer_dates(r), **noncomp_inputs(r), kind=6, **PERIOD)
+
+
+@query("report_transferred_misc", REPORT, paid_sql(7, "p.group_type=6 AND payback_id%2=0"))
+def _(r):
+    return R.report_transferred(transfer_dates(r), **misc_inputs(r), kind=7, **PERIOD)
+
+
+@query("report_transferred_misc_hospital", REPORT, paid_sql(8, "p.group_type=6 AND payback_id%2=1"))
+def _(r):
+    return R.report_transferred(transfer_dates(r), **misc_inputs(r), kind=8, **PERIOD)
+
+
 COMP = "insurer_name:s branch:s hospital:s group_code:s item_count:i amount:d compensate_code:s claim_code:s province:s customer_name:s phone:s sent_at:t paid_at:t approved_by:s created_by:s"
 
 
@@ -193,6 +239,16 @@ def _(r):
     return R.report_hospital_claims(R.hospital_claim_rows(sent, r.payback_claim, r.hospital, customers), 4, **PERIOD)
 
 
+@query("report_hospital_claims_misc", "hospital_name:s group_code:s claim_code:s customer_name:s claim_pay:d sent_at:t",
+       """SELECT h.hospital_name, p.group_code, c.claim_code, u.c_name AS customer_name, c.claim_pay, p.created_at AS sent_at FROM r_payback p JOIN r_payback_claim c ON c.payback_id=p.payback_id
+          LEFT JOIN r_hospital h ON h.hospital_id=c.hospital_id LEFT JOIN customer u ON u.c_custkey=p.transfer_id WHERE p.group_type=6 AND p.created_at >= '1995-06-01' AND p.created_at < '2001-01-01'""")
+def _(r):
+    customers = r.t("customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"))
+    sent = r.payback.withColumns({"group_type": F.when(F.col("group_type") == 6, 8).otherwise(F.col("group_type")), "sent_at": F.col("created_at"),
+                                  "paid_at": F.lit(None).cast("timestamp_ntz"), "customer_id": F.col("transfer_id")})
+    return R.report_hospital_claims(R.hospital_claim_rows(sent, r.payback_claim, r.hospital, customers), 8, **PERIOD)
+
+
 @query("report_billing", "group_code:s claim_code:s manual_npl:d npl_total:d auto_total:d pay_total:d net_total:d net_by_type:d",
        """cv AS (SELECT detail_id, sum(cover_amount) AS c FROM r_prior_result WHERE is_active AND is_manual_npl=1 GROUP BY 1), al AS (SELECT claim_code, sum(cover_amount) AS c FROM r_prior_result WHERE is_manual_npl=1 GROUP BY 1),
        au AS (SELECT claim_code, sum(cover_amount) AS c FROM r_prior_result WHERE is_active AND is_manual_npl=0 AND claim_code NOT IN (SELECT claim_code FROM r_item WHERE line_no%2=0) GROUP BY 1)

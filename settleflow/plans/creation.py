@@ -31,7 +31,7 @@ def accident_kind(kind: int) -> Column:
 def compensate_claims(claims: DataFrame) -> DataFrame:
     """Compensations: what remains of each claim is paid by one fixed branch."""
     # a value per row: joins on columns that are all constants would have no key left
-    branch = F.when(F.col("group_code").isNotNull(), COMPENSATE_BRANCH)
+    branch = F.when(F.length("group_code") > 0, COMPENSATE_BRANCH)
     return claims.withColumns({"product": F.lit(2), "branch_id": branch, "payment_type": F.lit(DEFAULT_PAYMENT)})
 
 

@@ -17,10 +17,11 @@ from settleflow.operators.paging import page, sort_columns
 
 # fixed values: progress of a transfer (nothing, part, all done)
 NONE, SOME, ALL = 1, 2, 3
-TRANSFER_SORT = {"ClaimPayBackTransferCode": "transfer_id", "Amount": "amount", "ClaimPayBackTransferStatus": "status_id",
+# fixed values: fields a user can sort by, and the column each stands for
+TRANSFER_SORT = {"ClaimPayBackTransferCode": "transfer_id", "Amount": "amount", "ClaimPayBackTransferStatus": "status",
                  "TransferDate": "transfer_at", "CreatedDate": "transfer_at"}
-BILL_SORT = {"BillingRequestGroupCode": "bill_code", "ClaimHeaderGroupTypeName": "group_type", "InsuranceCompanyName": "insurer_id",
-             "ItemCount": "item_count", "TotalAmount": "total_amount", "ClaimType": "claim_type_code", "BillingDate": "billing_date"}
+BILL_SORT = {"BillingRequestGroupCode": "bill_code", "ClaimHeaderGroupTypeName": "group_type_name", "InsuranceCompanyName": "insurer_name",
+             "ItemCount": "item_count", "TotalAmount": "total_amount", "ClaimType": "claim_type", "BillingDate": "billing_date"}
 
 
 def progress(done: str, count: str = "subgroups"):
@@ -38,7 +39,10 @@ def list_transfers(transfers: DataFrame, pairs: DataFrame, subgroups: DataFrame,
     return rows.join(counts, "transfer_id", "left").withColumns({"mail_status": progress("mailed"), "upload_status": progress("uploaded")})
 
 
-def transfer_page(rows: DataFrame, field=None, direction=None, start=None, size=None) -> DataFrame:
+def transfer_page(rows: DataFrame, field=None, direction=None, start=None, size=None, statuses: DataFrame | None = None) -> DataFrame:
+    """A page of transfers; sorting by status goes by its name, which ``statuses`` (status_id, status) gives."""
+    if statuses is not None:
+        rows = rows.join(statuses.select("status_id", "status"), "status_id", "left")
     return page(rows, sort_columns(field, direction, TRANSFER_SORT, [], ["transfer_id"]), start, size)
 
 
@@ -187,7 +191,15 @@ def list_bills(bills: DataFrame, insurers: DataFrame, sftp_config: DataFrame, sf
     return named.withColumn("is_sftp", F.when(F.col("configured") == 1, F.coalesce("product_sftp", F.lit(1))).otherwise(0))
 
 
-def bill_page(rows: DataFrame, field=None, direction=None, start=None, size=None) -> DataFrame:
+def bill_page(rows: DataFrame, field=None, direction=None, start=None, size=None, insurers: DataFrame | None = None,
+              group_types: DataFrame | None = None, claim_types: DataFrame | None = None) -> DataFrame:
+    """A page of bills; sorting by insurer, group type or claim type goes by their names, which the lookups give.
+
+    ``insurers``: insurer_id, insurer_name; ``group_types``: group_type, group_type_name; ``claim_types``: claim_type_code, claim_type.
+    """
+    for names, key in ((insurers, "insurer_id"), (group_types, "group_type"), (claim_types, "claim_type_code")):
+        if names is not None:
+            rows = rows.join(names, key, "left")
     return page(rows, sort_columns(field, direction, BILL_SORT, [], ["bill_code"]), start, size)
 
 
