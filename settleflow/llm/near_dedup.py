@@ -3,18 +3,17 @@
 A text's fingerprint has 64 bits: each is set when it is set in over half of the XXH64 hashes of the
 text's word shingles. Texts link when their fingerprints differ in at most ``max_bits`` bits.
 
-The eight bytes of a fingerprint are its postings, each a pair of position and value. ``max_bits``
-differing bits touch at most so many bytes, so a pair must share at least ``8 - max_bits`` positional
-bytes, the guaranteed minimum. A list for one single (position, value) would hold 1/256 of all
-documents, so a posting list here stands for a whole choice of that minimum number of positions with
-their values: every pair that can reach the minimum meets in at least one list, and lists stay short.
-For each pair that meets, the shared positional bytes are tallied; pairs that reach the minimum are
-then verified bit by bit. A pair is taken in the first list it shares only.
-
-Equal fingerprints are reduced to one before the index, so copies cost nothing. A list can hold at
-most ``256 ** max_bits`` fingerprints, all different; one longer than ``LONG_LIST`` is not paired up:
-its members go to every fingerprint one bit away, and two of them meet there exactly when they differ
-in two bits or fewer.
+The eight bytes of a fingerprint are its features, each a position with a value. ``max_bits`` differing bits touch at
+most so many bytes, so a pair must share at least ``8 - max_bits`` positional bytes, the guaranteed minimum. A
+list for one single position and value would hold 1/256 of all documents, so a posting list here stands for ``KEY_BYTES`` positions
+with their values, one for every choice of positions. Two fingerprints that share s bytes meet in "s choose ``KEY_BYTES``" lists. The lists in
+which a pair meets are counted, so the tally tells the number of bytes shared; pairs below the count of the guaranteed
+minimum are dropped, and the others are verified bit by bit.
+
+Equal fingerprints are reduced to one before the index, so copies cost nothing. A list longer than ``LONG_LIST`` is
+not paired up: its members go to every fingerprint one bit away, and two of them meet there exactly when they differ
+in two bits or fewer. A pair that is near has all its shared lists short, and is counted in full, or shares a long
+one, and then both are among those members. Lists are cut behind that length before the shuffle, so none is gathered whole.
 
 Defined results: null and empty texts, and texts of whitespace only, have fingerprint zero and link
 like any other. A text with fewer words than a shingle counts as one shingle. Rows with a null id take
@@ -26,17 +25,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from settleflow.llm.common import stored, word_blocks
 from settleflow.llm.graph import components
 
+KEY_BYTES = 4
 LONG_LIST = 400
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -75,36 +77,42 @@ def fingerprint_column(text: Column, shingle_words: int = 3, seed: int = 42) ->
     return fingerprint(F.coalesce(text, F.lit("")).cast("binary"))
 
 
+def _postings(prints: DataFrame) -> DataFrame:
+    """``_mask``, ``_key``, ``_fp``: a row for each choice of positions."""
+    masks = [sum(0xFF << (8 * p) for p in kept) for kept in combinations(range(8), KEY_BYTES)]
+    masks = [m - (1 << 64) if m >> 63 else m for m in masks]
+    return prints.select("_fp", F.posexplode(F.array(*[F.col("_fp").bitwiseAND(F.lit(m)) for m in masks])).alias("_mask", "_key"))
+
+
+def _lists(postings: DataFrame) -> DataFrame:
+    """``_mask``, ``_key`` and the sorted ``_members`` of lists with two or more; of a long list the first ``LONG_LIST + 1``."""
+    place = F.row_number().over(W.partitionBy("_mask", "_key").orderBy("_fp"))
+    kept = postings.withColumn("_place", place).where(F.col("_place") <= LONG_LIST + 1)
+    return kept.groupBy("_mask", "_key").agg(F.array_sort(F.collect_list("_fp")).alias("_members")).where(F.size("_members") > 1)
+
+
+def tally(lists: DataFrame) -> DataFrame:
+    """``a``, ``b`` and ``lists``: the number of short lists in which a pair meets."""
+    ordered = lists.where(F.size("_members") <= LONG_LIST).select("_members", F.posexplode("_members").alias("_at", "a"))
+    met = ordered.select("a", F.explode(F.expr(f"slice(_members, _at + 2, {LONG_LIST})")).alias("b"))
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("lists"))
+
+
 def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Edges ``a``, ``b`` whose components are those of all pairs within ``max_bits``; ``prints`` has distinct ``_fp``."""
     if max_bits not in (0, 1, 2):
         raise ValueError("max_bits must be 0, 1 or 2")
     if max_bits == 0:
         return prints.select(F.col("_fp").alias("a"), F.col("_fp").alias("b"))
-    masks = [sum(0xFF << (8 * p) for p in kept) for kept in combinations(range(8), 8 - max_bits)]
-    masks = [m - (1 << 64) if m >> 63 else m for m in masks]
-    postings = prints.select("_fp", F.posexplode(F.array(*[F.col("_fp").bitwiseAND(F.lit(m)) for m in masks])).alias("_mask", "_key"))
-    lists = stored(postings.groupBy("_mask", "_key").agg(F.array_sort(F.collect_list("_fp")).alias("_members")).where(F.size("_members") > 1), "postings")
-
-    def first_shared(differ: Column) -> Column:
-        """Number of the first choice of positions in which two fingerprints agree."""
-        out = F.lit(None).cast("int")
-        for k, m in reversed(list(enumerate(masks))):
-            out = F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(k)).otherwise(out)
-        return out
-
-    short = lists.where(F.size("_members") <= LONG_LIST)
-    ordered = short.select("_mask", "_members", F.posexplode("_members").alias("_at", "a"))
-    met = ordered.select("_mask", "a", F.explode(F.expr(
-        f"filter(slice(_members, _at + 2, {LONG_LIST}), y -> bit_count(a ^ y) <= {max_bits})")).alias("b"))
-    differ = F.col("a").bitwiseXOR(F.col("b"))
-    tally = sum((F.when(F.shiftright(differ, 8 * p).bitwiseAND(F.lit(0xFF)) == 0, 1).otherwise(0) for p in range(8)), F.lit(0))
-    pairs = met.where(tally >= 8 - max_bits).where(F.bit_count(differ) <= max_bits).where(F.col("_mask") == first_shared(differ)).select("a", "b")
-    long = lists.where(F.size("_members") > LONG_LIST).select(F.explode("_members").alias("a")).distinct()
+    postings = _postings(prints)
+    lists = stored(_lists(postings), "postings")
+    enough = tally(lists).where(F.col("lists") >= comb(8 - max_bits, KEY_BYTES))
+    pairs = enough.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
+    long = postings.join(lists.where(F.size("_members") > LONG_LIST).select("_mask", "_key"), ["_mask", "_key"]).select(F.col("_fp").alias("a")).distinct()
     one_bit = F.array(*[F.col("a").bitwiseXOR(F.lit((1 << k) - (1 << 64) if k == 63 else 1 << k)) for k in range(64)])
-    if max_bits == 2:
-        return pairs.union(long.select("a", F.explode(one_bit).alias("b")))
     near = long.select("a", F.explode(one_bit).alias("b"))
+    if max_bits == 2:
+        return pairs.union(near)
     return pairs.union(near.join(long.select(F.col("a").alias("b")), "b").select("a", "b"))
 
 

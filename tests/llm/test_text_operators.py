@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 from collections import Counter
@@ -173,6 +174,20 @@ def test_links_at_one_bit_and_at_long_lists(spark, monkeypatch):
         assert same(roots) == same(want)
 
 
+def test_the_tally_counts_shared_bytes_and_the_filter_rejects(spark):
+    """Pairs that share four or five bytes meet in lists and are rejected by their count."""
+    base = 0x1122334455667788
+    prints = [base, base ^ 0x01, base ^ 0x0101, base ^ 0x010101, base ^ 0x01010101, base ^ 0x0101010101]
+    frame = spark.createDataFrame([(p,) for p in prints], "_fp long")
+    found = {(a, b): n for a, b, n in collected(near_dedup.tally(near_dedup._lists(near_dedup._postings(frame))))}
+    shared = lambda a, b: sum((a ^ b) >> 8 * k & 0xFF == 0 for k in range(8))
+    want = {(a, b): math.comb(shared(a, b), near_dedup.KEY_BYTES) for a, b in itertools.combinations(sorted(prints), 2)}
+    assert found == {pair: n for pair, n in want.items() if n}
+    assert {n for n in found.values() if n < math.comb(6, near_dedup.KEY_BYTES)} == {1, 5}
+    edges = {tuple(sorted(e)) for e in collected(near_dedup.links(frame, 2))}
+    assert edges == {(a, b) for a, b in itertools.combinations(sorted(prints), 2) if (a ^ b).bit_count() <= 2}
+
+
 def test_one_row_of_each_group_stays(odd, nothing):
     kept = near_dedup.keep_one(odd)
     assert kept.columns == odd.columns
