@@ -40,9 +40,9 @@ def billing_reconcile(imported: DataFrame, details: DataFrame, prior_result: Dat
     waiting = waiting.withColumn("bill_group", map_value(F.col("group_type"), BILL_GROUP)).filter("bill_group IS NOT NULL")
     claims = details.select("import_id", "detail_id", "claim_code", "pay_total")
     covers = prior_result.select("detail_id", F.col("cover_amount").alias("booked"), F.col("is_active").alias("booked_active"))
-    # claim level: booked cover and newest log entry, both keyed by the claim
-    per_claim = claims.join(covers, "detail_id", "left").join(latest_cover_log(cover_log), "detail_id", "left")
-    sums = per_claim.groupBy("import_id").agg(
+    # sums need the booked covers only; the log joins the claims afterwards, once
+    booked = claims.join(covers, "detail_id", "left")
+    sums = booked.groupBy("import_id").agg(
         F.count(F.lit(1)).alias("claims"), F.sum(F.coalesce("booked", F.lit(0))).alias("booked")
     )
     paid = online_pay.filter("payment_status_id = 4").groupBy(F.col("online_id").alias("import_id")).agg(
@@ -56,7 +56,8 @@ def billing_reconcile(imported: DataFrame, details: DataFrame, prior_result: Dat
             F.coalesce("claims", F.lit(1)) * F.col("total_amount") - F.coalesce("booked", F.lit(0))
         ))
     )
-    rows = groups.drop("booked").join(per_claim.drop("booked"), "import_id", "left")
+    per_claim = booked.drop("booked").join(latest_cover_log(cover_log), "detail_id", "left")
+    rows = groups.drop("booked").join(per_claim, "import_id", "left")
     # a log entry counts only when an active result carries it
     cover = F.when(F.col("booked_active"), F.col("cover_amount"))
     kind = F.when(F.col("booked_active"), F.col("is_manual_npl"))

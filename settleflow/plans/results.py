@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from settleflow.functions import messages as M
 from settleflow.functions.codes import code_text, current_counters
 from settleflow.functions.scalars import first_message, flag, money
-from settleflow.operators.aggregates import distinct_text, latest_per_key
+from settleflow.operators.aggregates import latest_per_key
 from settleflow.operators.numbering import global_row_number
 from settleflow.operators.state import insert_rows, set_where_key, update_rows
 
@@ -95,32 +95,43 @@ def apply_results(items: DataFrame, results: DataFrame, rejects: DataFrame, rece
 
 def result_preview(items: DataFrame, bills: DataFrame, results: DataFrame, rejects: DataFrame, received: DataFrame,
                    tmp_codes: DataFrame | None = None, bill_codes: DataFrame | None = None) -> DataFrame:
-    """Sums and counts per billing date for bills not received yet.
+    """Sums and counts per billing date for bills not received yet, from items to bills to dates in one pass.
 
     ``bill_list`` names the bills of the date (one per insurer and claim type); item count and total
     amount cover all previewed bills and stand on every row.
     """
-    chosen = chosen_bills(items, rejects, tmp_codes, bill_codes)
-    done = received.filter(F.col("status_id").isin(2, 3)).select("bill_code")
-    refused = results.filter(F.col("decision_id") == REJECTED).select("item_code")
-    # a bill stays in as long as one of its items was not finally rejected
-    open_bills = items.select("item_code", "bill_code").join(refused, "item_code", "left_anti").select("bill_code").distinct()
-    wanted = chosen.join(done, "bill_code", "left_anti").join(open_bills, "bill_code", "left_semi").select("bill_code")
-    decided = classify(items.join(wanted, "bill_code"), rejects)
-    is_approved, is_partial, is_rejected = (F.col("decision_id") == d for d in (APPROVED, PARTIAL, REJECTED))
-    remaining = F.col("amount_total") - F.col("rejected_amount")
+    done = received.filter(F.col("status_id").isin(2, 3)).select("bill_code").distinct()
+    refused = results.filter(F.col("decision_id") == REJECTED).select("item_code").distinct().withColumn("is_refused", F.lit(1))
+    asked = F.lit(1)
+    if tmp_codes is not None:  # rejections under one of the import codes
+        rejects = rejects.join(tmp_codes.select("tmp_code").distinct().withColumn("is_asked", F.lit(1)), "tmp_code", "left")
+        asked = F.coalesce("is_asked", F.lit(0))
+    per_item = rejects.groupBy("item_code").agg(money(F.sum("rejected_amount")).alias("rejected_amount"), F.max(asked).alias("is_asked"))
+    rows = items.select("item_code", "bill_code", "billing_date", "amount_total").join(per_item, "item_code", "left").join(refused, "item_code", "left")
+    remaining = F.coalesce("amount_total", F.lit(0)) - F.coalesce("rejected_amount", F.lit(0))
+    is_approved = F.col("rejected_amount").isNull()
+    is_partial = ~is_approved & (remaining > 0) & (remaining < F.col("amount_total"))
+    is_rejected = ~is_approved & ~F.coalesce(is_partial, F.lit(False))
     zero = F.lit(0)
-    per_date = decided.groupBy("billing_date").agg(
-        F.sum(F.when(is_approved, F.col("amount_total")).otherwise(zero)).alias("approved_amount"),
-        F.sum(F.when(is_rejected, F.col("rejected_amount")).otherwise(zero)).alias("rejected_amount"),
-        F.sum(F.when(is_partial, remaining).otherwise(zero)).alias("partial_amount"),
-        F.sum(F.when(is_partial, F.col("rejected_amount")).otherwise(zero)).alias("partial_rejected"),
-        F.sum(flag(is_approved)).alias("approved_items"), F.sum(flag(is_rejected)).alias("rejected_items"),
-        F.sum(flag(is_partial)).alias("partial_items"))
-    heads = bills.join(wanted, "bill_code", "left_semi")
-    lists = distinct_text(heads, ["billing_date"], "bill_code", ",", "bill_list")
-    whole = heads.agg(F.struct(F.sum("item_count").alias("items"), F.sum("total_amount").alias("amount")).alias("whole"))
-    return (per_date.join(lists, "billing_date", "left").withColumn("_whole", whole.scalar())
+    measures = {
+        "approved_amount": F.when(is_approved, F.col("amount_total")).otherwise(zero), "rejected_amount": F.when(is_rejected, F.col("rejected_amount")).otherwise(zero),
+        "partial_amount": F.when(is_partial, remaining).otherwise(zero), "partial_rejected": F.when(is_partial, F.col("rejected_amount")).otherwise(zero),
+        "approved_items": flag(is_approved), "rejected_items": flag(is_rejected), "partial_items": flag(is_partial)}
+    # items to bills: what a bill asks for and whether it is open (one of its items was not finally rejected)
+    per_bill = rows.groupBy("bill_code", "billing_date").agg(
+        F.max(F.coalesce("is_asked", F.lit(0)) if tmp_codes is not None else F.lit(1)).alias("is_asked"),
+        F.max(F.col("is_refused").isNull().cast("int")).alias("is_open"), *[F.sum(m).alias(name) for name, m in measures.items()])
+    wanted = per_bill.filter("is_asked = 1 AND is_open = 1").drop("is_asked", "is_open").join(done, "bill_code", "left_anti")
+    if bill_codes is not None:
+        wanted = wanted.join(bill_codes.select("bill_code"), "bill_code", "left_semi")
+    # bills to dates
+    heads = bills.select("bill_code", "item_count", "total_amount", F.col("billing_date").alias("bill_date"))
+    shown = wanted.join(heads, "bill_code", "left")
+    per_date = shown.groupBy("billing_date").agg(
+        *[F.sum(name).alias(name) for name in measures],
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("bill_date").isNotNull(), F.col("bill_code")))), ",").alias("bill_list"))
+    whole = shown.agg(F.struct(F.sum("item_count").alias("items"), F.sum("total_amount").alias("amount")).alias("whole"))
+    return (per_date.withColumn("_whole", whole.scalar())
             .withColumns({"all_items": F.col("_whole.items"), "all_amount": F.col("_whole.amount")}).drop("_whole"))
 
 

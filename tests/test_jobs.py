@@ -1,14 +1,15 @@
 """Rules of the jobs on literal frames, invariants on the given tables, empty inputs."""
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
-from settleflow.catalogue import billing_jobs, importing_jobs, payback_jobs
+from settleflow.catalogue import REGISTRY, billing_jobs, importing_jobs, payback_jobs
 from settleflow.functions import messages as M
-from settleflow.plans import billing, creation, importing, intake, listings, quality, results, transfers
+from settleflow.plans import billing, columns, creation, importing, intake, listings, quality, results, transfers
 from settleflow.sources.roles import Roles
 
 NO_COUNTERS = "prefix string, year string, month string, running long"
@@ -130,6 +131,75 @@ def test_payback_of_own_company_and_duplicates(spark):
     assert again["paybacks"].count() == 0 and again["check"].first()["is_result"] == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_requests_that_share_paybacks_are_served_in_order(spark, seed):
+    """Against serving one request after another; chains of requests hang on each other."""
+    rng = random.Random(seed)
+    bundled = {p for p in range(60) if p % 13 == 0}
+    listed = [(q, str(p)) for q in range(40) for p in rng.choices(range(60), k=rng.randint(1, 4))]
+    listed += [(q, f" {q} ") for q in range(60, 70)] + [(q, str(q + 1)) for q in range(60, 70)]  # one long chain
+    listed += [(80, "7"), (80, " "), (81, "unknown"), (82, None)]
+    taken, want = set(), {}
+    for q in sorted({q for q, _ in listed}):
+        mine = [p for r, p in listed if r == q]
+        known = {int(p) for p in mine if p and p.strip().isdigit() and int(p) < 75}
+        if any(not p or not p.strip() for p in mine):
+            want[q] = M.UNKNOWN_ENTRY
+        elif known & (bundled | taken):
+            want[q] = M.PARTLY_TRANSFERRED
+        else:
+            want[q] = None
+            taken |= known
+    requests = spark.createDataFrame([(q, 2, p) for q, p in listed], "request_id long, group_type int, payback_ref string")
+    paybacks = spark.createDataFrame([(p, D(p), 5 if p in bundled else None, 2) for p in range(75)], "payback_id long, amount decimal(16,2), transfer_id long, status_id int")
+    out = transfers.create_transfers(requests, paybacks, dt.date(2025, 1, 1), spark.createDataFrame([], NO_COUNTERS))
+    assert dict(pairs(out["check"], "request_id", "message")) == want
+    code = dict(pairs(out["transfers"], "request_id", "transfer_code"))
+    assert set(code) == {q for q, m in want.items() if m is None} and len(set(code.values())) == len(code)
+    marked = {p: c for p, c in pairs(out["paybacks"], "payback_id", "transfer_code") if c}
+    assert set(marked) == taken
+
+
+def test_unknown_transfers_are_refused_not_lost(spark):
+    t = spark.createDataFrame([(1, 2, 2, D(10), None, None)], "transfer_id int, status_id int, group_type int, amount decimal(16,2), transfer_amount decimal(16,2), oop_status int")
+    s = spark.createDataFrame([(99, D(10), dt.datetime(2024, 1, 1, 12), 11)], "transfer_id int, paid_amount decimal(16,2), paid_at timestamp_ntz, subgroup_id int")
+    pb = spark.createDataFrame([(10, 1, D(10), 2, 3)], "payback_id int, transfer_id int, amount decimal(16,2), group_type int, status_id int")
+    cl = spark.createDataFrame([(10, "c", D(10))], "payback_id int, claim_code string, claim_pay decimal(16,2)")
+    sg, sd = spark.createDataFrame([(11, 0)], "subgroup_id int, is_paid int"), spark.createDataFrame([(11, 10, 1)], "subgroup_id int, payback_id int, transfer_id int")
+    out = transfers.settle_transfers(s, t, pb, cl, sg, sd)
+    assert pairs(out["check"], "transfer_id", "message") == [(99, M.UNKNOWN_ENTRY)] and out["transfers"].first()["status_id"] == 2
+
+
+def test_misc_details_split_by_payment_type(spark):
+    """A claim paid in two ways has a row, and a detail, for each; one without a known way has the default."""
+    rows = spark.createDataFrame([("g", "c1", 1, 11, 5, 3, D(10), 7, "o"), ("g", "c2", 2, 11, 5, 3, D(20), 7, "p")],
+                                 "group_code string, claim_code string, misc_id int, product int, branch_id int, insurer_id int, amount decimal(16,2), hospital_id int, online_code string")
+    work = creation.misc_claims(rows, spark.createDataFrame([(1, 1), (1, 2), (1, 2)], "misc_id int, payment_type int"))
+    out = creation.create_payback(rows.select("group_code"), work, rows.limit(0), 7, 1, "2024-01-01", dt.date(2025, 1, 1), spark.createDataFrame([], NO_COUNTERS), product=11)
+    assert pairs(out["details"], "payment_type", "item_count", "amount") == [(1, 3, D("40.00")), (2, 3, D("40.00")), (3, 3, D("40.00"))]
+    assert pairs(out["claims"].join(out["details"].select("detail_code", "payment_type"), "detail_code"), "claim_code", "payment_type") == [("c1", 1), ("c1", 2), ("c2", 3)]
+    assert out["mapping"].select("detail_code").distinct().count() == 3
+
+
+def test_wide_rows_have_every_column_for_every_source(spark):
+    claims = spark.createDataFrame([(s, "1000", "4006", D(9), D(5)) for s in ("health", "accident", "compensate", "misc")],
+                                   "source string, claim_type_code string, admit_code string, pay decimal(16,2), pay_total decimal(16,2)")
+    out = claims.select("source", *columns.claim_columns(claims))
+    assert out.columns == ["source", *columns.CLAIM] and len(columns.CLAIM) == 39
+    assert dict(out.dtypes) == {"source": "string", **columns.CLAIM}
+    rows = {r["source"]: r for r in out.collect()}
+    assert rows["misc"]["net"] == rows["misc"]["amount_pay"] == D("9.00") and rows["misc"]["admit_code"] is None and rows["misc"]["claim_type"] == M.HOSPITAL_CLAIM
+    assert rows["compensate"]["net"] == D("5.00") and rows["compensate"]["discount"] == D("0.00")
+    assert rows["accident"]["organ"] == D("0.00") and rows["accident"]["net"] is None and rows["accident"]["claim_type"] == M.CUSTOMER_CLAIM
+    assert [len(columns.EXPORT), len(columns.ACCIDENT_VIEW), len(columns.MISC_VIEW), len(columns.HEALTH_VIEW)] == [46, 24, 30, 47]
+
+
+@pytest.mark.parametrize("name,most", [("intake_candidates", 3), ("result_preview", 12)])
+def test_jobs_read_their_tables_in_few_scans(spark, small, name, most):
+    plan = REGISTRY[name].spark(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("FileScan parquet [l_") <= most
+
+
 # ---- invariants on the given tables
 
 def test_bills_add_up_and_codes_are_unique(roles):
