@@ -149,7 +149,7 @@ def plain_components(prints, bits):
     return {d: find(d) for d in prints}
 
 
-@pytest.mark.parametrize("long_list", [400, 2])
+@pytest.mark.parametrize("long_list", [400, 16, 2])
 def test_near_duplicates_agree_with_all_pairs(make, monkeypatch, long_list):
     monkeypatch.setattr(near_dedup, "LONG_LIST", long_list)
     rng = random.Random(5)
