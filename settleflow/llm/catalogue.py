@@ -72,8 +72,7 @@ def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op8_language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
-    return language_model.score(docs, language_model.train(docs))
+    return language_model.train_and_score(_table(spark, folder, "documents"))
 
 
 @_query

@@ -393,12 +393,26 @@ def test_personal_data_of_odd_rows(odd, nothing):
 def test_scores_agree_with_one_token_at_a_time(make):
     rng = random.Random(11)
     docs = make([(k, prose(rng, 60)) for k in range(30)] + [(99, "neu wort kaban")])
-    words, w = language_model.train(docs)
-    found = {r["doc_id"]: r for r in language_model.score(docs, (words, w)).collect()}
+    docs = docs.union(make([(200 + k, f"selten{k % 1500} und{k} mehr") for k in range(2500)]))  # more words than the vocabulary holds
+    words, shares, w = language_model.train(docs)
+    found = {r["doc_id"]: r for r in language_model.score(docs, (words, shares, w)).collect()}
+    assert {r["doc_id"]: r["n_tokens"] for r in language_model.train_and_score(docs).collect()} == {d: r["n_tokens"] for d, r in found.items()}
     number = {v: k for k, v in enumerate(words)}
+    counts = Counter(t for r in docs.collect() for t in r["text"].split())
+    assert len(words) == language_model.WORDS < len(counts)
+    cells, buckets = Counter(), Counter()
+    for t, n in counts.items():
+        if t not in number:
+            cells[xxhash.xxh64_intdigest(t, 42) % language_model.CELLS] += n
+            buckets[xxhash.xxh64_intdigest(t, 42) % language_model.RARE] += n
     for d, text in [(r["doc_id"], r["text"]) for r in docs.collect()]:
-        ids = [number.get(t, language_model.WORDS + xxhash.xxh32_intdigest(t) % language_model.RARE) for t in text.split()]
-        ids, total = [language_model.PAD] * 2 + ids + [language_model.PAD] * 2, 0.0
+        ids, total = [], 0.0
+        for t in text.split():
+            h = xxhash.xxh64_intdigest(t, 42)
+            ids.append(number.get(t, language_model.WORDS + h % language_model.RARE))
+            if t not in number:
+                total += np.log((cells[h % language_model.CELLS] + 1) / (buckets[h % language_model.RARE] + language_model.CELLS // language_model.RARE))
+        ids = [language_model.PAD] * 2 + ids + [language_model.PAD] * 2
         for k in range(2, len(ids) - 2):
             h = np.tanh(w["bias"] + sum(w["embed"][ids[k + o]] * p for o, p in zip((-2, -1, 1, 2), w["place"])))
             c, m = divmod(ids[k], language_model.MEMBERS)
@@ -419,11 +433,11 @@ def test_training_lowers_the_loss_and_gradients_are_right():
 
 
 def test_pieces_of_long_texts_score_the_same(monkeypatch):
-    w, ids = language_model.initial(3), language_model._Ids()
-    text = prose(random.Random(12), 300)
+    w, shares = language_model.initial(3), np.zeros(language_model.CELLS, np.float32)
+    texts = [language_model.numbered(t, language_model._Ids(), shares)[0] for t in (prose(random.Random(12), 300), None, "a")]
 
     def total():
-        return sum(language_model.log_probabilities(w, s, at).sum() for s, at, _, _ in language_model._sequences(iter([text, None, "a"]), ids))
+        return sum(language_model.log_probabilities(w, s, at).sum() for s, at, _, _ in language_model._sequences(iter(texts)))
 
     whole = total()
     monkeypatch.setattr(language_model, "CHUNK", 13)
@@ -435,7 +449,13 @@ def test_scores_of_odd_rows(odd, nothing):
     rows = {r["doc_id"]: r for r in language_model.score(odd, model).collect()}
     assert [rows[k]["n_tokens"] for k in (1, 2, 3, 4, 5)] == [0, 0, 0, 60_000, 3]
     assert rows[1]["log_likelihood"] == 0 and rows[1]["mean_log_probability"] is None and rows[5]["log_likelihood"] == pytest.approx(rows[6]["log_likelihood"])
-    assert language_model.score(nothing, language_model.train(nothing)).count() == 0
+    assert language_model.score(nothing, language_model.train(nothing)).count() == language_model.train_and_score(nothing).count() == 0
+
+
+def test_scores_keep_large_ids_beside_null_ones(make):
+    docs = make([(None, "one two"), ((1 << 60) + 1, "one two"), ((1 << 60) + 3, None)])
+    rows = {r["doc_id"]: r["n_tokens"] for r in language_model.train_and_score(docs).collect()}
+    assert rows == {None: 2, (1 << 60) + 1: 2, (1 << 60) + 3: 0}
 
 
 # 9 repeated passages
