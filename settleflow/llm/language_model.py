@@ -9,8 +9,8 @@ any other token falls into one of ``RARE`` buckets by its hash. The network pred
 (a finer hash, ``CELLS`` in all) in the bucket's occurrences, counted over all documents with one added, so rare words cost what they are worth.
 Texts are split into numbers once; these are stored, and training and scoring read them.
 
-Training is data-parallel: in each round every task starts from the shared weights and learns, in numpy, from one
-in ``every`` tokens of all its documents; the tasks' weights are averaged, weighted by what they have seen, in
+Training is data-parallel: in each round every task starts from the shared weights and learns, in numpy, from all its documents;
+the rounds share out the tokens, so that each token is learned from once. The tasks' weights are averaged, weighted by what they have seen, in
 groups of ``FAN_IN`` by shuffles until one set is left. So what is gathered from the corpus (word counts and weights) grows with the input, while
 the weights that come to the driver and go out again have a fixed size.
 
@@ -43,7 +43,7 @@ CELLS = 1 << 18
 PAD = CLASSES * MEMBERS
 WIDTH = 32
 REACH = 2
-BATCH = 2048
+BATCH = 8192
 CHUNK = 1 << 14  # tokens
 SCORED = 1 << 13  # tokens at a time
 FAN_IN = 64
@@ -188,7 +188,9 @@ def _learn(w: Weights, squares: Weights, ids: np.ndarray, at: np.ndarray, rate:
     back *= 1 - h * h
     g["bias"] = back.sum(axis=0)
     for k, c in enumerate(context):
-        np.add.at(g["embed"], c, back * w["place"][k])
+        order = np.argsort(c, kind="stable")
+        first = np.flatnonzero(np.diff(c[order], prepend=-1))
+        g["embed"][c[order[first]]] += np.add.reduceat(back[order], first, axis=0) * w["place"][k]
         g["place"][k] = (back * w["embed"][c]).sum(axis=0)
     for k in _SHAPES:
         squares[k] += g[k] * g[k]
@@ -248,8 +250,13 @@ def encode(docs: DataFrame, words: list[str], shares: np.ndarray, *, doc_id: str
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, ids binary, rare double")
 
 
-def learn(rows: DataFrame, *, rounds: int = 2, every: int = 16, rate: float = 0.1) -> Weights:
-    """Weights learned from all rows of ``encode``."""
+def of_round(places: np.ndarray, round_: int, rounds: int) -> np.ndarray:
+    """The places a round learns from; together the rounds take each place once."""
+    return places[round_::rounds]
+
+
+def learn(rows: DataFrame, *, rounds: int = 2, rate: float = 0.1) -> Weights:
+    """Weights learned from all tokens of all rows of ``encode``."""
     weights = initial()
     context = rows.sparkSession.sparkContext
     slices = 32
@@ -261,7 +268,7 @@ def learn(rows: DataFrame, *, rounds: int = 2, every: int = 16, rate: float = 0.
             squares, seen = {k: np.zeros(s, np.float32) for k, s in _SHAPES.items()}, 0
             for batch in batches:
                 for sequence, places, _, _ in _sequences(_numbers(batch.column(0))):
-                    masked = places[(round_ * every) // rounds % every::every]
+                    masked = of_round(places, round_, rounds)
                     for at in range(0, len(masked), BATCH):
                         _learn(w, squares, sequence, masked[at:at + BATCH], rate)
                     seen += len(masked)

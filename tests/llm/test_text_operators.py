@@ -432,6 +432,12 @@ def test_training_lowers_the_loss_and_gradients_are_right():
     assert language_model.log_probabilities(w, ids, at).mean() > before + 3
 
 
+def test_the_rounds_learn_from_every_token_once():
+    places = np.arange(3, 1001)
+    for rounds in (1, 2, 3):
+        assert sorted(np.concatenate([language_model.of_round(places, k, rounds) for k in range(rounds)])) == places.tolist()
+
+
 def test_pieces_of_long_texts_score_the_same(monkeypatch):
     w, shares = language_model.initial(3), np.zeros(language_model.CELLS, np.float32)
     texts = [language_model.numbered(t, language_model._Ids(), shares)[0] for t in (prose(random.Random(12), 300), None, "a")]
