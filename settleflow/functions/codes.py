@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settleflow.functions.scalars import join_text, zero_pad
-from settleflow.operators.numbering import numbered, places, spans
+from settleflow.operators.numbering import beside, numbered, places, spans
 
 
 def period(as_of: dt.date, with_month: bool = True) -> tuple[str, str]:
@@ -40,7 +40,7 @@ def running_codes(rows: DataFrame, prefix: str, order: list[str], width: int, as
 
     ``order`` identifies a row of a prefix. A row without a prefix gets no code and raises no counter.
     """
-    placed = places(rows, [prefix, *order])
+    placed = places(rows, [prefix, *order], beside(rows, [prefix, *order], "_number"))  # whole, so that the rows are worked out once
     last = current_counters(counters, as_of, with_month).withColumnRenamed("prefix", prefix)
     used = spans(placed, [prefix], last)
     based = numbered(rows, placed, [prefix, *order], {"_number": ([prefix], used)})

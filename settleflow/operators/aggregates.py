@@ -95,10 +95,9 @@ def text_list(frame: DataFrame, keys: list[str], value: str, order: list[str], s
 def distinct_text(frame: DataFrame, keys: list[str], value: str, sep: str, name: str) -> DataFrame:
     """Distinct values of each group in ascending order as one text.
 
-    Meant for values from a small code list; duplicates go away before any list is built.
+    Meant for values from a small code list; duplicates go away while sets are built, on both sides of the one shuffle.
     """
-    single = frame.select(*keys, value).distinct()
-    listed = single.groupBy(*keys).agg(F.collect_list(value).alias("_list"))
+    listed = frame.groupBy(*keys).agg(F.collect_set(value).alias("_list"))
     return listed.select(*keys, F.array_join(F.array_sort("_list"), sep).alias(name))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from settleflow.functions.scalars import code_part, code_part_int, due_date, fir
 from settleflow.operators.aggregates import latest_per_key
 from settleflow.operators.filters import half_open
 from settleflow.operators.joins import map_value
-from settleflow.operators.numbering import batch_number, join_null_safe, keyed_row_number, numbered, places, spans
+from settleflow.operators.numbering import batch_number, beside, join_null_safe, keyed_row_number, numbered, places, small, spans
 from settleflow.operators.state import set_where_key, update_rows
 from settleflow.plans.columns import EXPORT, select_wide
+from settleflow.sources.work import stored
 
 # fixed values: bill group per header-group type (2, 4, 5 health; 3 accident; 6 miscellaneous)
 BILL_GROUP = {2: 1, 3: 2, 4: 1, 5: 1, 6: 3}
@@ -84,7 +86,8 @@ BILL_KEY = ["insurer_id", "bill_group", "claim_type_code", "billing_date", "grou
 
 def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFrame, compensated: DataFrame,
                    insurers: DataFrame, product_types: DataFrame, branches: DataFrame, counters: DataFrame,
-                   new_billing_date: str, as_of: dt.date, start=None, end=None, banks: DataFrame | None = None) -> dict[str, DataFrame]:
+                   new_billing_date: str, as_of: dt.date, start=None, end=None, banks: DataFrame | None = None,
+                   widen: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> dict[str, DataFrame]:
     """Bills for all waiting groups at once.
 
     Claims are numbered in one pass over (item prefix, bill key, code parts, claim); the number
@@ -95,7 +98,7 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
     ``insurers`` has one row per insurer: insurer_id, is_sftp. ``product_types`` names the product
     of miscellaneous groups (import_id, product_type); it is empty text for the other groups. ``details`` has the columns named
     below and what it has of ``columns.CLAIM``, which ``export`` shows; ``banks`` names the account of a claim type
-    (claim_type_code, bank_id, bank_account).
+    (claim_type_code, bank_id, bank_account). ``widen`` as in ``export_rows``.
     """
     waiting = (
         imported.filter((F.col("status_id") == 2) & F.col("is_active")).filter(half_open("created_at", start, end))
@@ -120,13 +123,15 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
         .withColumns({f"p{5 - n}": code_part_int(F.col("group_code"), n) for n in (3, 2, 1)})
     )
     order = ["item_prefix", *BILL_KEY, "p1", "p2", "p3", "p4", "claim_code"]
-    placed = places(net, order)
+    # claims are worked out once: places hold whole rows, which all results start from
+    placed = places(net, order, beside(net, order))
+    counters = stored(counters, "counters")
     used_items = current_counters(counters, as_of).withColumnRenamed("prefix", "item_prefix")
     by_prefix, by_bill = spans(placed, ["item_prefix"], used_items), spans(placed, ["item_prefix", *BILL_KEY])
     ranked = numbered(net, placed, order, {"_number": (["item_prefix"], by_prefix), "row_no": (["item_prefix", *BILL_KEY], by_bill)})
-    leads = net.groupBy(*BILL_KEY).agg(F.min("group_code").alias("lead_code"))
+    leads = placed.groupBy(*BILL_KEY).agg(F.min("group_code").alias("lead_code"))
     items = (
-        ranked.join(insurers.select("insurer_id", "is_sftp"), "insurer_id", "left").withColumn("is_sftp", F.coalesce("is_sftp", F.lit(0)))
+        ranked.join(small(insurers.select("insurer_id", "is_sftp")), "insurer_id", "left").withColumn("is_sftp", F.coalesce("is_sftp", F.lit(0)))
         .withColumn("batch_no", F.when(F.col("is_sftp") == 1, 0).otherwise(batch_number(F.col("row_no"), BILL_SIZE)).cast("long"))
         .withColumn("item_code", code_text(F.col("item_prefix"), as_of, F.col("_number"), 6))
     )
@@ -137,12 +142,12 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
         F.count(F.lit(1)).alias("item_count"), money(F.sum("pay_total")).alias("pay_total"),
         money(F.sum("cover_amount")).alias("cover_amount"), money(F.sum("amount_total")).alias("total_amount"),
     ), leads, BILL_KEY).withColumn("prefix", prefix)
-    counted = keyed_row_number(sums, ["prefix", "is_sftp"], [*BILL_KEY, "batch_no"], "no")
+    counted = keyed_row_number(sums, ["prefix", "is_sftp"], [*BILL_KEY, "batch_no"], "no", whole=True)
     # file-transfer bills count per month in three digits, the others per year in five
     used = current_counters(counters, as_of).withColumn("is_sftp", F.lit(1)).unionByName(
         current_counters(counters, as_of, with_month=False).withColumn("is_sftp", F.lit(0)))
     number = F.coalesce("running", F.lit(0)) + F.col("no")
-    bills = counted.join(used, ["prefix", "is_sftp"], "left").withColumns({
+    bills = counted.join(small(used), ["prefix", "is_sftp"], "left").withColumns({
         "number": number,
         "bill_code": F.when(F.col("is_sftp") == 1, code_text(F.col("prefix"), as_of, number, 3))
         .otherwise(code_text(F.col("prefix"), as_of, number, 5, with_month=False)),
@@ -151,7 +156,7 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
     }).drop("running", "no", "lead_code")
     heads = bills.select(*BILL_KEY, "batch_no", "bill_code", "due_date", "new_billing_date")
     coded = join_null_safe(items.drop("_number"), heads, [*BILL_KEY, "batch_no"])
-    export = export_rows(coded, details, branches, banks)
+    export = export_rows(coded, details, branches, banks, widen)
     billed = coded.groupBy("import_id").agg(F.min_by("bill_code", "row_no").alias("bill_code"))
     state = update_rows(
         imported.withColumn("bill_code", F.lit(None).cast("string")),
@@ -167,14 +172,19 @@ def generate_bills(imported: DataFrame, details: DataFrame, prior_result: DataFr
             "counters": raised}
 
 
-def export_rows(coded: DataFrame, details: DataFrame, branches: DataFrame, banks: DataFrame | None) -> DataFrame:
-    """Rows an insurer receives, with all ``columns.EXPORT`` columns; amounts are net of what was covered before."""
+def export_rows(coded: DataFrame, details: DataFrame, branches: DataFrame, banks: DataFrame | None,
+                widen: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """Rows an insurer receives, with all ``columns.EXPORT`` columns; amounts are net of what was covered before.
+
+    ``details`` may be narrow: ``widen`` adds after the joins what else a claim shows.
+    """
     keys = ["detail_id", "bill_code", "item_code", "cover_amount", "new_billing_date", "due_date", "insurer_id", "group_type", "claim_type_code"]
     own = details.drop(*[k for k in keys if k != "detail_id"], "branch")
     rows = coded.select(*keys).join(own, "detail_id").join(branches.select("branch_id", "branch"), "branch_id", "left")
     if banks is not None:
-        rows = rows.join(banks.select("claim_type_code", "bank_id", "bank_account"), "claim_type_code", "left")
-    given = {"pay": F.col("pay" if "pay" in own.columns else "pay_total") - F.col("cover_amount"), "pay_total": F.col("pay_total") - F.col("cover_amount"), "document_link": F.lit("")}
+        rows = rows.join(small(banks.select("claim_type_code", "bank_id", "bank_account")), "claim_type_code", "left")
+    rows = widen(rows)
+    given = {"pay": F.col("pay" if "pay" in rows.columns else "pay_total") - F.col("cover_amount"), "pay_total": F.col("pay_total") - F.col("cover_amount"), "document_link": F.lit("")}
     return rows.select(*select_wide(rows, EXPORT, given))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,7 +100,7 @@ def validate_import_batch(staging: DataFrame, claims: DataFrame, documents: Data
     repeats = staging.groupBy("group_code").agg(F.count(F.lit(1)).alias("in_file")).filter("in_file > 1")
     known = imported.select("group_code").distinct().withColumn("is_known", F.lit(True))
     # claims of this group that an earlier import of the same group already holds
-    same = (checked.select("group_code", "claim_code").join(imported_claims.select("group_code", "claim_code"), ["group_code", "claim_code"], "left_semi")
+    same = (claims.select("group_code", "claim_code").join(imported_claims.select("group_code", "claim_code"), ["group_code", "claim_code"], "left_semi")
             .select("group_code").distinct().join(paid_groups.select("group_code"), "group_code", "left_semi").withColumn("has_claim", F.lit(True)))
     rows = (
         staged.join(in_db, ["group_code", "source"], "left").join(repeats, "group_code", "left")
@@ -134,17 +136,19 @@ def validate_import_batch(staging: DataFrame, claims: DataFrame, documents: Data
 
 def import_claim_groups(valid: DataFrame, claims: DataFrame, companies: DataFrame, policies: DataFrame, monthly_policies: DataFrame,
                         hospitals: DataFrame, products: DataFrame, customers: DataFrame, admit_names: DataFrame,
-                        last_id, file_name: str, user_id: int, as_of: str, channel: int = 1) -> dict[str, DataFrame]:
+                        last_id, file_name: str, user_id: int, as_of: str, channel: int = 1,
+                        widen: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> dict[str, DataFrame]:
     """File, group, detail and audit rows for the groups that passed validation.
 
     Details have all ``columns.CLAIM`` columns, whatever the source of a claim has of them. Policy number: of the month the
     claim happened for types 2, 4 and 5; for type 3 the policy its admit type calls for, or 9601, falling back to 9605; the claim's
     own for type 6. ``last_id`` is a one-value frame with the highest id in use. ``companies`` may name a group from several
-    sources. ``audit`` says for every new group through which channel (1 or another) it came.
+    sources. ``audit`` says for every new group through which channel (1 or another) it came. ``claims`` may be narrow: group_code, claim_code,
+    app_id, happened_at, hospital_id, product_id and what ``widen`` makes the other columns of, after all joins.
     """
     names = companies.select("group_code", "company_name").distinct()
     numbered = global_row_number(valid.filter("is_valid = 1").select(
-        "tmp_id", "group_code", "group_type", "item_count", "total_amount", "insurer_id", "claim_type_code"), ["tmp_id"], "_n")
+        "tmp_id", "group_code", "group_type", "item_count", "total_amount", "insurer_id", "claim_type_code"), ["tmp_id"], "_n", whole=True)
     made = {"created_at": F.lit(as_of).cast("timestamp_ntz"), "created_by": F.lit(user_id)}
     groups = (numbered.withColumn("_last", last_id.scalar()).withColumn("import_id", F.coalesce("_last", F.lit(0)) + F.col("_n"))
               .join(names, "group_code", "left")
@@ -153,7 +157,7 @@ def import_claim_groups(valid: DataFrame, claims: DataFrame, companies: DataFram
     held = pivot_values(policies, ["app_id"], "policy_type_id", POLICY_TYPES, F.col("detail"))
     by_month = monthly_policies.select("app_id", "period", F.col("policy_no").alias("month_policy"))
     chosen = F.when(F.col("admit_code") == "4009", F.col("p9602")).when(F.col("admit_code") == "4010", F.col("p9604")).otherwise(F.col("p9601"))
-    rows = (
+    rows = widen(
         groups.select("import_id", "group_code", "group_type")
         .join(claims.withColumn("period", month_start(F.col("happened_at"))), "group_code")
         .join(held, "app_id", "left").join(by_month, ["app_id", "period"], "left")

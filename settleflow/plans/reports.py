@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -199,13 +201,14 @@ def report_before_approval(claims: DataFrame, approvals: DataFrame, online_pay:
     return rows.filter(late).join(paid, "online_id", "left")
 
 
-def insurer_view(kind: str, claims: DataFrame, export: DataFrame, bill_codes: DataFrame | None = None, documents: DataFrame | None = None) -> DataFrame:
+def insurer_view(kind: str, claims: DataFrame, export: DataFrame, bill_codes: DataFrame | None = None, documents: DataFrame | None = None,
+                 widen: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """What an insurer sees of its exported claims: the ``accident``, ``health`` or ``misc`` form, a row for each claim and export row.
 
     ``claims`` is the claim view the accident and health forms start from: claims without an export row stay there with empty
     bill columns, unless ``bill_codes`` asks for certain bills; accident claims of people no longer insured (``is_insured``) are left out.
     The miscellaneous form starts from the export rows, with a row for each document of the claim (``documents``: claim_code, document_id,
-    document_code). Columns nobody fills are NULL of their type.
+    document_code). Columns nobody fills are NULL of their type. ``claims`` may be narrow: ``widen`` adds after the join what else a claim shows.
     """
     sent = export if bill_codes is None else export.join(bill_codes.select("bill_code"), "bill_code", "left_semi")
     if kind == "misc":
@@ -213,7 +216,7 @@ def insurer_view(kind: str, claims: DataFrame, export: DataFrame, bill_codes: Da
         rows = misc if documents is None else misc.join(documents.select("claim_code", "document_id", "document_code"), "claim_code", "left")
         return rows.select(*select_wide(rows, MISC_VIEW, {"document_link": F.lit(None), "branch_name": F.lit(None)}))
     billed = sent.select("claim_code", "bill_code", "item_code", F.col("document_link").alias("x_link"), F.col("province").alias("x_province"), F.col("organ").alias("x_organ"))
-    rows = claims.drop("bill_code", "item_code").join(billed, "claim_code", "left" if bill_codes is None else "inner")
+    rows = widen(claims.drop("bill_code", "item_code").join(billed, "claim_code", "left" if bill_codes is None else "inner"))
     if kind == "health":
         return rows.select(*select_wide(rows, HEALTH_VIEW))
     rows = rows.filter("is_insured")

@@ -9,21 +9,66 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from settleflow.functions.scalars import join_text, money, zero_pad
 from settleflow.sources.tables import TableFolder
+from settleflow.sources.work import stored
+
+
+# columns of an order that claim groups are made of
+RAW = ["o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate"]
+
+
+def item_columns() -> list[Column]:
+    """What a claim shows, from the raw columns of its line."""
+    return [
+        *map(F.col, ("order_key", "line_no", "hospital_id", "product_id")),
+        F.char("rf").alias("rf"), F.char("ls").alias("ls"), F.col("happened_at"),
+        (F.col("cents").cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(16,2)").alias("amount"),
+        (F.col("order_key") * 100 + F.col("line_no")).alias("detail_id"),
+        join_text(F.lit("CL"), zero_pad(F.col("order_key"), 8), zero_pad(F.col("line_no"), 2)).alias("claim_code"),
+    ]
+
+
+def group_columns(of: str = "") -> dict[str, Column]:
+    """What a claim group shows, from ``order_key`` and the other raw columns of its order, which may lie in a struct ``of`` (``name.``)."""
+    key, customer, status = F.col("order_key"), F.col(f"{of}o_custkey"), F.col(f"{of}o_orderstatus")
+    priority = F.substring(F.col(f"{of}o_orderpriority"), 1, 1)
+    hospital = customer % 2 == 0
+    return {
+        "customer_id": customer,
+        "group_code": join_text(
+            F.lit("BU"), priority, F.when(hospital, "H").otherwise("B"), F.lit("-"),
+            customer % 900 + 100, F.lit("-"), zero_pad(key, 8), F.lit("-"), key % 2,
+        ),
+        "group_type": priority.cast("int") + 1,
+        "claim_type_code": F.when(hospital, "1000").otherwise("2000"),
+        "status_id": F.when(status == "O", 2).when(status == "F", 3).otherwise(4),
+        "insurer_id": (customer % 10 + 1).cast("int"),
+        "branch_id": (customer % 25).cast("int"),
+        "order_total": money(F.col(f"{of}o_totalprice")),
+        "created_at": F.col(f"{of}o_orderdate"),
+    }
 
 
 class Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.t = TableFolder(spark, folder)
+        self._kept: set[str] = set()
+
+    def keep(self, *names: str) -> None:
+        """Work the named roles out once and store them, for jobs that read them several times; roles made from them read the stored rows."""
+        for name in names:
+            if name not in self._kept:
+                self._kept.add(name)
+                self.__dict__[name] = stored(getattr(self, name), name)
 
     @cached_property
-    def item(self) -> DataFrame:
-        """One row per claim: line items summed up to (order, line number).
+    def line(self) -> DataFrame:
+        """One row per claim in raw columns: line items summed up to (order, line number).
 
         Cents and one-letter codes are aggregated as numbers, which keeps Spark on its hash
         aggregate; texts or wide decimals would make it sort every line item first.
@@ -40,36 +85,27 @@ class Roles:
                 F.min(F.ascii("l_linestatus")).alias("ls"),
                 F.min("l_shipdate").alias("happened_at"),
             )
-            .withColumns({
-                "amount": (F.col("cents").cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(16,2)"),
-                "rf": F.char("rf"), "ls": F.char("ls"),
-            })
-            .drop("cents")
-            .withColumn("detail_id", F.col("order_key") * 100 + F.col("line_no"))
-            .withColumn("claim_code", join_text(F.lit("CL"), zero_pad(F.col("order_key"), 8), zero_pad(F.col("line_no"), 2)))
         )
 
+    @cached_property
+    def item(self) -> DataFrame:
+        """One row per claim."""
+        return self.line.select(*item_columns())
+
+    @cached_property
+    def order(self) -> DataFrame:
+        """Orders in raw columns: what claim groups are made of."""
+        return self.t("orders").select(F.col("o_orderkey").alias("order_key"), *RAW)
+
+    @cached_property
+    def claim_line(self) -> DataFrame:
+        """Lines with their order in raw columns. Texts are made where they are used, so joins and stored copies carry none."""
+        return self.line.join(self.order, "order_key")
+
     @cached_property
     def group(self) -> DataFrame:
         """One row per claim group."""
-        priority = F.substring("o_orderpriority", 1, 1)
-        hospital = F.col("o_custkey") % 2 == 0
-        return self.t("orders").select(
-            F.col("o_orderkey").alias("order_key"),
-            F.col("o_custkey").alias("customer_id"),
-            join_text(
-                F.lit("BU"), priority, F.when(hospital, "H").otherwise("B"), F.lit("-"),
-                F.col("o_custkey") % 900 + 100, F.lit("-"), zero_pad(F.col("o_orderkey"), 8),
-                F.lit("-"), F.col("o_orderkey") % 2,
-            ).alias("group_code"),
-            (priority.cast("int") + 1).alias("group_type"),
-            F.when(hospital, "1000").otherwise("2000").alias("claim_type_code"),
-            F.when(F.col("o_orderstatus") == "O", 2).when(F.col("o_orderstatus") == "F", 3).otherwise(4).alias("status_id"),
-            (F.col("o_custkey") % 10 + 1).cast("int").alias("insurer_id"),
-            (F.col("o_custkey") % 25).cast("int").alias("branch_id"),
-            money(F.col("o_totalprice")).alias("order_total"),
-            F.col("o_orderdate").alias("created_at"),
-        )
+        return self.order.select("order_key", *[c.alias(n) for n, c in group_columns().items()])
 
     @cached_property
     def group_total(self) -> DataFrame:
@@ -95,10 +131,9 @@ class Roles:
     @cached_property
     def import_detail(self) -> DataFrame:
         """Imported claims with the attributes of their group."""
-        g = self.group.select("order_key", "group_code", "group_type", "claim_type_code", "status_id",
-                              "insurer_id", "branch_id", "customer_id", "created_at",
-                              (F.col("order_total") >= 1000).alias("is_active"))
-        return self.item.join(g, "order_key").withColumnRenamed("order_key", "import_id").withColumnRenamed("amount", "pay_total")
+        g = group_columns()
+        g["is_active"] = g.pop("order_total") >= 1000
+        return self.claim_line.select(*item_columns(), *[c.alias(n) for n, c in g.items()]).withColumnsRenamed({"order_key": "import_id", "amount": "pay_total"})
 
     @cached_property
     def prior_result(self) -> DataFrame:

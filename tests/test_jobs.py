@@ -234,3 +234,62 @@ def test_jobs_take_empty_inputs(roles):
     assert out["transfers"].count() == 0 and out["paybacks"].count() == roles.payback.count()
     assert quality.duplicate_claims(nothing).count() == 0
     assert importing.document_state(importing_jobs.all_sources(roles).limit(0), roles.document.limit(0), importing.DOCUMENT_KINDS).count() == 0
+
+
+# ---- work that must not be done twice or gathered under one key
+
+@pytest.mark.parametrize("name", ["generate_bill_items", "generate_bill_state", "generate_bill_counters", "import_claim_groups_audit", "import_claim_groups_head",
+                                  "create_payback_misc_claims", "create_payback_misc_details", "create_payback_hospital_report", "export_bill_rows", "export_view_health"])
+def test_line_items_are_summed_up_once(spark, small, name):
+    assert not any("lineitem" in path for path in REGISTRY[name].spark(spark, small).inputFiles())
+
+
+def test_claims_are_worked_out_once_for_all_results_of_billing(roles):
+    out = billing_jobs.bills_of(roles)
+    assert all("/settleflow-places-" in path or "/settleflow-spans-" in path or "/settleflow-counters-" in path or "orders" in path for path in out["items"].inputFiles())
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as they are planned for large tables."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_paybacks_without_transfer_are_not_gathered(spark, no_broadcast):
+    codes = spark.createDataFrame([("g1",), ("g2",)], "group_code string")
+    details = spark.createDataFrame([("g1", "d1", 1, 7), ("g2", "d2", 2, 7), ("g2", "d3", None, 7)], "group_code string, detail_code string, payback_id int, hospital_id int")
+    claims = spark.createDataFrame([(1, 7, "c1"), (2, 7, "c2")], "payback_id int, hospital_id int, claim_code string")
+    paybacks = spark.createDataFrame([(1, "p1", 5), (2, "p2", None), (None, "p3", None)], "payback_id int, payback_code string, transfer_id int")
+    transfers = spark.createDataFrame([(5, "t5"), (None, "none")], "transfer_id int, transfer_code string")
+    out = quality.trace_claim_group(codes, details, claims, paybacks, transfers)
+    assert pairs(out, "detail_code", "claim_code", "payback_code", "transfer_code") == [("d1", "c1", "p1", "t5"), ("d2", "c2", "p2", None), ("d3", None, None, None)]
+    assert "hashpartitioning(transfer_id" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cover_entries_meet_their_claim_in_one_shuffle(spark, no_broadcast):
+    entries = spark.createDataFrame([("e1", 1, D(5), 7, 0), ("e2", 1, D(6), 7, 0), ("e3", 2, D(3), 7, 1), (None, 3, D(3), 7, 0), ("e5", None, D(3), 7, 0), ("e6", 4, D(3), None, 0)],
+                                    "entry_id string, detail_id int, cover_amount decimal(16,2), user_id int, is_npl int")
+    details = spark.createDataFrame([(i, f"c{i}", D(100), None) for i in (1, 2, 3, 4)], "detail_id int, claim_code string, pay_total decimal(16,2), bill_code string")
+    current = spark.createDataFrame([(2, D(1), 1, 0, 0), (9, D(2), 1, 0, 0), (None, D(4), 1, 0, 0)], "detail_id int, cover_amount decimal(16,2), is_manual int, is_manual_npl int, on_bill int")
+    out = results.manual_cover_batch(entries, details, current)
+    assert pairs(out["judged"], "entry_id", "action", "reason") == [
+        ("e1", None, M.NO_UPDATE), ("e2", "insert", None), ("e3", "update", None), ("e5", None, M.INCOMPLETE), ("e6", None, M.INCOMPLETE), (None, None, M.NO_UPDATE)]
+    assert pairs(out["results"], "detail_id", "cover_amount", "is_manual", "is_manual_npl", "on_bill") == sorted([
+        (1, D("6.00"), 1, 0, 0), (2, D("3.00"), 1, 1, 0), (9, D("2.00"), 1, 0, 0), (None, D("4.00"), 1, 0, 0)], key=str)
+    plan = out["results"]._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(entry_id" not in plan and "Union" not in plan
+
+
+def test_export_rows_are_not_dealt_by_claim_type(spark, no_broadcast):
+    bank = spark.createDataFrame([("1000", 1, "a"), ("2000", 2, "b")], "claim_type_code string, bank_id int, bank_account string")
+    day = dt.date(2024, 1, 1)
+    coded = spark.createDataFrame([(1, "B", "I1", D(1), day, day, 3, 2, "1000"), (2, "B", "I2", D(0), day, day, 3, 2, "3000")],
+                                  "detail_id int, bill_code string, item_code string, cover_amount decimal(16,2), new_billing_date date, due_date date, insurer_id int, group_type int, claim_type_code string")
+    details = spark.createDataFrame([(1, 4, "c1", D(9)), (2, 4, "c2", D(8))], "detail_id int, branch_id int, claim_code string, pay_total decimal(16,2)")
+    branches = spark.createDataFrame([(4, "north")], "branch_id int, branch string")
+    out = billing.export_rows(coded, details, branches, bank, lambda rows: rows.withColumn("remark", F.col("claim_code")))
+    assert pairs(out, "claim_code", "pay", "bank_account", "branch", "remark") == [("c1", D("8.00"), "a", "north", "c1"), ("c2", D("8.00"), None, "north", "c2")]
+    assert "hashpartitioning(claim_type_code" not in out._jdf.queryExecution().executedPlan().toString()

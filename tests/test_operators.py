@@ -163,6 +163,16 @@ def test_rows_that_the_order_does_not_tell_apart_are_refused(spark):
         global_row_number(frame, ["i"]).collect()
 
 
+def test_whole_rows_are_placed_without_a_join(spark):
+    frame = spark.range(60).select((F.col("id") % 7).alias("k"), "id", F.lit("wide").alias("a"), F.lit(None).alias("nothing"))
+    out = keyed_row_number(frame.drop("nothing"), ["k"], ["id"], whole=True)
+    assert out.columns == ["k", "id", "a", "row_no"] and rows(out, "k", "id", "row_no") == [(k, i, i // 7 + 1) for k in range(7) for i in range(k, 60, 7)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan and plan.count("Join ") == 1  # the spans
+    assert keyed_row_number(frame, ["k"], ["id"], whole=True).count() == 60  # a column without a type cannot be stored
+    assert places(frame, ["k", "id"], ["a"]).columns == ["k", "id", "a", "_part", "_at"]
+
+
 def test_spans_that_are_too_many_to_send_are_joined(spark, monkeypatch):
     frame = spark.range(300).select((F.col("id") % 40).alias("k"), "id")
     monkeypatch.setattr(numbering, "small", lambda table: numbering_small(table, 10))
