@@ -11,6 +11,7 @@ from settleflow.functions.codes import running_codes
 from settleflow.functions.scalars import flag, money
 from settleflow.operators.numbering import global_row_number, join_null_safe, round_number
 from settleflow.operators.state import insert_rows, set_where_key
+from settleflow.sources.work import stored
 
 # fixed value: user-visible text
 DUPLICATE = "ClaimHeaderGroupCode Data Duplicate"
@@ -67,6 +68,8 @@ def create_payback(codes: DataFrame, claims: DataFrame, existing: DataFrame, kin
         work = work.withColumns({"group_type": F.when(F.col("product") == 3, accident_kind(kind)).otherwise(F.lit(kind)),
                                  "pay_group": F.when(own, 2).otherwise(1), "payment_type": F.lit(None).cast("int")})
     work = work.withColumn("amount", F.coalesce("amount", F.lit(0)))
+    # the claims are worked out once; sums, details and links read them
+    work = stored(work.select("group_code", "claim_code", "group_type", "branch_id", "pay_group", "product", "insurer_id", "payment_type", "hospital_id", "amount", "online_code"), "claims")
     bundle = ["group_type", "branch_id", "pay_group"]
     sums = work.groupBy(*bundle).agg(money(F.sum("amount")).alias("amount")).withColumn("prefix", F.lit(GROUP_PREFIX))
     coded, group_counters = running_codes(sums, "prefix", bundle, WIDTH, as_of, counters, "payback_code")
