@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from settleflow.functions import messages as M
 from settleflow.functions.codes import code_text, current_counters
 from settleflow.functions.scalars import first_message, flag, money
-from settleflow.operators.aggregates import latest_per_key
 from settleflow.operators.numbering import global_row_number
 from settleflow.operators.state import insert_rows, set_where_key, update_rows
 
@@ -143,25 +142,30 @@ def manual_cover_batch(entries: DataFrame, details: DataFrame, results: DataFram
     detail_id, cover_amount, is_manual, is_manual_npl, on_bill. Of several entries for a claim the
     newest counts; the others come back as rejected.
     """
-    newest = latest_per_key(entries.filter("detail_id IS NOT NULL"), ["detail_id"], [F.col("entry_id").desc()]).select("entry_id").withColumn("is_newest", F.lit(True))
+    # all joins are on the claim, so that entries are shuffled once
+    newest = entries.filter("detail_id IS NOT NULL").groupBy("detail_id").agg(F.max("entry_id").alias("newest_id"))
     current = results.select("detail_id", F.col("cover_amount").alias("old_cover"), "is_manual", "on_bill", F.lit(True).alias("is_known"))
-    rows = (entries.join(newest, "entry_id", "left").join(details.select("detail_id", "claim_code", "pay_total", "bill_code"), "detail_id", "left")
+    rows = (entries.join(newest, "detail_id", "left").join(details.select("detail_id", "claim_code", "pay_total", "bill_code"), "detail_id", "left")
             .join(current, "detail_id", "left"))
     incomplete = F.col("detail_id").isNull() | F.col("user_id").isNull() | F.col("cover_amount").isNull()
     known = F.col("is_known").isNotNull()
     reason = first_message(
-        (incomplete, M.INCOMPLETE), (F.col("is_newest").isNull(), M.NO_UPDATE), (F.col("claim_code").isNull(), M.NO_IMPORTED_CLAIM),
+        (incomplete, M.INCOMPLETE), (~F.col("entry_id").eqNullSafe(F.col("newest_id")) | F.col("newest_id").isNull(), M.NO_UPDATE), (F.col("claim_code").isNull(), M.NO_IMPORTED_CLAIM),
         (F.col("bill_code").isNotNull(), M.ALREADY_BILLED), (known & (F.col("is_manual") == 0), M.NOT_EDITABLE),
         (known & (F.col("on_bill") == 1), M.NO_UPDATE), (known & (F.col("old_cover") == F.col("cover_amount")), M.VALUE_UNCHANGED),
         (F.col("cover_amount") >= F.coalesce("pay_total", F.lit(0)), M.CHECK_AMOUNT),
     )
     judged = rows.withColumn("reason", reason).withColumn("action", F.when(F.col("reason").isNull(), F.when(known, "update").otherwise("insert")))
     accepted = judged.filter("reason IS NULL")
-    booked = accepted.select("detail_id", "cover_amount", F.col("is_npl").alias("is_manual_npl"))
-    state = update_rows(results, booked, ["detail_id"], checked=False)
-    new = accepted.filter("action = 'insert'").select("detail_id", "cover_amount", F.lit(1).alias("is_manual"), F.col("is_npl").alias("is_manual_npl"), F.lit(0).alias("on_bill"))
+    # accepted entries are worked out once: those without a current row are the new ones, so one full join updates and inserts
+    booked = accepted.select(F.col("detail_id").alias("_detail"), F.col("cover_amount").alias("_cover"), F.col("is_npl").alias("_npl"), F.lit(True).alias("_hit"))
+    state = results.withColumn("_old", F.lit(True)).join(booked, F.col("detail_id") == F.col("_detail"), "full")
+    made = {"detail_id": F.col("_detail"), "cover_amount": F.col("_cover"), "is_manual": F.lit(1), "is_manual_npl": F.col("_npl"), "on_bill": F.lit(0)}
+    changed = {c: made[c].cast(results.schema[c].dataType) for c in ("cover_amount", "is_manual_npl") if c in results.columns}
+    state = state.select(*[
+        F.when(F.col("_old").isNull(), made.get(c, F.lit(None))).when(F.col("_hit"), changed.get(c, F.col(c))).otherwise(F.col(c)).alias(c) for c in results.columns])
     return {
         "judged": judged.select("entry_id", "detail_id", "cover_amount", "action", "reason"),
-        "results": insert_rows(state, new),
+        "results": state,
         "log": accepted.select("entry_id", "detail_id", "cover_amount", F.col("is_npl").alias("is_manual_npl"), "user_id"),
     }
