@@ -66,9 +66,12 @@ def transfer_conflicts(transactions: DataFrame, subgroups: DataFrame, start: str
 def trace_claim_group(codes: DataFrame, details: DataFrame, claims: DataFrame, paybacks: DataFrame, transfers: DataFrame) -> DataFrame:
     """Every level a set of claim groups went through: detail, claim, pay-back, transfer."""
     mine = details.join(codes.select("group_code"), "group_code", "left_semi").select("group_code", "detail_code", "payback_id", "hospital_id")
+    # pay-backs get their transfer before they meet the claims; those without one are spread by their own id, not gathered under NULL
+    key = F.coalesce(F.concat(F.lit("t"), F.col("transfer_id").cast("string")), F.concat(F.lit("p"), F.col("payback_id").cast("string")))
+    named = transfers.select(F.concat(F.lit("t"), F.col("transfer_id").cast(paybacks.schema["transfer_id"].dataType).cast("string")).alias("_transfer"), "transfer_code")
+    moved = paybacks.select("payback_id", "payback_code", "transfer_id").withColumn("_transfer", key).join(named, "_transfer", "left").drop("_transfer")
     return (mine.join(claims.select("payback_id", "hospital_id", "claim_code"), ["payback_id", "hospital_id"], "left")
-            .join(paybacks.select("payback_id", "payback_code", "transfer_id"), "payback_id", "left")
-            .join(transfers.select("transfer_id", "transfer_code"), "transfer_id", "left"))
+            .join(moved, "payback_id", "left").select("transfer_id", "payback_id", "hospital_id", "group_code", "detail_code", "claim_code", "payback_code", "transfer_code"))
 
 
 def slice_tables(tables: dict[str, tuple[DataFrame, str]], keys: DataFrame, key: str) -> dict[str, DataFrame]:
