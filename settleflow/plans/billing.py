@@ -23,6 +23,8 @@ from settleflow.sources.work import stored
 BILL_GROUP = {2: 1, 3: 2, 4: 1, 5: 1, 6: 3}
 # fixed value: items on one bill of an insurer without file transfer
 BILL_SIZE = 20
+# what an exported claim has of its bill
+ON_BILL = ["bill_code", "item_code", "cover_amount", "new_billing_date", "due_date", "insurer_id", "group_type", "claim_type_code"]
 
 
 def latest_cover_log(log: DataFrame) -> DataFrame:
@@ -178,14 +180,20 @@ def export_rows(coded: DataFrame, details: DataFrame, branches: DataFrame, banks
 
     ``details`` may be narrow: ``widen`` adds after the joins what else a claim shows.
     """
-    keys = ["detail_id", "bill_code", "item_code", "cover_amount", "new_billing_date", "due_date", "insurer_id", "group_type", "claim_type_code"]
-    own = details.drop(*[k for k in keys if k != "detail_id"], "branch")
-    rows = coded.select(*keys).join(own, "detail_id").join(branches.select("branch_id", "branch"), "branch_id", "left")
+    keys = ["detail_id", *ON_BILL]
+    own = details.drop(*ON_BILL, "branch")
+    return shown_to_insurer(coded.select(*keys).join(own, "detail_id"), branches, banks, widen)
+
+
+def shown_to_insurer(rows: DataFrame, branches: DataFrame, banks: DataFrame | None, widen: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+                     carried: list[str] = ()) -> DataFrame:
+    """``export_rows`` of claims that have their bill's columns beside their own; ``carried`` columns come along."""
+    rows = rows.join(branches.select("branch_id", "branch"), "branch_id", "left")
     if banks is not None:
         rows = rows.join(small(banks.select("claim_type_code", "bank_id", "bank_account")), "claim_type_code", "left")
     rows = widen(rows)
     given = {"pay": F.col("pay" if "pay" in rows.columns else "pay_total") - F.col("cover_amount"), "pay_total": F.col("pay_total") - F.col("cover_amount"), "document_link": F.lit("")}
-    return rows.select(*select_wide(rows, EXPORT, given))
+    return rows.select(*select_wide(rows, EXPORT, given), *carried)
 
 
 def undo_bills(imported: DataFrame, bills: DataFrame, items: DataFrame, codes: DataFrame, new_billing_date: str) -> dict[str, DataFrame]:

@@ -214,9 +214,15 @@ def insurer_view(kind: str, claims: DataFrame, export: DataFrame, bill_codes: Da
     if kind == "misc":
         misc = sent.filter("group_type = 6")
         rows = misc if documents is None else misc.join(documents.select("claim_code", "document_id", "document_code"), "claim_code", "left")
-        return rows.select(*select_wide(rows, MISC_VIEW, {"document_link": F.lit(None), "branch_name": F.lit(None)}))
+        return view_columns(kind, rows)
     billed = sent.select("claim_code", "bill_code", "item_code", F.col("document_link").alias("x_link"), F.col("province").alias("x_province"), F.col("organ").alias("x_organ"))
-    rows = widen(claims.drop("bill_code", "item_code").join(billed, "claim_code", "left" if bill_codes is None else "inner"))
+    return view_columns(kind, widen(claims.drop("bill_code", "item_code").join(billed, "claim_code", "left" if bill_codes is None else "inner")))
+
+
+def view_columns(kind: str, rows: DataFrame) -> DataFrame:
+    """The columns of ``insurer_view`` for claims that have met their export rows."""
+    if kind == "misc":
+        return rows.select(*select_wide(rows, MISC_VIEW, {"document_link": F.lit(None), "branch_name": F.lit(None)}))
     if kind == "health":
         return rows.select(*select_wide(rows, HEALTH_VIEW))
     rows = rows.filter("is_insured")

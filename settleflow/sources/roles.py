@@ -53,6 +53,29 @@ def group_columns(of: str = "") -> dict[str, Column]:
     }
 
 
+def bill_columns(of: str = "") -> dict[str, Column]:
+    """What a claim shows on its bill, from its own columns and those of ``group_columns``, which may lie in a struct ``of`` (``name.``)."""
+    # the active earlier cover of a claim follows from the claim itself, so no join is needed
+    covered = F.col("rf").isin("A", "R") & (F.col("ls") == "O")
+    cover = F.coalesce(F.when(covered, money(F.col("pay_total") * F.lit("0.10").cast("decimal(4,2)"))), F.lit(0)).cast("decimal(16,2)")
+    kind = F.when(F.col(f"{of}claim_type_code") == "1000", "H").otherwise("B")
+    return {
+        "item_code": join_text(F.lit("BQI"), F.substring("claim_code", 3, 30)),
+        "bill_code": join_text(F.lit("BQG"), zero_pad(F.col(f"{of}insurer_id"), 2), kind, F.lit("-"), F.date_format(f"{of}created_at", "yyyyMMdd")),
+        "billing_date": F.to_date(f"{of}created_at"), "cover_amount": cover, "amount_total": (F.col("pay_total") - cover).cast("decimal(16,2)"),
+    }
+
+
+def names(table: DataFrame, key: str, name: str) -> DataFrame:
+    """One row per key with the ``names`` it has on record; a key may be there several times."""
+    return table.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(F.col(name).alias("name"))).alias("names"))
+
+
+def document_kinds() -> Column:
+    """Kinds of the documents filed for a claim."""
+    return F.array_compact(F.array(F.when(F.col("ls") == "F", 24), F.when((F.col("line_no") % 2 == 0) | (F.col("rf") == "N"), 134)))
+
+
 class Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -102,6 +125,12 @@ class Roles:
         """Lines with their order in raw columns. Texts are made where they are used, so joins and stored copies carry none."""
         return self.line.join(self.order, "order_key")
 
+    @cached_property
+    def records(self) -> DataFrame:
+        """One row per order number with its ``records``: the raw columns of each, and the names on record for its customer."""
+        called = names(self.t("customer"), "c_custkey", "c_name").select(F.col("c_custkey").alias("o_custkey"), "names")
+        return self.order.where("order_key IS NOT NULL").join(called, "o_custkey", "left").groupBy("order_key").agg(F.collect_list(F.struct(*RAW, "names")).alias("records"))
+
     @cached_property
     def group(self) -> DataFrame:
         """One row per claim group."""
@@ -177,19 +206,12 @@ class Roles:
     def bill_item(self) -> DataFrame:
         """Claims of billed groups (status 3) on the bill of their insurer, claim type and day."""
         d = self.import_detail.filter("status_id = 3 AND is_active")
-        # the active earlier cover of a claim follows from the claim itself, so no join is needed
-        covered = F.col("rf").isin("A", "R") & (F.col("ls") == "O")
-        joined = d.withColumn("cover_amount", F.when(covered, money(F.col("pay_total") * F.lit("0.10").cast("decimal(4,2)"))))
-        day = F.date_format("created_at", "yyyyMMdd")
-        kind = F.when(F.col("claim_type_code") == "1000", "H").otherwise("B")
-        return joined.select(
-            join_text(F.lit("BQI"), F.substring("claim_code", 3, 30)).alias("item_code"),
-            join_text(F.lit("BQG"), zero_pad(F.col("insurer_id"), 2), kind, F.lit("-"), day).alias("bill_code"),
+        on_bill = bill_columns()
+        return d.select(
+            *[on_bill[n].alias(n) for n in ("item_code", "bill_code")],
             "detail_id", "import_id", "claim_code", "group_code", "group_type", "claim_type_code", "insurer_id", "branch_id",
             "customer_id", "hospital_id", "product_id", "rf", "ls", "line_no", "happened_at", "created_at",
-            F.to_date("created_at").alias("billing_date"), "pay_total",
-            F.coalesce("cover_amount", F.lit(0)).cast("decimal(16,2)").alias("cover_amount"),
-            (F.col("pay_total") - F.coalesce("cover_amount", F.lit(0))).cast("decimal(16,2)").alias("amount_total"),
+            on_bill["billing_date"].alias("billing_date"), "pay_total", *[on_bill[n].alias(n) for n in ("cover_amount", "amount_total")],
         )
 
     @cached_property
@@ -295,13 +317,7 @@ class Roles:
     @cached_property
     def document(self) -> DataFrame:
         """Documents filed per claim: kind 24 when settled, kind 134 on even claims or unreturned ones."""
-        d = self.item.select(
-            "claim_code", "order_key", "happened_at",
-            F.explode(F.array_compact(F.array(
-                F.when(F.col("ls") == "F", 24), F.when((F.col("line_no") % 2 == 0) | (F.col("rf") == "N"), 134)
-            ))).alias("kind"),
-        )
-        return d
+        return self.item.select("claim_code", "order_key", "happened_at", F.explode(document_kinds()).alias("kind"))
 
     @cached_property
     def hospital(self) -> DataFrame:

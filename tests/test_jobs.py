@@ -293,3 +293,49 @@ def test_export_rows_are_not_dealt_by_claim_type(spark, no_broadcast):
     out = billing.export_rows(coded, details, branches, bank, lambda rows: rows.withColumn("remark", F.col("claim_code")))
     assert pairs(out, "claim_code", "pay", "bank_account", "branch", "remark") == [("c1", D("8.00"), "a", "north", "c1"), ("c2", D("8.00"), None, "north", "c2")]
     assert "hashpartitioning(claim_type_code" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+# ---- views of exported claims
+
+VIEWS = ["export_bill_rows", "export_view_accident", "export_view_health", "export_view_misc"]
+
+
+@pytest.mark.parametrize("name", VIEWS)
+def test_exported_claims_meet_their_order_once(spark, small, no_broadcast, name):
+    plan = REGISTRY[name].spark(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert not any(f"hashpartitioning({c}" in plan for c in ("claim_code", "detail_id", "bill_code", "order_key", "raw", "_hospital", "_customer"))
+
+
+def claim_tables(spark, folder, lines):
+    """Orders, names and branches that are on record twice or not at all, and the given (order, line number)."""
+    at = dt.datetime(1996, 3, 1)
+    item = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    tables = {
+        "lineitem": ([(o, i % 3 or None, i % 2, n, 1.0, 100.0 + i, "NAR"[i % 3], "FO"[i % 2], at) for i, (o, n) in enumerate(lines)], item),
+        "orders": ([(k, c, s, p, at, t) for k, c, s, p, t in (
+            (1, 3, "F", 2000.0, "2-HIGH"), (1, 13, "F", 3000.0, "1-URGENT"), (2, 3, "F", 1500.0, "2-HIGH"), (3, 3, "O", 1500.0, "2-HIGH"), (4, 7, "F", 5000.0, "5-LOW"), (5, None, "F", 5000.0, "1-URGENT"),
+            (6, 3, "F", 10.0, "4-NOT"), (None, 3, "F", 2000.0, "2-HIGH"))], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "customer": ([(3, "c3"), (3, "c3 again"), (7, None), (None, "nobody")], "c_custkey long, c_name string"),
+        "supplier": ([(0, "s0", 1, 1.0), (0, "s0 again", 1, 1.0), (None, "none", 1, 1.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "part": ([(1, "p1"), (2, "p2"), (2, "p2")], "p_partkey long, p_name string"),
+        "nation": ([(3, "n3", 1), (3, "n3", 1), (7, "n7", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+PLAIN = [(o, n) for o in (1, 2, 3, 4, 5, 6, 9, None) for n in (1, 2, 2, 4, 7, None)]
+
+
+@pytest.mark.parametrize("name", VIEWS)
+def test_views_pair_records_as_joins_on_the_code_do(spark, tmp_path, monkeypatch, name):
+    folder = claim_tables(spark, tmp_path / "t", PLAIN)
+    found = REGISTRY[name].spark(spark, folder).collect()
+    monkeypatch.setattr(billing_jobs, "codes_tell_lines_apart", lambda r: False)
+    assert sorted(map(str, found)) == sorted(map(str, REGISTRY[name].spark(spark, folder).collect())) and found
+
+
+@pytest.mark.parametrize("more, apart", [([], True), ([(1, 102)], False), ([(2, -99)], False), ([(10 ** 8, None)], False), ([(10 ** 8, 1)], True)])
+def test_codes_that_two_lines_share_are_seen(spark, tmp_path, more, apart):
+    assert billing_jobs.codes_tell_lines_apart(Roles(spark, claim_tables(spark, tmp_path / "t", [*PLAIN, *more]))) == apart
