@@ -635,3 +635,39 @@ def test_mixing_of_odd_rows(odd, nothing):
     assert sorted(r["position"] for r in mixing.mix(odd, {"a": 1.0, "missing": 2.0, "c": 0.0}).collect()) == list(range(10))
     assert sorted(r["position"] for r in mixing.mix(odd, {None: 1.0, "a": 3.0}, block_rows=1).collect()) == list(range(10))
     assert sorted(r["position"] for r in mixing.mix(odd, {}, block_rows=1).collect()) == list(range(10))
+
+
+def _words(rng, n):
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(n)]
+
+
+def _with_decoys():
+    """Pairs of texts that share a passage each, and texts that share only a third of words with it, at either end."""
+    import random
+    rng = random.Random(5)
+    rows = []
+    for k in range(4):
+        shared = _words(rng, 60)
+        rows += [(100 * k + j, " ".join(_words(rng, 30) + shared + _words(rng, 30))) for j in range(2)]
+        rows += [(100 * k + 10 + j, " ".join(_words(rng, 30) + (shared[:45] if j % 2 else shared[15:]) + _words(rng, 30))) for j in range(16)]
+    return rows
+
+
+def _found(docs):
+    return {r["doc_id"]: ([tuple(p) for p in r["passages"]], r["n_links"], r["class_id"]) for r in passages.repeated(docs).collect()}
+
+
+def test_passages_link_all_texts_of_a_passage(make):
+    import random
+    rng = random.Random(3)
+    shared = _words(rng, 70)
+    found = _found(make([(k, " ".join(_words(rng, 40) + shared + _words(rng, 40))) for k in range(5)]))
+    assert {k: v[1:] for k, v in found.items()} == {k: (4, 0) for k in range(5)}
+
+
+@pytest.mark.parametrize("paired", [1, 32])
+def test_passages_need_not_lie_in_the_first_text_of_a_division(make, monkeypatch, paired):
+    monkeypatch.setattr(passages, "PAIRED", paired)
+    found = _found(make(_with_decoys()))
+    assert {k: v[1:] for k, v in found.items()} == {100 * k + j: (1, 100 * k) for k in range(4) for j in range(2)}
+    assert all(p == [(30, 90)] for p, _, _ in found.values())
