@@ -21,9 +21,9 @@ repeated rows have equal scores up to rounding.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.llm.common import dropped, stored
+from settleflow.llm.common import dropped, stored, words as split_words
 
 CLASSES = 64
 MEMBERS = 64
@@ -46,9 +46,8 @@ REACH = 2
 BATCH = 8192
 CHUNK = 1 << 14  # tokens
 SCORED = 1 << 13  # tokens at a time
+BLOCK = 1 << 10  # tokens whose logits are made at a time, so that they stay in a core's cache
 FAN_IN = 64
-REMEMBERED = 1 << 18
-_TOKEN = re.compile(r"[^\W_]+")
 _SHAPES = {"embed": (PAD + 1, WIDTH), "place": (2 * REACH, WIDTH), "bias": (WIDTH,), "to_class": (WIDTH, CLASSES), "class_bias": (CLASSES,),
            "to_member": (CLASSES, WIDTH, MEMBERS), "member_bias": (CLASSES, MEMBERS)}
 _OFFSETS = [k for k in range(-REACH, REACH + 1) if k]
@@ -57,17 +56,15 @@ Weights = dict[str, np.ndarray]
 
 
 class _Ids(dict):
-    """Number of a word of the vocabulary; for any other word ``PAD + 1`` and its cell, remembered for the first ``REMEMBERED`` words."""
+    """Numbers of the words of the vocabulary."""
 
-    def __missing__(self, word: str) -> int:
-        number = PAD + 1 + xxhash.xxh64_intdigest(word, 42) % CELLS
-        if len(self) < REMEMBERED:
-            self[word] = number
-        return number
-
-
-def tokens(text: str | None) -> list[str]:
-    return _TOKEN.findall(text.lower()) if text else []
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of a text's words, the places of words outside the vocabulary and the cells of these."""
+        found = split_words(text) if text else []
+        numbers = np.fromiter(map(self.get, found, repeat(-1)), np.int64, len(found))
+        rare = np.flatnonzero(numbers < 0)
+        hashes = b"".join([xxhash.xxh64_digest(found[k], 42) for k in rare.tolist()])
+        return numbers, rare, (np.frombuffer(hashes, ">u8") % CELLS).astype(np.intp)
 
 
 def vocabulary(docs: DataFrame, *, text: str = "text") -> tuple[list[str], np.ndarray]:
@@ -77,11 +74,12 @@ def vocabulary(docs: DataFrame, *, text: str = "text") -> tuple[list[str], np.nd
         seen: Counter = Counter()
 
         def frame() -> pd.DataFrame:
-            return pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
+            return pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())})
 
         for batch in batches:
             for t in batch["text"]:
-                seen.update(tokens(t))
+                if t:
+                    seen.update(split_words(t))
                 if len(seen) > 300_000:
                     yield frame()
                     seen = Counter()
@@ -122,79 +120,118 @@ def _unpack(flat: np.ndarray) -> Weights:
     return out
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def _picked(z: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Log-softmax of the targets alone; ``z`` is used up."""
-    z -= z.max(axis=1, keepdims=True)
-    out = z[np.arange(len(z)), targets]
-    return out - np.log(np.exp(z, out=z).sum(axis=1))
-
-
-def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Positions of the targets of each class."""
-    classes = targets // MEMBERS
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c]:edges[c + 1]]
+def _by_class(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Order of the places by the class of their tokens, the classes and members in that order, and class, first and end of each class met."""
+    order = np.argsort((ids[at] // MEMBERS).astype(np.uint8), kind="stable")
+    classes, members = np.divmod(ids[at[order]], MEMBERS)
+    edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+    return order, classes, members, [(c, i, j) for c, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
 
 
 def _hidden(w: Weights, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     context = [ids[at + k] for k in _OFFSETS]
     total = np.tile(w["bias"], (len(at), 1))
-    for place, c in zip(w["place"], context):
-        total += w["embed"][c] * place
-    return np.tanh(total), context
+    for k in range(0, len(at), BLOCK):
+        for place, c in zip(w["place"], context):
+            part = w["embed"][c[k:k + BLOCK]]
+            part *= place
+            total[k:k + BLOCK] += part
+    return np.tanh(total, out=total), context
+
+
+def _of_classes(w: Weights, h: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Logits of the classes, block by block; a column for each token, so that sums run over long rows. The next block takes the place of the last."""
+    z = np.empty((CLASSES, BLOCK), np.float32)
+    for i in range(0, len(h), BLOCK):
+        block = slice(i, min(i + BLOCK, len(h)))
+        part = z[:, :block.stop - i]
+        np.add(w["to_class"].T @ h[block].T, w["class_bias"][:, None], out=part)
+        yield block, part
+
+
+def _of_members(w: Weights, h: np.ndarray, met: list[tuple[int, int, int]]) -> Iterator[tuple[slice, np.ndarray, list[tuple[int, int, int]]]]:
+    """Logits of the members of the token's class, in blocks of whole classes, with the classes of the block."""
+    z = np.empty((MEMBERS, BLOCK), np.float32)
+    group: list[tuple[int, int, int]] = []
+    for k, (c, i, j) in enumerate(met):
+        group.append((c, i, j))
+        if k + 1 < len(met) and met[k + 1][2] - group[0][1] <= BLOCK:
+            continue
+        block = slice(group[0][1], j)
+        part = z[:, :j - block.start] if j - block.start <= BLOCK else np.empty((MEMBERS, j - block.start), np.float32)
+        for c, i, j in group:
+            np.add(w["to_member"][c].T @ h[i:j].T, w["member_bias"][c][:, None], out=part[:, i - block.start:j - block.start])
+        yield block, part, group
+        group = []
 
 
 def log_probabilities(w: Weights, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-probability of the tokens at the given places of a padded sequence, each from its two sides."""
-    order = np.argsort((ids[at] // MEMBERS).astype(np.uint8), kind="stable")
-    at = at[order]
-    targets = ids[at]
-    classes, members = targets // MEMBERS, targets % MEMBERS
-    h, _ = _hidden(w, ids, at)
-    found = _picked(h @ w["to_class"] + w["class_bias"], classes)
-    edges = np.searchsorted(classes, np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        i, j = edges[c], edges[c + 1]
-        if i < j:
-            found[i:j] += _picked(h[i:j] @ w["to_member"][c] + w["member_bias"][c], members[i:j])
+    order, classes, members, met = _by_class(ids, at)
+    h, _ = _hidden(w, ids, at[order])
+    columns, found = np.arange(len(at)), np.zeros(len(at), np.float32)
+    for blocks, picked in ((_of_classes(w, h), classes), (_of_members(w, h, met), members)):
+        for block, z, *_ in blocks:
+            z -= z.max(axis=0)
+            found[block] += z[picked[block], columns[:z.shape[1]]]
+            found[block] -= np.log(np.exp(z, out=z).sum(axis=0))
     out = np.empty_like(found)
     out[order] = found
     return out
 
 
+def _errors(z: np.ndarray, picked: np.ndarray, n: np.float32) -> None:
+    """Logits become the gradients of the loss by them, ``n`` for the weight of a token."""
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z *= n / z.sum(axis=0)
+    z[picked, np.arange(len(picked))] -= n
+
+
 def _learn(w: Weights, squares: Weights, ids: np.ndarray, at: np.ndarray, rate: float) -> None:
-    """One Adagrad step."""
-    h, context = _hidden(w, ids, at)
-    targets, n = ids[at], np.float32(1 / len(at))
+    """One Adagrad step; weights that it has no gradient for stay as they are."""
+    order, classes, members, met = _by_class(ids, at)
+    h, context = _hidden(w, ids, at[order])
+    n = np.float32(1 / len(at))
     g = {k: np.zeros(s, np.float32) for k, s in _SHAPES.items()}
-    d = np.exp(_log_softmax(h @ w["to_class"] + w["class_bias"]))
-    d[np.arange(len(at)), targets // MEMBERS] -= 1
-    d *= n
-    g["to_class"], g["class_bias"], back = h.T @ d, d.sum(axis=0), d @ w["to_class"].T
-    for c, rows in _by_class(targets):
-        d = np.exp(_log_softmax(h[rows] @ w["to_member"][c] + w["member_bias"][c]))
-        d[np.arange(len(rows)), targets[rows] % MEMBERS] -= 1
-        d *= n
-        g["to_member"][c], g["member_bias"][c] = h[rows].T @ d, d.sum(axis=0)
-        back[rows] += d @ w["to_member"][c].T
-    back *= 1 - h * h
+    back = np.empty_like(h)
+    for block, z in _of_classes(w, h):
+        _errors(z, classes[block], n)
+        back[block] = z.T @ w["to_class"].T
+        g["to_class"] += h[block].T @ z.T
+        g["class_bias"] += z.sum(axis=1)
+    for block, z, group in _of_members(w, h, met):
+        _errors(z, members[block], n)
+        g["member_bias"][[c for c, _, _ in group]] = np.add.reduceat(z, [i - block.start for _, i, _ in group], axis=1).T
+        for c, i, j in group:
+            d = z[:, i - block.start:j - block.start].T
+            np.matmul(h[i:j].T, d, out=g["to_member"][c])
+            back[i:j] += d @ w["to_member"][c].T
+    h *= h
+    h *= back
+    back -= h
     g["bias"] = back.sum(axis=0)
     for k, c in enumerate(context):
-        order = np.argsort(c, kind="stable")
-        first = np.flatnonzero(np.diff(c[order], prepend=-1))
-        g["embed"][c[order[first]]] += np.add.reduceat(back[order], first, axis=0) * w["place"][k]
-        g["place"][k] = (back * w["embed"][c]).sum(axis=0)
-    for k in _SHAPES:
-        squares[k] += g[k] * g[k]
-        w[k] -= rate * g[k] / np.sqrt(squares[k] + 1e-8)
+        by_token = np.argsort(c.astype(np.uint16), kind="stable")
+        c = c[by_token]
+        first = np.flatnonzero(np.diff(c, prepend=-1))
+        rows, sums = c[first], np.add.reduceat(back[by_token], first, axis=0)
+        g["place"][k] = (sums * w["embed"][rows]).sum(axis=0)
+        sums *= w["place"][k]
+        g["embed"][rows] += sums
+    rows = {"embed": np.flatnonzero(np.bincount(np.concatenate(context), minlength=PAD + 1))}
+    if len(met) < CLASSES:
+        rows["to_member"] = rows["member_bias"] = np.array([c for c, _, _ in met])
+    for k, own in g.items():
+        changed = rows.get(k, slice(None))
+        own = own[changed]
+        seen = squares[k][changed] + own * own
+        squares[k][changed] = seen
+        seen += 1e-8
+        np.sqrt(seen, out=seen)
+        own *= rate
+        own /= seen
+        w[k][changed] -= own
 
 
 def _sequences(texts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, list[int], list[int]]]:
@@ -227,9 +264,7 @@ def _numbers(column: pa.Array) -> Iterator[np.ndarray]:
 
 def numbered(text: str | None, ids: _Ids, shares: np.ndarray) -> tuple[np.ndarray, float]:
     """Tokens of the network for a text, and the summed log-shares of its other words in their buckets."""
-    numbers = np.fromiter(map(ids.__getitem__, tokens(text)), np.uint32)
-    rare = np.flatnonzero(numbers > PAD)
-    cells = numbers[rare] - (PAD + 1)
+    numbers, rare, cells = ids.of(text)
     numbers[rare] = WORDS + cells % RARE
     return numbers.astype(np.uint16), float(shares[cells].sum(dtype=np.float64))
 
@@ -240,7 +275,7 @@ def encode(docs: DataFrame, words: list[str], shares: np.ndarray, *, doc_id: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shares = shared.value
-        ids = _Ids((v, k) for k, v in enumerate(words))
+        ids = _Ids((v.encode(), k) for k, v in enumerate(words))
         for batch in batches:
             found = [numbered(x, ids, shares) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([

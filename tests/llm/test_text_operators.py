@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from settleflow.llm import decontaminate, digests, language_id, language_model, licences, mixing, near_dedup, passages, pii, quality
-from settleflow.llm.common import remainder, stored, word_blocks
+from settleflow.llm.common import remainder, stored, word_blocks, words
 from settleflow.llm.graph import components
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "tu", "ro", "sa", "vi") for b in ("ban", "der", "fol", "gim", "hus", "jat", "kel", "pon", "rus")]
@@ -464,6 +464,45 @@ def test_scores_keep_large_ids_beside_null_ones(make):
     assert rows == {None: 2, (1 << 60) + 1: 2, (1 << 60) + 3: 0}
 
 
+def test_words_are_runs_of_letters_and_digits():
+    rng = random.Random(31)
+    odd = "aZ_9 ,.\t\n\x00\x1f\x85\xa0\xb2\xdf\u0130\u212a\u03a3\u2028\u200b\u4e00\u0661\U0001f600\U0001d7d8\u0301"
+    for _ in range(300):
+        text = "".join(rng.choice(odd) for _ in range(60))
+        assert [w.decode() for w in words(text)] == re.findall(r"[^\W_]+", text.lower())
+
+
+@pytest.mark.parametrize("n", [3, 900])
+def test_a_training_step_is_the_plain_gradient_and_leaves_the_rest(n):
+    rng = np.random.default_rng(5)
+    ids = np.concatenate([[language_model.PAD] * 2, rng.integers(0, 700, n), [language_model.PAD] * 2])
+    at = np.arange(2, n + 2)
+    w, squares = language_model.initial(4), {k: np.zeros(s, np.float32) for k, s in language_model._SHAPES.items()}
+    plain = {k: np.zeros(s) for k, s in language_model._SHAPES.items()}
+    for k in at:
+        around = [ids[k + o] for o in (-2, -1, 1, 2)]
+        h = np.tanh(w["bias"] + sum(w["embed"][i] * p for i, p in zip(around, w["place"])))
+        c, m = divmod(ids[k], language_model.MEMBERS)
+        back = 0
+        for name, bias, own, pick in (("to_class", "class_bias", ..., c), ("to_member", "member_bias", c, m)):
+            z = np.exp(h @ w[name][own] + w[bias][own])
+            d = z / z.sum()
+            d[pick] -= 1
+            plain[name][own] += np.outer(h, d) / n
+            plain[bias][own] += d / n
+            back = back + w[name][own] @ d / n
+        back = back * (1 - h * h)
+        plain["bias"] += back
+        for j, i in enumerate(around):
+            plain["embed"][i] += back * w["place"][j]
+            plain["place"][j] += back * w["embed"][i]
+    before = {k: v.copy() for k, v in w.items()}
+    language_model._learn(w, squares, ids, at, 0.1)
+    for k, g in plain.items():
+        assert np.allclose(np.sqrt(squares[k]), np.abs(g), rtol=1e-3, atol=1e-6)
+        assert np.allclose(before[k] - w[k], 0.1 * g / np.sqrt(g * g + 1e-8), atol=2e-3) and (w[k] == before[k])[g == 0].all()
+
+
 # 9 repeated passages
 
 def plain_windows(s, width):
