@@ -710,3 +710,44 @@ def test_passages_need_not_lie_in_the_first_text_of_a_division(make, monkeypatch
     found = _found(make(_with_decoys()))
     assert {k: v[1:] for k, v in found.items()} == {100 * k + j: (1, 100 * k) for k in range(4) for j in range(2)}
     assert all(p == [(30, 90)] for p, _, _ in found.values())
+
+
+def test_texts_with_a_line_in_common_are_not_read_for_it(make, monkeypatch):
+    checked, verified = [], passages._verified
+    monkeypatch.setattr(passages, "PAIRED", 1)
+    monkeypatch.setattr(passages, "_verified", lambda texts, pairs, *more: (checked.append(pairs.count()), verified(texts, pairs, *more))[1])
+    rng = random.Random(8)
+    line, shared = _words(rng, 34), _words(rng, 60)
+    rows = [(k, " ".join(_words(rng, 40) + line + _words(rng, 40))) for k in range(30)]
+    rows += [(100 + k, " ".join(_words(rng, 40) + shared + _words(rng, 40))) for k in range(2)]
+    assert {k: v[1:] for k, v in _found(make(rows)).items()} == {100: (1, 100), 101: (1, 100)}
+    assert sum(checked) < 10
+
+
+def test_neighbourhoods_tell_pairs_without_a_passage():
+    rng = np.random.default_rng(9)
+    width, reach = 46, 90
+    a, b = (rng.integers(1, 1 << 16, 2 * reach + 1).astype(np.uint16) for _ in range(2))
+
+    def may(first, end, left=1000, right=1000, shift=0, wrong=()):
+        other = b.copy()
+        other[first + shift:end + shift] = a[first:end]
+        other[list(wrong)] = 0
+        return bool(passages.may_share(a[None], other[None], np.array([left]), np.array([right]), width)[0])
+
+    for first in range(46, 90):
+        assert may(first, first + 46) and may(first, first + 46, 90 - first, first + 45 - 90) and may(first, first + 46, shift=10)
+        assert not may(first, first + 46, 90 - first, first + 44 - 90)
+    assert not any(may(first, first + 40) for first in range(56, 85))
+    assert may(60, 111, wrong=range(70, 75)) and not may(60, 106, wrong=range(70, 80))
+    assert may(90, 181) and may(0, 91) and not may(91, 91)
+
+
+def test_likeness_and_stretches_agree_with_plain_ones():
+    rng = np.random.default_rng(10)
+    for _ in range(200):
+        a, b = rng.integers(0, 12, rng.integers(1, 30)).astype(np.uint64), rng.integers(0, 12, rng.integers(1, 30)).astype(np.uint64)
+        x, y = Counter(a.tolist()), Counter(b.tolist())
+        assert passages._similarity(a, b) == (x & y).total() / (x | y).total()
+        assert np.array_equal(passages._among(a, np.sort(b)), np.isin(a, b))
+    assert not passages._among(a, a[:0]).any()
