@@ -751,3 +751,52 @@ def test_likeness_and_stretches_agree_with_plain_ones():
         assert passages._similarity(a, b) == (x & y).total() / (x | y).total()
         assert np.array_equal(passages._among(a, np.sort(b)), np.isin(a, b))
     assert not passages._among(a, a[:0]).any()
+
+
+@pytest.mark.parametrize("block", [1 << 10, 15])
+def test_all_links_of_a_large_division_count(make, monkeypatch, block):
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rng = random.Random(21)
+    shared = _words(rng, 70)
+    found = _found(make([(k, " ".join(_words(rng, 20) + shared + _words(rng, 20))) for k in range(50)]))
+    assert found == {k: ([(20, 90)], 49, 0) for k in range(50)}
+
+
+def test_passages_of_texts_of_one_class_are_all_marked(make):
+    """All texts share one passage; in another large division two of them share more than their first."""
+    rng = random.Random(22)
+    shared, more = _words(rng, 60), _words(rng, 60)
+    rows = [(k, " ".join(shared + _words(rng, 20) + (more[:40] if 1 < k < 38 else more) + _words(rng, 20))) for k in range(40)]
+    found = _found(make(rows))
+    for k in (0, 1, 38, 39):
+        assert found[k] == ([(0, 60), (80, 140)], 39, 0)
+    assert all(found[k] == ([(0, 60)], 39, 0) for k in range(2, 38))
+
+
+def test_runs_of_a_phrase_are_repeated_as_a_whole(make):
+    rng = random.Random(23)
+    rows = [(k, " ".join(_words(rng, 30) + ["on", "and"] * n + _words(rng, 30))) for k, n in enumerate((500, 40, 60))]
+    found = _found(make(rows))
+    for k, n in enumerate((500, 40, 60)):
+        ((first, end),), links, of = found[k]
+        assert 28 <= first <= 32 and 2 * n + 28 <= end <= 2 * n + 32 and (links, of) == (2, 0)
+
+
+def test_signatures_inside_a_run_are_left_out():
+    s = np.concatenate([np.random.default_rng(24).integers(1 << 40, 1 << 50, 100, dtype=np.uint64), np.tile(np.array([7, 8, 9], np.uint64), 200)])
+    c = (passages.signatures(s, 1, 46, np.ones(len(s) - 45, bool)) & passages._LOW).astype(np.int64)
+    kept, head = passages._runs(s, c, np.zeros(len(c), np.int64), 22)
+    step, run = passages._begun(c, kept, head)
+    assert kept.sum() < 12 < len(c) and step.max() == 3 and run.max() > 500
+    assert passages._runs(s, c[:0], c[:0], 22)[0].tolist() == []
+
+
+def test_stretches_around_a_window_are_the_longest():
+    rng = np.random.default_rng(25)
+    for _ in range(300):
+        matched = rng.random((1, 61)) < rng.choice([0.8, 0.9, 0.95])
+        matched[0, 30] = True
+        within = passages._within_gaps(matched)[0]
+        best = max((j - i + 1 for i in range(31) for j in range(30, 61) if within[i] and within[j] and 9 * within[i:j + 1].sum() >= 8 * (j - i + 1)))
+        first, last, hits = passages._around(matched, 10)
+        assert last[0] - first[0] + 1 == best and hits[0] == (within[first[0]:last[0] + 1].sum() if best >= 10 else 0)
