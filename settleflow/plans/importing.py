@@ -134,6 +134,18 @@ def validate_import_batch(staging: DataFrame, claims: DataFrame, documents: Data
     return {"groups": groups, "details": details}
 
 
+# so many new groups at most are sent to all tasks, by a hash of eight bytes
+SENT_GROUPS = 2_000_000
+
+
+def of_groups(frame: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of the ``groups`` and few others, so that joins on the group code shuffle no more; all rows where the groups are too many to send."""
+    codes = groups.select(F.xxhash64("group_code").alias("_group"))
+    if codes.limit(SENT_GROUPS + 1).count() > SENT_GROUPS:
+        return frame
+    return frame.withColumn("_group", F.xxhash64("group_code")).join(F.broadcast(codes), "_group", "left_semi").drop("_group")
+
+
 def import_claim_groups(valid: DataFrame, claims: DataFrame, companies: DataFrame, policies: DataFrame, monthly_policies: DataFrame,
                         hospitals: DataFrame, products: DataFrame, customers: DataFrame, admit_names: DataFrame,
                         last_id, file_name: str, user_id: int, as_of: str, channel: int = 1,
@@ -146,9 +158,9 @@ def import_claim_groups(valid: DataFrame, claims: DataFrame, companies: DataFram
     sources. ``audit`` says for every new group through which channel (1 or another) it came. ``claims`` may be narrow: group_code, claim_code,
     app_id, happened_at, hospital_id, product_id and what ``widen`` makes the other columns of, after all joins.
     """
-    names = companies.select("group_code", "company_name").distinct()
     numbered = global_row_number(valid.filter("is_valid = 1").select(
         "tmp_id", "group_code", "group_type", "item_count", "total_amount", "insurer_id", "claim_type_code"), ["tmp_id"], "_n", whole=True)
+    names = of_groups(companies, numbered).select("group_code", "company_name").distinct()
     made = {"created_at": F.lit(as_of).cast("timestamp_ntz"), "created_by": F.lit(user_id)}
     groups = (numbered.withColumn("_last", last_id.scalar()).withColumn("import_id", F.coalesce("_last", F.lit(0)) + F.col("_n"))
               .join(names, "group_code", "left")
@@ -159,7 +171,7 @@ def import_claim_groups(valid: DataFrame, claims: DataFrame, companies: DataFram
     chosen = F.when(F.col("admit_code") == "4009", F.col("p9602")).when(F.col("admit_code") == "4010", F.col("p9604")).otherwise(F.col("p9601"))
     rows = widen(
         groups.select("import_id", "group_code", "group_type")
-        .join(claims.withColumn("period", month_start(F.col("happened_at"))), "group_code")
+        .join(of_groups(claims, numbered).withColumn("period", month_start(F.col("happened_at"))), "group_code")
         .join(held, "app_id", "left").join(by_month, ["app_id", "period"], "left")
         .join(hospitals.select("hospital_id", "hospital_name"), "hospital_id", "left")
         .join(products, "product_id", "left").join(customers, "app_id", "left")

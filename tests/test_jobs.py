@@ -339,3 +339,11 @@ def test_views_pair_records_as_joins_on_the_code_do(spark, tmp_path, monkeypatch
 @pytest.mark.parametrize("more, apart", [([], True), ([(1, 102)], False), ([(2, -99)], False), ([(10 ** 8, None)], False), ([(10 ** 8, 1)], True)])
 def test_codes_that_two_lines_share_are_seen(spark, tmp_path, more, apart):
     assert billing_jobs.codes_tell_lines_apart(Roles(spark, claim_tables(spark, tmp_path / "t", [*PLAIN, *more]))) == apart
+
+
+def test_only_claims_of_new_groups_are_shuffled_by_the_import(spark, monkeypatch):
+    claims = spark.createDataFrame([("g1", "a"), ("g2", "b"), (None, "c"), ("g1", "a"), ("g3", "d")], "group_code string, claim_code string")
+    groups = spark.createDataFrame([("g1",), ("g1",), ("g4",)], "group_code string")
+    assert sorted(importing.of_groups(claims, groups).collect()) == [("g1", "a"), ("g1", "a")]
+    monkeypatch.setattr(importing, "SENT_GROUPS", 2)
+    assert importing.of_groups(claims, groups).count() == 5
